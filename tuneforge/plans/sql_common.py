@@ -11,31 +11,38 @@ corpus AS (
 )"""
 
 UTTERANCES_CTE = """
+lead_sys AS (
+  SELECT DISTINCT conv_id FROM conversations WHERE role = 'system' AND turn = 0
+),
 utterances AS (
-  SELECT conv_id AS dlg, CAST(turn AS INTEGER) AS pos,
-         CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS INTEGER) AS turn_num,
-         text AS utterance
-  FROM conversations WHERE role <> 'system'
+  SELECT c.conv_id AS dlg, CAST(c.turn AS INTEGER) AS pos,
+         CAST(c.turn + 1 - CASE WHEN l.conv_id IS NULL THEN 0 ELSE 1 END AS INTEGER) AS turn_num,
+         c.text AS utterance
+  FROM conversations c LEFT JOIN lead_sys l ON c.conv_id = l.conv_id
+  WHERE c.role <> 'system'
 )"""
 
-# dialogue pairs by the count rule: odd i < n_utts, turn i -> turn i+1, both present and non-null
-PAIRS_CTE = UTTERANCES_CTE + """,
-firsts AS (
+def pairs_from(u: str, name: str = "pairs") -> str:
+    """CTEs computing dialogue pairs from an utterance relation ``u`` (dlg, pos, turn_num,
+    utterance) by the reference rule, written as a self-join."""
+    return f"""
+{name}_firsts AS (
   SELECT dlg, turn_num, (arg_min(struct_pack(u := utterance), pos)).u AS utterance
-  FROM utterances GROUP BY dlg, turn_num
-),
-counted AS (
-  SELECT dlg, count(*) AS n_utts FROM utterances GROUP BY dlg
+  FROM {u} GROUP BY dlg, turn_num
 ),
-pairs AS (
+{name}_counted AS (SELECT dlg, count(*) AS n_utts FROM {u} GROUP BY dlg),
+{name} AS (
   SELECT a.dlg AS conv_id, a.turn_num, a.utterance AS input, b.utterance AS output
-  FROM firsts a JOIN firsts b ON a.dlg = b.dlg AND b.turn_num = a.turn_num + 1
-  JOIN counted c ON c.dlg = a.dlg
-  WHERE a.turn_num % 2 = 1 AND a.turn_num < c.n_utts
+  FROM {name}_firsts a JOIN {name}_firsts b ON a.dlg = b.dlg AND b.turn_num = a.turn_num + 1
+  JOIN {name}_counted c ON c.dlg = a.dlg
+  WHERE a.turn_num >= 1 AND a.turn_num % 2 = 1 AND a.turn_num < c.n_utts
     AND a.utterance IS NOT NULL AND b.utterance IS NOT NULL
 )"""
 
 
+PAIRS_CTE = UTTERANCES_CTE + "," + pairs_from("utterances")
+
+
 def hash_sql(key_sql: str, seed: int | str, salt: str) -> str:
     """md5(seed:salt:key) as in functions.keys.shuffle_hash."""
     return f"md5(concat_ws(':', CAST({seed} AS VARCHAR), '{salt}', CAST({key_sql} AS VARCHAR)))"

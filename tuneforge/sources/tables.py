@@ -36,11 +36,11 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dialogue utterances (dlg, pos, turn_num, utterance): system turns dropped, the rest
-    renumbered from 1 in turn order (conversations' ``turn`` is 0-based)."""
-    from pyspark.sql import Window
-
-    conv = read_table(spark, sf_dir, "conversations").where(F.col("role") != "system")
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    return conv.select(F.col("conv_id").alias("dlg"), F.col("turn").cast("int").alias("pos"),
-                       F.row_number().over(w).alias("turn_num"), F.col("text").alias("utterance"))
+    """Dialogue utterances (dlg, pos, turn_num, utterance): the leading system turn dropped and
+    the rest numbered from 1 (conversations' ``turn`` is 0-based)."""
+    from ..operators.dialogue import renumber_after_leading
+
+    conv = read_table(spark, sf_dir, "conversations")
+    u = renumber_after_leading(conv, "conv_id", "turn", "role", "system", "turn_num")
+    return u.select(F.col("conv_id").alias("dlg"), F.col("turn").cast("int").alias("pos"), "turn_num",
+                    F.col("text").alias("utterance"))
