@@ -23,9 +23,11 @@ def _lit_int(v) -> Column:
 
 
 def codepoint_ids(text) -> Column:
-    """Code-point tokeniser: one id per code point (supplementary characters included)."""
-    chars = F.regexp_extract_all(F.coalesce(_c(text), F.lit("")), F.lit("(?s)."), 0)
-    return F.transform(chars, lambda ch: F.ascii(ch))
+    """Code-point tokeniser: one id per code point (``split`` on the empty pattern yields whole
+    code points, supplementary characters included); null or empty text gives []."""
+    t = F.coalesce(_c(text), F.lit(""))
+    return F.when(F.length(t) == 0, F.array().cast("array<int>")).otherwise(
+        F.transform(F.split(t, ""), lambda ch: F.ascii(ch)))
 
 
 def pad_or_eos(pad: int | None, eos: int) -> int:

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .split import require_enough, sample_exact
 
 
@@ -47,6 +48,7 @@ def mix_in(base: DataFrame, pool: DataFrame, key: str, ratio: float = 0.3, seed=
     them apart, and ``order_key`` (seeded hash) to order each split when writing."""
     n_train, n_valid = split_counts(base, split)
     add_train, add_valid = mix_sizes(n_train, n_valid, ratio)
+    pool = materialize(pool)  # read by several jobs below: written once to the shared folder
     n_pool = pool.count()
     require_enough(add_train + add_valid, n_pool, "dialogue pool")
     s_train = sample_exact(pool, key, add_train, seed, "mix_train")

@@ -10,8 +10,10 @@ group size n. The cut is exact and runs without a global window:
    last admitted ``(h, key)``. Still one row per group.
 4. One narrow pass: a row is in the first k iff ``(h, key) <= (h_cut, key_cut)``.
 
-The per-group cut table is materialised in the shared checkpoint folder and its row count is
-checked before it is broadcast; the data rows themselves are never shuffled by the cut.
+The cut table has one row per group. Up to MAX_LITERAL_GROUPS groups it is fetched (a bounded
+``limit``) and inlined as literal expressions; beyond that it is materialised in the shared
+checkpoint folder, counted, and broadcast only under a size bound (else a shuffled join). The
+data rows themselves are never shuffled by the cut.
 """
 
 from __future__ import annotations
@@ -65,6 +67,29 @@ def _key_str(key: str) -> Column:
     return F.col(key).cast("string")
 
 
+# Per-group cut tables up to this many rows are fetched (bounded: limit(n + 1)) and inlined as
+# literal CASE expressions; larger ones are checkpointed and joined with a checked broadcast.
+MAX_LITERAL_GROUPS = 256
+
+
+def _lookup(rows, gb: list[str], field: str, dtype: str) -> Column:
+    """CASE over the (few) groups of a fetched cut table -> the group's ``field``."""
+    expr = None
+    for r in rows:
+        cond = None
+        for g in gb:
+            e = F.col(g).eqNullSafe(F.lit(r[g]))
+            cond = e if cond is None else cond & e
+        val = F.lit(r[field]).cast(dtype)
+        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
+    return expr.otherwise(F.lit(None).cast(dtype))
+
+
+def _small_rows(df: DataFrame):
+    rows = df.limit(MAX_LITERAL_GROUPS + 1).collect()
+    return rows if len(rows) <= MAX_LITERAL_GROUPS else None
+
+
 def first_k(df: DataFrame, key: str, k_rule: KRule, seed=42, salt: str = "", by: Sequence[str] = (),
             out: str = "_tf_first", bucket_hex: int = BUCKET_HEX, keep_hash: str | None = None) -> DataFrame:
     """Add boolean ``out``: the row is among the first k of its group in seeded hash order.
@@ -89,25 +114,40 @@ def first_k(df: DataFrame, key: str, k_rule: KRule, seed=42, salt: str = "", by:
            .agg(F.min("_tf_b").alias("_tf_bcut"),
                 F.min_by(F.col("_tf_cum") - F.col("_tf_c"), F.col("_tf_b")).alias("_tf_before"),
                 F.max("_tf_k").alias("_tf_k")))
-    cut, n_groups = checked_stats(cut)
-
-    # step 3: rank only the boundary bucket rows -> last admitted (h, key) per group
     keys = d.select(*gb, "_tf_h", "_tf_b", _key_str(key).alias("_tf_key"))
-    bnd = (attach_stats(keys, cut, gb, n_groups)
-           .where(F.col("_tf_b") == F.col("_tf_bcut"))
-           .withColumn("_tf_rn", F.row_number().over(Window.partitionBy(*gb).orderBy("_tf_h", "_tf_key")))
-           .where(F.col("_tf_rn") == F.col("_tf_k") - F.col("_tf_before"))
-           .select(*gb, F.col("_tf_h").alias("_tf_hcut"), F.col("_tf_key").alias("_tf_keycut")))
-    cut = cut.join(bnd, gb, "left")
-    cut, n_groups = checked_stats(cut)
-
-    # step 4: one narrow pass over the rows
-    j = attach_stats(d, cut, gb, n_groups, how="left")
+    w_bnd = Window.partitionBy(*gb).orderBy("_tf_h", "_tf_key")
     h, k = F.col("_tf_h"), _key_str(key)
-    inside = (F.col("_tf_b") < F.col("_tf_bcut")) | (
-        (F.col("_tf_b") == F.col("_tf_bcut")) & F.col("_tf_hcut").isNotNull()
-        & ((h < F.col("_tf_hcut")) | ((h == F.col("_tf_hcut")) & (k <= F.col("_tf_keycut")))))
-    j = j.withColumn(out, F.coalesce(inside, F.lit(False)))
+
+    def boundary(rows_with_cut: DataFrame) -> DataFrame:
+        # step 3: rank only the boundary bucket rows -> last admitted (h, key) per group
+        return (rows_with_cut.where(F.col("_tf_b") == F.col("_tf_bcut"))
+                .withColumn("_tf_rn", F.row_number().over(w_bnd))
+                .where(F.col("_tf_rn") == F.col("_tf_k") - F.col("_tf_before"))
+                .select(*gb, F.col("_tf_h").alias("_tf_hcut"), F.col("_tf_key").alias("_tf_keycut")))
+
+    def inside(bcut: Column, hcut: Column, keycut: Column) -> Column:
+        # step 4: one narrow pass: (h, key) <= (h_cut, key_cut)
+        b = F.col("_tf_b")
+        return F.coalesce((b < bcut) | ((b == bcut) & hcut.isNotNull()
+                                       & ((h < hcut) | ((h == hcut) & (k <= keycut)))), F.lit(False))
+
+    small = _small_rows(cut)
+    if small is not None:
+        bcut, before, kk = (_lookup(small, gb, "_tf_bcut", "int"), _lookup(small, gb, "_tf_before", "long"),
+                            _lookup(small, gb, "_tf_k", "long"))
+        bnd_rows = boundary(keys.select("*", bcut.alias("_tf_bcut"), before.alias("_tf_before"), kk.alias("_tf_k")))
+        bnd = [r.asDict() for r in bnd_rows.collect()]  # at most one row per group
+        if bnd:
+            hcut, keycut = _lookup(bnd, gb, "_tf_hcut", "string"), _lookup(bnd, gb, "_tf_keycut", "string")
+        else:
+            hcut = keycut = F.lit(None).cast("string")
+        j = d.withColumn(out, inside(bcut, hcut, keycut))
+    else:
+        cut, n_groups = checked_stats(cut)
+        bnd = boundary(attach_stats(keys, cut, gb, n_groups))
+        cut, n_groups = checked_stats(cut.join(bnd, gb, "left"))
+        j = attach_stats(d, cut, gb, n_groups, how="left")
+        j = j.withColumn(out, inside(F.col("_tf_bcut"), F.col("_tf_hcut"), F.col("_tf_keycut")))
     if keep_hash:
         j = j.withColumnRenamed("_tf_h", keep_hash)
     return j.drop("_tf_h", "_tf_b", "_tf_bcut", "_tf_before", "_tf_k", "_tf_hcut", "_tf_keycut", "_tf_grp")

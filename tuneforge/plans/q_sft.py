@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import prompts as P
 from ..functions import tokens as K
 from ..operators import batches, records, sft, split
+from ..session import materialize
 from ..sources import tables as T
 from .q_dialogue import labels_base, pairs
 from .q_prompts import PRE, slot_sql
@@ -73,6 +74,7 @@ def sft_rows(spark, d):
     full = records.concat(pub_tok.select(F.lit("public").alias("origin"), *cols),
                           own_tok.select(F.lit("own").alias("origin"), *cols))
     full = full.withColumn("_tf_key", F.concat_ws(":", "origin", "row_key"))
+    full = materialize(full)  # capped + encoded rows, read by the holdout's three passes
     return split.holdout(full, "_tf_key", 0.8, SEED).drop("_tf_key")
 
 
