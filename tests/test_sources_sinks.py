@@ -186,3 +186,14 @@ def test_build_if_absent_and_latest_snapshot(spark, tmp_dir):
     assert W.latest_snapshot(spark, tmp_dir).endswith("makedate=20240301")
     with pytest.raises(FileNotFoundError):
         W.latest_snapshot(spark, os.path.join(tmp_dir, "makedate=20240301"))
+
+
+def test_read_public_qa_concatenates_splits(spark, tmp_dir):
+    from tuneforge.operators.records import concat
+
+    a, b = os.path.join(tmp_dir, "train"), os.path.join(tmp_dir, "validation")
+    spark.createDataFrame([("i", "c", "o")], "instruction string, input string, output string").write.parquet(a)
+    spark.createDataFrame([("j", None, "p")], "instruction string, input string, output string").write.parquet(b)
+    qa = jsonl.read_public_qa(spark, {"train": a, "validation": b})
+    assert sorted((r.orig_split, r.instruction) for r in qa.collect()) == [("train", "i"), ("validation", "j")]
+    assert concat(qa, qa).count() == 4

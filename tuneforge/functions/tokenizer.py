@@ -46,6 +46,16 @@ def tokenizer_ids(spark: SparkSession, col, tokenizer_json: str, add_special_tok
     return F.arrow_udf(enc, "array<int>")(F.col(col) if isinstance(col, str) else col)
 
 
+def tokenise(spark: SparkSession, col, backend: str = "codepoint", add_special_tokens: bool = False) -> Column:
+    """Ids of ``col`` under a backend: ``"codepoint"`` (plain SQL, no Python) or a
+    ``tokenizers`` JSON definition (Arrow UDF)."""
+    if backend == "codepoint":
+        from .tokens import codepoint_ids
+
+        return codepoint_ids(col)
+    return tokenizer_ids(spark, col, backend, add_special_tokens)
+
+
 # ---- fixed values: special tokens of the byte-level tokenizer built below ----
 SPECIALS = ("<pad>", "<bos>", "<eos>")
 # ---- end of fixed values ----

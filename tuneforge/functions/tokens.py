@@ -30,6 +30,12 @@ def codepoint_ids(text) -> Column:
         F.transform(F.split(t, ""), lambda ch: F.ascii(ch)))
 
 
+def encode_segment(text, tokenize=None) -> Column:
+    """ids of one segment without special tokens (code points unless a tokenize function
+    such as ``functools.partial(tokenizer_ids, spark, tokenizer_json=...)`` is given)."""
+    return codepoint_ids(text) if tokenize is None else tokenize(text)
+
+
 def pad_or_eos(pad: int | None, eos: int) -> int:
     """the pad id falls back to the eos id when the tokenizer defines none."""
     return eos if pad is None else pad

@@ -190,11 +190,18 @@ def take_capped(df: DataFrame, key: str, k, seed=42, salt: str = "cap", by: Sequ
     return sample_exact(df, key, k, seed, salt, by)
 
 
+# A top-n keeps at most n rows per task and merges the partial heads in one task, so n is
+# bounded. Larger caps use the exact hash-ordered cut (take_capped), which never gathers rows.
+MAX_HEAD_ROWS = 100_000
+
+
 def bounded_head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """The first n rows in an explicit order (a stream's head, materialised).
 
     A top-n is the feature here; Spark plans it as TakeOrderedAndProject (per-partition top-n,
     then a merge of at most n rows per partition)."""
+    if int(n) > MAX_HEAD_ROWS:
+        raise ValueError(f"bounded_head n={n} exceeds {MAX_HEAD_ROWS}; use take_capped for large caps")
     return df.orderBy(*order).limit(int(n))
 
 

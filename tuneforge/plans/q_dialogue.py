@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import dialogue, mix, records, recipes, split
+from ..operators import dialogue, mix, records, recipes, reports, split
 from ..sources import tables as T
 from .registry import query
 from .sql_common import CORPUS_CTE, PAIRS_CTE, hash_sql, pairs_from
@@ -140,7 +140,7 @@ def mix_require(spark, d):
     (documents as base cannot be served at sf0.01, labels can)."""
     docs = T.text_records(spark, d).select(F.lit("documents").alias("base"), "row_key")
     lab = labels_base(spark, d).select(F.lit("labels").alias("base"), "row_key")
-    sizes = docs.unionByName(lab).groupBy("base").agg(F.count(F.lit(1)).alias("n"))
+    sizes = reports.size_of(docs.unionByName(lab), ["base"])
     n_pool = pairs(spark, d).agg(F.count(F.lit(1))).scalar()  # scalar subquery: one value
     r = F.lit(MIX_RATIO)
     out = (sizes.withColumn("n_train", F.floor(F.col("n").cast("double") * F.lit(0.8)).cast("long"))
