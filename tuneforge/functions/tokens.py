@@ -22,12 +22,26 @@ def _lit_int(v) -> Column:
     return v if isinstance(v, Column) else F.lit(int(v))
 
 
-def codepoint_ids(text) -> Column:
+def _chars(text) -> Column:
+    return F.split(F.coalesce(_c(text), F.lit("")), "")
+
+
+def codepoint_ids(text, max_len: int | None = None) -> Column:
     """Code-point tokeniser: one id per code point (``split`` on the empty pattern yields whole
-    code points, supplementary characters included); null or empty text gives []."""
-    t = F.coalesce(_c(text), F.lit(""))
-    return F.when(F.length(t) == 0, F.array().cast("array<int>")).otherwise(
-        F.transform(F.split(t, ""), lambda ch: F.ascii(ch)))
+    code points, supplementary characters included); null or empty text gives [].
+
+    With ``max_len`` the result equals ``codepoint_ids(text)[:max_len]``: every id depends on its
+    own character only, so only the characters that reach the output are mapped."""
+    chars = _chars(text)
+    if max_len is not None:
+        chars = F.slice(chars, 1, int(max_len))
+    return F.when(F.length(F.coalesce(_c(text), F.lit(""))) == 0, F.array().cast("array<int>")).otherwise(
+        F.transform(chars, lambda ch: F.ascii(ch)))
+
+
+def codepoint_count(text) -> Column:
+    """Number of code-point tokens of the whole text (= size(codepoint_ids(text)))."""
+    return F.length(F.coalesce(_c(text), F.lit("")))
 
 
 def encode_segment(text, tokenize=None) -> Column:

@@ -43,10 +43,10 @@ SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_tokens, {txt(fixed_sql('ids', MAX_
 FROM t""")
 def encode_fixed(spark, d):
     docs = T.read_table(spark, d, "documents")
-    t = docs.select("doc_id", K.codepoint_ids("text").alias("ids"))
+    t = docs.select("doc_id", K.codepoint_count("text").alias("n_tokens"),
+                    K.codepoint_ids("text", MAX_LEN).alias("ids"))
     ids, mask = K.encode_fixed("ids", MAX_LEN, PAD)
-    return t.select("doc_id", F.size("ids").alias("n_tokens"), K.ids_text(ids).alias("input_ids"),
-                    K.ids_text(mask).alias("attention_mask"))
+    return t.select("doc_id", "n_tokens", K.ids_text(ids).alias("input_ids"), K.ids_text(mask).alias("attention_mask"))
 
 
 @query("pad_fallback", f"""
@@ -55,7 +55,7 @@ SELECT page_id, {txt(fixed_sql('ids', MAX_LEN, EOS))} AS input_ids FROM t""")
 def pad_fallback(spark, d):
     """Pages encoded with a tokenizer that defines no pad id: padding uses the eos id."""
     pad = K.pad_or_eos(None, EOS)
-    t = T.read_table(spark, d, "pages").select("page_id", K.codepoint_ids("html").alias("ids"))
+    t = T.read_table(spark, d, "pages").select("page_id", K.codepoint_ids("html", MAX_LEN).alias("ids"))
     ids, _mask = K.encode_fixed("ids", MAX_LEN, pad)
     return t.select("page_id", K.ids_text(ids).alias("input_ids"))
 
@@ -67,7 +67,7 @@ SELECT doc_id, {txt('ids')} AS labels_all,
        {txt("list_transform(ids, lambda x, i: CASE WHEN mask[i] = 1 THEN x ELSE -100 END)")} AS labels_masked
 FROM t""")
 def label_all(spark, d):
-    t = T.read_table(spark, d, "documents").select("doc_id", K.codepoint_ids("text").alias("ids"))
+    t = T.read_table(spark, d, "documents").select("doc_id", K.codepoint_ids("text", MAX_LEN).alias("ids"))
     ids, mask = K.encode_fixed("ids", MAX_LEN, PAD)
     t = t.select("doc_id", ids.alias("ids"), mask.alias("mask"))
     return t.select("doc_id", K.ids_text(K.label_all("ids", mask_pad=False)).alias("labels_all"),
@@ -101,8 +101,8 @@ FROM t""")
 def label_joint(spark, d):
     """Joint mode: prompt length from encoding the prompt alone."""
     p = pairs(spark, d)
-    ids, _mask = K.encode_fixed(K.codepoint_ids(P.joint_text("input", "output")), MAX_LEN, PAD)
-    t = p.select("conv_id", "turn_num", ids.alias("ids"), F.size(K.codepoint_ids("input")).alias("n"))
+    ids, _mask = K.encode_fixed(K.codepoint_ids(P.joint_text("input", "output"), MAX_LEN), MAX_LEN, PAD)
+    t = p.select("conv_id", "turn_num", ids.alias("ids"), K.codepoint_count("input").alias("n"))
     return t.select("conv_id", "turn_num", K.ids_text("ids").alias("input_ids"),
                     K.ids_text(K.label_joint("ids", F.col("n"), MAX_LEN)).alias("labels"))
 
@@ -119,7 +119,7 @@ def label_after_prompt(spark, d):
     """Multi-hop path: the answer ids are written right after the non-pad prompt tokens."""
     m = multihop(spark, d)
     full = P.extractive_prompt(P.flatten_context("context"), "question", "answer")
-    ids, _mask = K.encode_fixed(K.codepoint_ids(full), LONG_LEN, PAD)
+    ids, _mask = K.encode_fixed(K.codepoint_ids(full, LONG_LEN), LONG_LEN, PAD)
     t = m.select("doc_id", ids.alias("ids"), K.codepoint_ids("answer").alias("a"))
     return t.select("doc_id", K.non_pad_count("ids", PAD).alias("n_prompt"),
                     K.ids_text(K.label_after_prompt("ids", "a", PAD, LONG_LEN)).alias("labels"))
