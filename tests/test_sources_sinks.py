@@ -1,6 +1,5 @@
 """Sources (JSON lines, dialogues, workbooks) and sinks, on hand-made files in a temp folder."""
 
-import io
 import json
 import os
 import zipfile

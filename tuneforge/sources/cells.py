@@ -18,7 +18,6 @@ from xml.etree import ElementTree as ET
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CELL_SCHEMA = "file STRING, sheet STRING, sheet_pos INT, row INT, col INT, value STRING"
 REJECT_SCHEMA = "file STRING, reason STRING"
