@@ -75,10 +75,11 @@ def exclude_sampled(spark, d):
     return mix.exclude_sampled(pool, sampled)
 
 
-def labels_base(spark, d):
-    """Mix base: documents that carry labels, as text records of source 'labels'."""
+def labels_base(spark, d, spread: bool = False):
+    """Mix base: documents that carry labels, as text records of source 'labels' (``spread``
+    when the texts are tokenised next)."""
     lab = T.read_table(spark, d, "labels").select("doc_id")
-    docs = T.read_table(spark, d, "documents").select("doc_id", "text")
+    docs = T.read_table(spark, d, "documents", spread_by="doc_id" if spread else None).select("doc_id", "text")
     return records.as_records(docs.join(lab, "doc_id", "left_semi"), "labels", "doc_id", text="text")
 
 

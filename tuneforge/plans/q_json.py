@@ -16,7 +16,7 @@ BLANK = " \t　 "
 def damaged_lines(spark, d):
     """One JSON line per event, damaged by a rule on the event: valid objects, trailing text,
     arrays, single-quoted keys, truncation, and whitespace-only lines."""
-    ev = T.read_table(spark, d, "events")
+    ev = T.read_table(spark, d, "events", spread_by="event_id")
     props, et = F.col("props"), F.col("event_type")
     line = (F.when(F.col("value") < 1, F.lit(BLANK))
             .when(et == "view", props)

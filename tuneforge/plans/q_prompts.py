@@ -84,7 +84,7 @@ def multihop(spark, d):
     """Multi-hop QA shaped rows from documents: each line is a context item titled by language
     and line number, its sentences split on '. '; the question names the document, the answer
     is its source."""
-    docs = T.read_table(spark, d, "documents")
+    docs = T.read_table(spark, d, "documents", spread_by="doc_id")
     ctx = F.transform(F.split(F.col("text"), "\n"),
                       lambda line, i: F.struct(F.concat(F.col("lang"), F.lit(" "), (i + 1).cast("string")).alias("title"),
                                                F.split(line, "\\. ").alias("sentences")))

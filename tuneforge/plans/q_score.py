@@ -36,7 +36,7 @@ SELECT doc_id,
             ELSE generated END AS result
 FROM g""")
 def echo_strip(spark, d):
-    docs = T.read_table(spark, d, "documents")
+    docs = T.read_table(spark, d, "documents", spread_by="doc_id")
     prompt = F.concat(F.lit("doc "), F.col("lang"), F.lit("\n"))
     gen = F.when(F.col("lang").isin("en", "de"), F.concat(prompt, F.lit("　 "), F.col("text"), F.lit("\u001f\n"))) \
         .otherwise(F.col("text"))
@@ -90,6 +90,6 @@ SELECT doc_id, array_to_string(list_transform(regexp_extract_all(lower(hex(encod
                                               lambda x: 3 + CAST('0x' || x AS INTEGER)), ',') AS input_ids
 FROM documents""")
 def bpe_encode(spark, d):
-    docs = T.read_table(spark, d, "documents")
+    docs = T.read_table(spark, d, "documents", spread_by="doc_id")
     ids = tokenizer_ids(spark, "text", byte_level_tokenizer_json())
     return docs.select("doc_id", K.ids_text(ids).alias("input_ids"))

@@ -43,7 +43,7 @@ SELECT split, shard, batch, CAST(bl AS INTEGER) AS batch_len, row_key,
        {txt('repeat([1], len(ids)) || repeat([0], bl - len(ids))')} AS attention_mask
 FROM e""")
 def pad_batches(spark, d):
-    base = split.exact_split(labels_base(spark, d), "row_key", 0.8, SEED, by=["source"])
+    base = split.exact_split(labels_base(spark, d, spread=True), "row_key", 0.8, SEED, by=["source"])
     ids = K.codepoint_ids("text", BATCH_LEN)
     t = base.select("split", "row_key", ids.alias("input_ids"), ids.alias("labels"))
     b = batches.pad_batches(t, "row_key", size=2, pad=0, seed=SEED)

@@ -42,7 +42,7 @@ SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_tokens, {txt(fixed_sql('ids', MAX_
        {txt(mask_sql('ids', MAX_LEN))} AS attention_mask
 FROM t""")
 def encode_fixed(spark, d):
-    docs = T.read_table(spark, d, "documents")
+    docs = T.read_table(spark, d, "documents", spread_by="doc_id")
     t = docs.select("doc_id", K.codepoint_count("text").alias("n_tokens"),
                     K.codepoint_ids("text", MAX_LEN).alias("ids"))
     ids, mask = K.encode_fixed("ids", MAX_LEN, PAD)
@@ -55,7 +55,7 @@ SELECT page_id, {txt(fixed_sql('ids', MAX_LEN, EOS))} AS input_ids FROM t""")
 def pad_fallback(spark, d):
     """Pages encoded with a tokenizer that defines no pad id: padding uses the eos id."""
     pad = K.pad_or_eos(None, EOS)
-    t = T.read_table(spark, d, "pages").select("page_id", K.codepoint_ids("html", MAX_LEN).alias("ids"))
+    t = T.read_table(spark, d, "pages", spread_by="page_id").select("page_id", K.codepoint_ids("html", MAX_LEN).alias("ids"))
     ids, _mask = K.encode_fixed("ids", MAX_LEN, pad)
     return t.select("page_id", K.ids_text(ids).alias("input_ids"))
 
@@ -67,7 +67,7 @@ SELECT doc_id, {txt('ids')} AS labels_all,
        {txt("list_transform(ids, lambda x, i: CASE WHEN mask[i] = 1 THEN x ELSE -100 END)")} AS labels_masked
 FROM t""")
 def label_all(spark, d):
-    t = T.read_table(spark, d, "documents").select("doc_id", K.codepoint_ids("text", MAX_LEN).alias("ids"))
+    t = T.read_table(spark, d, "documents", spread_by="doc_id").select("doc_id", K.codepoint_ids("text", MAX_LEN).alias("ids"))
     ids, mask = K.encode_fixed("ids", MAX_LEN, PAD)
     t = t.select("doc_id", ids.alias("ids"), mask.alias("mask"))
     return t.select("doc_id", K.ids_text(K.label_all("ids", mask_pad=False)).alias("labels_all"),

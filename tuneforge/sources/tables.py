@@ -16,8 +16,15 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """A given table; ``spread_by`` names its key when CPU-heavy per-row work follows
+    (see ``plans.layout.spread_for_cpu``)."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if spread_by is not None:
+        from ..plans.layout import spread_for_cpu
+
+        df = spread_for_cpu(df, spread_by)
+    return df
 
 
 def qa_records(spark: SparkSession, sf_dir: str) -> DataFrame:
