@@ -118,3 +118,13 @@ def test_no_single_partition_exchange_in_split(spark):
     plan = split.exact_split(c, "row_key", 0.8, 42, by=["source"])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_bad_parameters_raise(spark):
+    df = _rows(spark, 5, ("a",))
+    with pytest.raises(ValueError):
+        split.exact_split(df, "row_key", 1.2, 42, by=["source"])
+    with pytest.raises(ValueError):
+        split.sample_exact(df, "row_key", -1, 42)
+    with pytest.raises(ValueError):
+        split.bounded_head(df, split.MAX_HEAD_ROWS + 1, ["v"])

@@ -35,7 +35,11 @@ KRule = Callable[[Column], Column]
 # ---------------------------------------------------------------------------------------------
 
 def _ratio_col(ratio) -> Column:
-    return F.col(ratio).cast("double") if isinstance(ratio, str) else F.lit(float(ratio))
+    if isinstance(ratio, str):
+        return F.col(ratio).cast("double")
+    if not 0.0 <= float(ratio) <= 1.0:
+        raise ValueError(f"ratio must lie in [0, 1], got {ratio}")
+    return F.lit(float(ratio))
 
 
 def floor_train(ratio) -> KRule:
@@ -51,6 +55,8 @@ def ceil_valid(ratio) -> KRule:
 
 def absolute(k) -> KRule:
     """k = min(k, n)."""
+    if not isinstance(k, str) and int(k) < 0:
+        raise ValueError(f"k must be >= 0, got {k}")
     kc = F.col(k) if isinstance(k, str) else F.lit(int(k))
     return lambda n: F.least(n, kc.cast("long"))
 

@@ -68,13 +68,15 @@ def extract_records(df: DataFrame, raw: str = "line") -> DataFrame:
 
 def read_jsonl(spark: SparkSession, paths: str | Sequence[str], source: str | None = None,
                with_keys: bool = True) -> tuple[DataFrame, DataFrame]:
-    """S3 end to end: lines -> strip/drop blank -> validity -> records; returns (records,
-    rejects). ``source`` defaults to the file name."""
+    """S3 end to end: lines -> strip/drop blank -> keys -> validity -> records; returns
+    (records, rejects). ``source`` defaults to the file name. Keys are assigned before the
+    validity check so the Python check runs once per line (equal lines are all valid or all
+    invalid, so their ordinals are the same either way)."""
     lines = drop_blank_lines(read_lines(spark, paths))
+    if with_keys:
+        lines = line_keys(lines)
     valid, rejects = filter_valid_json(lines)
     rec = extract_records(valid)
-    if with_keys:
-        rec = line_keys(rec)
     src = F.lit(source) if source else F.element_at(F.split(F.col("file"), "/"), -1)
     return rec.withColumn("source", src), rejects
 
