@@ -10,7 +10,7 @@ group size n. The cut is exact and runs without a global window:
    last admitted ``(h, key)``. Still one row per group.
 4. One narrow pass: a row is in the first k iff ``(h, key) <= (h_cut, key_cut)``.
 
-The cut table has one row per group. Up to MAX_LITERAL_GROUPS groups it is fetched (a bounded
+The cut table has one row per group. Up to MAX_LITERAL_GROUPS (32) groups it is fetched (a bounded
 ``limit``) and inlined as literal expressions; beyond that it is materialised in the shared
 checkpoint folder, counted, and broadcast only under a size bound (else a shuffled join). The
 data rows themselves are never shuffled by the cut.
@@ -74,8 +74,9 @@ def _key_str(key: str) -> Column:
 
 
 # Per-group cut tables up to this many rows are fetched (bounded: limit(n + 1)) and inlined as
-# literal CASE expressions; larger ones are checkpointed and joined with a checked broadcast.
-MAX_LITERAL_GROUPS = 256
+# literal CASE expressions (a row tests at most this many groups); larger ones are checkpointed
+# and joined with a checked broadcast (a hash lookup per row).
+MAX_LITERAL_GROUPS = 32
 
 
 def _lookup(rows, gb: list[str], field: str, dtype: str) -> Column:

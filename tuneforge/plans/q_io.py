@@ -15,7 +15,7 @@ from ..sources import tables as T
 from .q_dialogue import pairs
 from .q_score import SCORED_SQL, score_batch
 from .registry import query
-from .sql_common import CORPUS_CTE, PAIRS_CTE, UTTERANCES_CTE
+from .sql_common import CORPUS_CTE, CORPUS_SELECT, PAIRS_CTE
 from .q_split import SPLIT_SQL
 
 SEED = 42
@@ -36,7 +36,7 @@ def jsonl_roundtrip(spark, d):
 
 
 @query("read_splits", SPLIT_SQL + f""",
-c AS (SELECT * FROM ({CORPUS_CTE.strip()[len('corpus AS '):]}) x)
+c AS ({CORPUS_SELECT})
 SELECT CASE WHEN s.split = 'train' THEN 'train' ELSE 'validation' END AS split, c.input, c.output, c.text
 FROM s JOIN c ON s.source = c.source AND s.row_key = c.row_key""")
 def read_splits(spark, d):
@@ -56,7 +56,9 @@ BOOK_DIALOGUES = 50
 @query("read_dialogues", f"WITH {PAIRS_CTE} SELECT turn_num, input, output FROM pairs")
 def read_dialogues(spark, d):
     """Dialogues written as topic files (a JSON array of at most BOOK_DIALOGUES dialogues
-    each), read back with the multi-line reader, then paired."""
+    each), read back with the multi-line reader, then paired. The file format holds each dialogue
+    as one JSON object, so writing it gathers a dialogue's utterances into one row; the reader
+    parses each topic file in one task."""
     root = scratch_path(spark, "dialogues")
     u = T.utterances(spark, d)
     dlg = (u.groupBy("dlg")

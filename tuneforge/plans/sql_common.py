@@ -1,13 +1,15 @@
 """DuckDB SQL fragments shared by the oracles (same shapes as sources/tables.py)."""
 
-CORPUS_CTE = """
-corpus AS (
+CORPUS_SELECT = """
   SELECT 'part' AS source, CAST(p_partkey AS VARCHAR) AS row_key, CAST(p_name AS VARCHAR) AS input,
          CAST(p_type AS VARCHAR) AS output, CAST(NULL AS VARCHAR) AS text
   FROM part
   UNION ALL
   SELECT 'documents', CAST(doc_id AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), text
-  FROM documents
+  FROM documents"""
+
+CORPUS_CTE = f"""
+corpus AS ({CORPUS_SELECT}
 )"""
 
 UTTERANCES_CTE = """
