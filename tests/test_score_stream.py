@@ -72,3 +72,15 @@ def test_trained_bpe_tokenizer_udf(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r.ids for r in df.select(tokenizer_ids(spark, "t", tok.to_str()).alias("ids")).collect()]
     assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_tokenizer_truncation_keeps_specials(spark):
+    from tokenizers import Tokenizer, models, pre_tokenizers, processors
+
+    vocab = {"[BOS]": 0, "[EOS]": 1, "a": 2, "b": 3, "[UNK]": 4}
+    tok = Tokenizer(models.WordLevel(vocab, unk_token="[UNK]"))
+    tok.pre_tokenizer = pre_tokenizers.Whitespace()
+    tok.post_processor = processors.TemplateProcessing(single="[BOS] $A [EOS]", special_tokens=[("[BOS]", 0), ("[EOS]", 1)])
+    df = spark.createDataFrame([("a b a b a",)], "t string")
+    got = df.select(tokenizer_ids(spark, "t", tok.to_str(), add_special_tokens=True, max_length=4).alias("i")).first().i
+    assert got == [0, 2, 3, 1]

@@ -196,3 +196,22 @@ def test_read_public_qa_concatenates_splits(spark, tmp_dir):
     qa = jsonl.read_public_qa(spark, {"train": a, "validation": b})
     assert sorted((r.orig_split, r.instruction) for r in qa.collect()) == [("train", "i"), ("validation", "j")]
     assert concat(qa, qa).count() == 4
+
+
+def test_missing_jsonl_inputs_are_skipped(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "a.jsonl")
+    _write(p, ['{"text": "x"}'])
+    with pytest.warns(UserWarning, match="missing input"):
+        rec, _ = jsonl.read_jsonl(spark, [p, os.path.join(tmp_dir, "nope.jsonl")])
+    assert rec.count() == 1
+    with pytest.raises(FileNotFoundError):
+        jsonl.read_jsonl(spark, [os.path.join(tmp_dir, "nope.jsonl")])
+
+
+def test_numbered_runs(spark, tmp_dir):
+    df = spark.range(2)
+    base = os.path.join(tmp_dir, "runs")
+    first = W.next_run_path(spark, base)
+    df.write.parquet(first)
+    second = W.next_run_path(spark, base)
+    assert first.endswith("run_id=1") and second.endswith("run_id=2")

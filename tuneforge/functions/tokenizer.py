@@ -16,26 +16,34 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-_CACHE: dict[int, object] = {}
+_CACHE: dict[tuple, object] = {}
 
 
-def _tokenizer(js: str):
-    key = hash(js)
+def _tokenizer(js: str, max_length: int | None = None):
+    """Build (once per worker and setting) the tokenizer, truncating at ``max_length`` or not."""
+    key = (hash(js), max_length)
     tok = _CACHE.get(key)
     if tok is None:
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_str(js)
+        if max_length is None:
+            tok.no_truncation()
+        else:
+            tok.enable_truncation(int(max_length))
         _CACHE[key] = tok
     return tok
 
 
-def tokenizer_ids(spark: SparkSession, col, tokenizer_json: str, add_special_tokens: bool = False) -> Column:
-    """Token ids of ``col`` under the tokenizer; null text encodes as ''."""
+def tokenizer_ids(spark: SparkSession, col, tokenizer_json: str, add_special_tokens: bool = False,
+                  max_length: int | None = None) -> Column:
+    """Token ids of ``col`` under the tokenizer; null text encodes as ''. With ``max_length`` the
+    tokenizer truncates itself (special tokens are kept and the content is cut), as a
+    ``truncation=True`` call does."""
     bc = spark.sparkContext.broadcast(tokenizer_json)
 
     def enc(v: pa.Array) -> pa.Array:
-        tok = _tokenizer(bc.value)
+        tok = _tokenizer(bc.value, max_length)
         texts = [t if t is not None else "" for t in v.to_pylist()]
         encs = tok.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
         offsets = np.zeros(len(encs) + 1, dtype=np.int32)

@@ -66,6 +66,13 @@ def run_path(base: str, run_id: str) -> str:
     return f"{base.rstrip('/')}/run_id={run_id}"
 
 
+def next_run_path(spark: SparkSession, base: str) -> str:
+    """K-4 with numbered runs: ``run_id=<n+1>`` after the highest numbered run under ``base``."""
+    nums = [int(n.split("=", 1)[1]) for n in list_dirs(spark, base)
+            if n.startswith("run_id=") and n.split("=", 1)[1].isdigit()]
+    return run_path(base, str(max(nums, default=0) + 1))
+
+
 def write_run(df: DataFrame, base: str, run_id: str, fmt: str = "parquet") -> str:
     path = run_path(base, run_id)
     df.write.mode("errorifexists").format(fmt).save(path)

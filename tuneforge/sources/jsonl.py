@@ -15,9 +15,27 @@ RECORD_SCHEMA = "input STRING, output STRING, text STRING"
 DIALOGUE_SCHEMA = "utterances ARRAY<STRUCT<turn_num: INT, utterance: STRING>>"
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines of text files with their file path: (file, line)."""
+def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The paths that exist; missing ones are skipped with a warning (error if none is left)."""
+    import warnings
+
+    from ..sinks.writers import path_exists
+
+    kept = [p for p in paths if path_exists(spark, p)]
+    for p in paths:
+        if p not in kept:
+            warnings.warn(f"missing input skipped: {p}", stacklevel=2)
+    if not kept:
+        raise FileNotFoundError(f"none of the inputs exists: {list(paths)}")
+    return kept
+
+
+def read_lines(spark: SparkSession, paths: str | Sequence[str], skip_missing: bool = True) -> DataFrame:
+    """Lines of text files with their file path: (file, line). Missing inputs are skipped with
+    a warning unless ``skip_missing`` is False."""
     paths = [paths] if isinstance(paths, str) else list(paths)
+    if skip_missing and not any(ch in p for p in paths for ch in "*?["):
+        paths = existing(spark, paths)
     return (spark.read.text(paths)
             .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")))
 
