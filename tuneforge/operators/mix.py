@@ -52,7 +52,8 @@ def mix_in(base: DataFrame, pool: DataFrame, key: str, ratio: float = 0.3, seed=
     n_pool = pool.count()
     require_enough(add_train + add_valid, n_pool, "dialogue pool")
     s_train = sample_exact(pool, key, add_train, seed, "mix_train")
-    remaining = exclude_sampled(pool, s_train, cols)
+    # the anti-join shuffles the pool: run it once, then count and sample from the written rows
+    remaining = materialize(exclude_sampled(pool, s_train, cols))
     require_enough(add_valid, remaining.count(), "dialogue pool after removing train samples")
     s_valid = sample_exact(remaining, key, add_valid, seed, "mix_valid")
     out = (base.withColumn(origin, F.lit("base"))

@@ -83,6 +83,22 @@ def labels_base(spark, d, spread: bool = False):
     return records.as_records(docs.join(lab, "doc_id", "left_semi"), "labels", "doc_id", text="text")
 
 
+def mix_sql(base: str) -> str:
+    """CTEs sampling the dialogue pool for a split base relation ``base`` (split, ...): cnt, pool,
+    st (train sample) and sv (valid sample, drawn after removing train values)."""
+    r = f"CAST({MIX_RATIO} AS DOUBLE)"
+    return f"""
+cnt AS (SELECT floor(sum(CASE WHEN split = 'train' THEN 1 ELSE 0 END) * {r}) AS tr_add,
+               floor(sum(CASE WHEN split = 'valid' THEN 1 ELSE 0 END) * {r}) AS va_add FROM {base}),
+pool AS (SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn_num AS VARCHAR) AS row_key, input, output FROM pairs),
+ph AS (SELECT *, row_number() OVER (ORDER BY {hash_sql('row_key', SEED, 'mix_train')}, row_key) AS rn FROM pool),
+st AS (SELECT row_key, input, output FROM ph, cnt WHERE rn <= tr_add),
+rem AS (SELECT * FROM pool p WHERE NOT EXISTS (
+          SELECT 1 FROM st WHERE st.input IS NOT DISTINCT FROM p.input AND st.output IS NOT DISTINCT FROM p.output)),
+rh AS (SELECT *, row_number() OVER (ORDER BY {hash_sql('row_key', SEED, 'mix_valid')}, row_key) AS rn FROM rem),
+sv AS (SELECT row_key, input, output FROM rh, cnt WHERE rn <= va_add)"""
+
+
 MIX_SQL = f"""
 WITH {PAIRS_CTE},
 base AS (SELECT 'labels' AS source, CAST(d.doc_id AS VARCHAR) AS row_key, d.text
@@ -91,16 +107,7 @@ bh AS (SELECT *, {hash_sql('row_key', SEED, 'split')} AS h, count(*) OVER () AS
 bs AS (SELECT source, row_key, text,
               CASE WHEN row_number() OVER (ORDER BY h, row_key) <= floor(n * CAST(0.8 AS DOUBLE))
                    THEN 'train' ELSE 'valid' END AS split FROM bh),
-cnt AS (SELECT floor(sum(CASE WHEN split = 'train' THEN 1 ELSE 0 END) * CAST({MIX_RATIO} AS DOUBLE)) AS tr_add,
-               floor(sum(CASE WHEN split = 'valid' THEN 1 ELSE 0 END) * CAST({MIX_RATIO} AS DOUBLE)) AS va_add
-        FROM bs),
-pool AS (SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn_num AS VARCHAR) AS row_key, input, output FROM pairs),
-ph AS (SELECT *, row_number() OVER (ORDER BY {hash_sql('row_key', SEED, 'mix_train')}, row_key) AS rn FROM pool),
-st AS (SELECT row_key, input, output FROM ph, cnt WHERE rn <= tr_add),
-rem AS (SELECT * FROM pool p WHERE NOT EXISTS (
-          SELECT 1 FROM st WHERE st.input IS NOT DISTINCT FROM p.input AND st.output IS NOT DISTINCT FROM p.output)),
-rh AS (SELECT *, row_number() OVER (ORDER BY {hash_sql('row_key', SEED, 'mix_valid')}, row_key) AS rn FROM rem),
-sv AS (SELECT row_key, input, output FROM rh, cnt WHERE rn <= va_add)
+{mix_sql('bs')}
 SELECT split, 'base' AS origin, row_key, CAST(NULL AS VARCHAR) AS input, CAST(NULL AS VARCHAR) AS output, text FROM bs
 UNION ALL SELECT 'train', 'pool', row_key, input, output, CAST(NULL AS VARCHAR) FROM st
 UNION ALL SELECT 'valid', 'pool', row_key, input, output, CAST(NULL AS VARCHAR) FROM sv

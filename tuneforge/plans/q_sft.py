@@ -5,10 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import prompts as P
 from ..functions import tokens as K
-from ..operators import batches, records, sft, split
-from ..session import materialize
+from .. import flows
+from ..operators import batches, split
 from ..sources import tables as T
 from .q_dialogue import labels_base, pairs
 from .q_prompts import PRE, slot_sql
@@ -61,21 +60,12 @@ def own_from_pairs(spark, d):
 
 
 def sft_rows(spark, d):
-    """Path B: capped public QA and capped own QA, prompted, encoded, unioned, held out."""
-    public = records.fill_missing(T.read_table(spark, d, "part").select(
+    """Path B: capped public QA (part) and capped own QA (dialogue pairs), prompted, encoded,
+    unioned, held out."""
+    public = T.read_table(spark, d, "part").select(
         F.col("p_partkey").cast("string").alias("row_key"), F.col("p_name").alias("instruction"),
-        F.col("p_brand").alias("input"), F.col("p_type").alias("output")))
-    public = split.take_capped(public, "row_key", PUBLIC_CAP, SEED, "cap_public")
-    own = records.fill_missing(records.drop_if_present(own_from_pairs(spark, d), "No"))
-    own = split.take_capped(own, "row_key", OWN_CAP, SEED, "cap_own")
-    pub_tok = sft.sft_encode(public, P.context_qa_prompt("instruction", "input"), F.col("output"), eos=EOS, max_len=MAX_LEN)
-    own_tok = sft.sft_encode(own, P.own_qa_prompt(own), F.col("Output"), eos=EOS, max_len=MAX_LEN)
-    cols = ["row_key", "input_ids", "labels", "n_supervised"]
-    full = records.concat(pub_tok.select(F.lit("public").alias("origin"), *cols),
-                          own_tok.select(F.lit("own").alias("origin"), *cols))
-    full = full.withColumn("_tf_key", F.concat_ws(":", "origin", "row_key"))
-    full = materialize(full)  # capped + encoded rows, read by the holdout's three passes
-    return split.holdout(full, "_tf_key", 0.8, SEED).drop("_tf_key")
+        F.col("p_brand").alias("input"), F.col("p_type").alias("output"))
+    return flows.sft_dataset(public, own_from_pairs(spark, d), PUBLIC_CAP, OWN_CAP, 0.8, SEED, EOS, MAX_LEN)
 
 
 OWN_PROMPT_SQL = (f"{PRE} || '質問：' || coalesce(Input, '') || chr(10) || chr(10) || '参考情報：' || chr(10) || "

@@ -204,3 +204,63 @@ def sheet_prompts(spark, d):
     """Batch-mode prompt table: first sheet -> fill missing -> drop the serial column -> F5."""
     t = records.drop_if_present(records.fill_missing(sheets.read_sheet_table(own_cells(spark, d), OWN_HEADERS)), "No")
     return t.select("file", "row", P.own_qa_prompt(t).alias("prompt"))
+
+
+def records_sql(kind: str, name: str) -> str:
+    """CTEs giving the kept records of the usable sheets as ``name`` (needs CELLS_SQL and the
+    mapping CTEs): QA -> (file, sheet, row, input, output); text -> (file, sheet, row, text)."""
+    if kind == "qa":
+        return f"""
+{name}_ok AS (SELECT * FROM m WHERE input_col IS NOT NULL AND output_col IS NOT NULL),
+{name}_kc AS (SELECT c.file, c.sheet, c.row, max(CASE WHEN c.col = o.input_col THEN c.value END) AS input,
+                     max(CASE WHEN c.col = o.output_col THEN c.value END) AS output
+              FROM cells c JOIN {name}_ok o ON c.file = o.file AND c.sheet = o.sheet
+              WHERE c.row > {HEADER_ROW} AND c.value IS NOT NULL AND (c.col = o.input_col OR c.col = o.output_col)
+              GROUP BY c.file, c.sheet, c.row),
+{name} AS (SELECT file, sheet, row, coalesce(input, '') AS input, coalesce(output, '') AS output
+           FROM (SELECT *, row - row_number() OVER (PARTITION BY file, sheet ORDER BY row) AS gap FROM {name}_kc)
+           WHERE gap = {HEADER_ROW})"""
+    return f"""
+{name}_ok AS (SELECT * FROM mt WHERE text_col IS NOT NULL),
+{name}_kc AS (SELECT c.file, c.sheet, c.row, max(c.value) AS text
+              FROM cells c JOIN {name}_ok o ON c.file = o.file AND c.sheet = o.sheet
+              WHERE c.row > {HEADER_ROW} AND c.value IS NOT NULL AND c.col = o.text_col
+              GROUP BY c.file, c.sheet, c.row),
+{name} AS (SELECT file, sheet, row, coalesce(text, '') AS text
+           FROM (SELECT *, row - row_number() OVER (PARTITION BY file, sheet ORDER BY row) AS gap FROM {name}_kc)
+           WHERE gap = {HEADER_ROW})"""
+
+
+def _dataset_build_sql():
+    from .q_dialogue import SEED as MIX_SEED
+    from .q_dialogue import mix_sql
+    from .sql_common import PAIRS_CTE, hash_sql
+
+    key = "file || ':' || sheet || ':' || CAST(row AS VARCHAR)"
+    return f"""
+WITH {CELLS_SQL}, {_mapping_sql()}, {records_sql('qa', 'qa_rec')}, {records_sql('text', 'tx_rec')},
+corpus2 AS (
+  SELECT 'QA' AS source, {key} AS row_key, input, output, CAST(NULL AS VARCHAR) AS text FROM qa_rec
+  UNION ALL
+  SELECT 'Text', {key}, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), text FROM tx_rec),
+bh AS (SELECT *, {hash_sql('row_key', MIX_SEED, 'split')} AS h, count(*) OVER (PARTITION BY source) AS n FROM corpus2),
+bs AS (SELECT source, row_key, input, output, text,
+              CASE WHEN row_number() OVER (PARTITION BY source ORDER BY h, row_key) <= floor(n * CAST(0.8 AS DOUBLE))
+                   THEN 'train' ELSE 'valid' END AS split FROM bh),
+{PAIRS_CTE},
+{mix_sql('bs')}
+SELECT split, 'base' AS origin, source, row_key, input, output, text FROM bs
+UNION ALL SELECT 'train', 'pool', 'dialogue', row_key, input, output, CAST(NULL AS VARCHAR) FROM st
+UNION ALL SELECT 'valid', 'pool', 'dialogue', row_key, input, output, CAST(NULL AS VARCHAR) FROM sv"""
+
+
+@query("dataset_build", _dataset_build_sql())
+def dataset_build(spark, d):
+    """Path A end to end: QA and text sheets -> records -> exact split per source -> dialogue mix."""
+    from ..flows import make_dataset
+    from .q_dialogue import pairs
+
+    cells = qa_cells(spark, d)
+    pool = pairs(spark, d).select("row_key", "input", "output")
+    out = make_dataset(cells, cells, pool, train_ratio=0.8, seed=42, mix_ratio=0.3, header_row=HEADER_ROW)
+    return out.select("split", "origin", "source", "row_key", "input", "output", "text")
