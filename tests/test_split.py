@@ -128,3 +128,14 @@ def test_bad_parameters_raise(spark):
         split.sample_exact(df, "row_key", -1, 42)
     with pytest.raises(ValueError):
         split.bounded_head(df, split.MAX_HEAD_ROWS + 1, ["v"])
+
+
+@pytest.mark.parametrize("literal", [True, False])
+def test_null_group_is_split_too(spark, monkeypatch, literal):
+    rows = [(None if i % 2 else "a", f"k{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "source string, row_key string")
+    if not literal:
+        monkeypatch.setattr(split, "MAX_LITERAL_GROUPS", 1)
+    out = split.exact_split(df, "row_key", 0.5, 42, by=["source"])
+    got = {(r.source, r.split): r["count"] for r in out.groupBy("source", "split").count().collect()}
+    assert got == {("a", "train"): 10, ("a", "valid"): 10, (None, "train"): 10, (None, "valid"): 10}

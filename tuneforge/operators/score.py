@@ -21,7 +21,10 @@ ScoreFn = Callable[[pd.Series], pd.Series]
 
 def score(df: DataFrame, prompt: str, fn: ScoreFn | None = None, loader: Callable[[], ScoreFn] | None = None,
           out: str = "generated_text") -> DataFrame:
-    """``out`` = fn(prompts) per Arrow batch, via mapInPandas (batch or streaming)."""
+    """``out`` = fn(prompts) per Arrow batch, via mapInPandas (batch or streaming).
+
+    A sampling model is not deterministic: a recomputed task (lost executor) may generate other
+    text. Write the result once (a sink, or ``session.materialize``) before reading it twice."""
     if (fn is None) == (loader is None):
         raise ValueError("give exactly one of fn or loader")
     schema = StructType([*df.schema.fields, StructField(out, StringType(), True)])

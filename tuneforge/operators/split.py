@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import BUCKET_HEX, hash_bucket, shuffle_hash
-from ..plans.small import attach_stats, checked_stats
+from ..plans.small import attach_stats, checked_stats, null_safe_join
 
 KRule = Callable[[Column], Column]
 
@@ -152,7 +152,7 @@ def first_k(df: DataFrame, key: str, k_rule: KRule, seed=42, salt: str = "", by:
     else:
         cut, n_groups = checked_stats(cut)
         bnd = boundary(attach_stats(keys, cut, gb, n_groups))
-        cut, n_groups = checked_stats(cut.join(bnd, gb, "left"))
+        cut, n_groups = checked_stats(null_safe_join(cut, bnd, gb, "left"))
         j = attach_stats(d, cut, gb, n_groups, how="left")
         j = j.withColumn(out, inside(F.col("_tf_bcut"), F.col("_tf_hcut"), F.col("_tf_keycut")))
     if keep_hash:

@@ -21,9 +21,22 @@ def checked_stats(stats: DataFrame) -> tuple[DataFrame, int]:
     return stats, stats.count()
 
 
+def null_safe_join(rows: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner",
+                   broadcast: bool = False) -> DataFrame:
+    """Equi-join on ``on`` where null keys match null keys (a group may be null)."""
+    on = list(on)
+    renamed = other.select(*[F.col(c).alias(f"_tf_j_{c}") if c in on else F.col(c) for c in other.columns])
+    if broadcast:
+        renamed = F.broadcast(renamed)
+    cond = None
+    for c in on:
+        e = rows[c].eqNullSafe(renamed[f"_tf_j_{c}"])
+        cond = e if cond is None else cond & e
+    return rows.join(renamed, cond, how).drop(*[f"_tf_j_{c}" for c in on])
+
+
 def attach_stats(rows: DataFrame, stats: DataFrame, on: Sequence[str], n_stats: int,
                  how: str = "inner") -> DataFrame:
-    """Join ``stats`` (already checked to hold ``n_stats`` rows) to ``rows`` on ``on``."""
-    if n_stats <= MAX_BROADCAST_ROWS:
-        return rows.join(F.broadcast(stats), list(on), how)
-    return rows.join(stats, list(on), how)
+    """Join ``stats`` (already checked to hold ``n_stats`` rows) to ``rows`` on ``on``
+    (null-safe); broadcast only under the size bound."""
+    return null_safe_join(rows, stats, on, how, broadcast=n_stats <= MAX_BROADCAST_ROWS)

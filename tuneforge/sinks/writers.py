@@ -44,9 +44,10 @@ def write_jsonl(df: DataFrame, path: str, cols: Sequence[str] | None = None, mod
 def write_splits(df: DataFrame, root: str, cols: Sequence[str], split: str = "split", order: str = "order_key",
                  n_files: int | None = None, mode: str = "errorifexists") -> None:
     """K-2: ``split=train/`` and ``split=valid/`` folders of JSON lines, rows in seeded order
-    (range-partitioned by (split, order key), sorted inside each file)."""
-    n = n_files or df.sparkSession.sparkContext.defaultParallelism
-    out = (df.repartitionByRange(n, split, order).sortWithinPartitions(split, order)
+    (range-partitioned by (split, order key), sorted inside each file). Without ``n_files`` the
+    number of ranges follows the shuffle settings, so file sizes track the data (AQE coalesces)."""
+    ranged = df.repartitionByRange(int(n_files), split, order) if n_files else df.repartitionByRange(split, order)
+    out = (ranged.sortWithinPartitions(split, order)
            .select(split, F.to_json(F.struct(*cols)).alias("value")))
     out.write.mode(mode).partitionBy(split).text(root)
 
