@@ -11,7 +11,9 @@ def spread_for_cpu(scan: DataFrame, key: str) -> DataFrame:
     ``key`` (which also spreads very long texts); otherwise keep the scan's own partitioning, so
     a large input is never shuffled for this. Call it on a plain scan: counting a scan's
     partitions only plans file splits and runs no job."""
-    slots = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= slots:
+    try:
+        slots = scan.sparkSession.sparkContext.defaultParallelism
+        parts = scan.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): keep the plan as is
         return scan
-    return scan.repartition(slots, key)
+    return scan if parts >= slots else scan.repartition(slots, key)
