@@ -92,7 +92,7 @@ def test_pad_batches_equal_length_per_batch(spark):
     rows = [(f"k{i}", "train" if i % 4 else "valid", [1] * rnd.randint(1, 9)) for i in range(60)]
     df = spark.createDataFrame(rows, "row_key string, split string, input_ids array<int>")
     df = df.withColumn("labels", F.col("input_ids"))
-    out = batches.pad_batches(df, "row_key", size=3, pad=0, shard_hex=1).collect()
+    out = batches.pad_batches(df, "row_key", size=3, pad=0, rows_per_shard=10).collect()
     groups = {}
     for r in out:
         groups.setdefault((r.split, r.shard, r.batch), []).append(r)
@@ -105,3 +105,13 @@ def test_pad_batches_equal_length_per_batch(spark):
             assert r.input_ids[n:] == [0] * (len(r.input_ids) - n)
             assert r.labels[n:] == [-100] * (len(r.labels) - n)
     assert len(out) == 60
+
+
+def test_one_shard_batches_are_full_but_the_last(spark):
+    rows = [(f"k{i}", "train" if i % 5 else "valid", [1] * (1 + i % 7)) for i in range(103)]
+    df = spark.createDataFrame(rows, "row_key string, split string, input_ids array<int>").withColumn("labels", F.col("input_ids"))
+    out = batches.pad_batches(df, "row_key", size=4).groupBy("split", "shard", "batch").count().collect()
+    for s in ("train", "valid"):
+        sizes = sorted((r.batch, r["count"]) for r in out if r.split == s)
+        assert all(c == 4 for _b, c in sizes[:-1]) and 1 <= sizes[-1][1] <= 4
+        assert {r.shard for r in out if r.split == s} == {0}

@@ -1,26 +1,48 @@
 """Padded batches (B1): the collator's dynamic padding as a Spark job.
 
-Rows are ordered by a seeded hash inside (split, shard), where ``shard`` is a hash prefix:
-16**shard_hex window partitions per split, so no window sees a whole split. Consecutive
-``size`` rows form a batch; ids are right-padded with the pad id, labels with -100 and the
-attention mask with 0, up to the longest row *of the batch*. Both windows share one exchange
-(hash partitioning on (split, shard) also clusters (split, shard, batch)).
+Rows are ordered by a seeded hash inside (split, shard). The shard count follows the split's
+size, one shard per ``rows_per_shard`` rows (at least one), so a window never holds more than
+about ``rows_per_shard`` rows, and a split has at most one partial batch per shard. A split under
+``rows_per_shard`` rows is one shard and batches exactly like the collator: all batches full but
+the last. Consecutive ``size`` rows form a batch; ids are right-padded with the pad id, labels
+with -100 and the attention mask with 0, up to the longest row *of the batch*. Both windows share
+one exchange (hash partitioning on (split, shard) also clusters (split, shard, batch)).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import hash_shard, shuffle_hash
+from ..functions.keys import shuffle_hash
 from ..functions.tokens import IGNORE_INDEX
 
+ROWS_PER_SHARD = 1_000_000
+MAX_SPLIT_VALUES = 64  # split labels are few (train / valid); more values use a fixed shard count
+FALLBACK_SHARDS = 4096
+
+
+def _shard_count(df: DataFrame, split: str, rows_per_shard: int) -> Column:
+    """Shards per split value from the split sizes (one small aggregate, bounded fetch)."""
+    sizes = df.groupBy(split).agg(F.count(F.lit(1)).alias("n")).limit(MAX_SPLIT_VALUES + 1).collect()
+    if len(sizes) > MAX_SPLIT_VALUES:
+        return F.lit(FALLBACK_SHARDS)
+    expr = F.lit(1)
+    for r in sizes:
+        n_shards = max(1, math.ceil(r["n"] / rows_per_shard))
+        expr = F.when(F.col(split).eqNullSafe(F.lit(r[split])), F.lit(n_shards)).otherwise(expr)
+    return expr
+
 
 def pad_batches(df: DataFrame, key: str, size: int = 2, pad: int = 0, seed=42, split: str = "split",
-                ids: str = "input_ids", labels: str = "labels", shard_hex: int = 3, salt: str = "batch") -> DataFrame:
+                ids: str = "input_ids", labels: str = "labels", rows_per_shard: int = ROWS_PER_SHARD,
+                salt: str = "batch") -> DataFrame:
     """Adds ``shard``, ``batch``, ``batch_len`` and pads ``ids``/``labels``; adds ``attention_mask``."""
-    h = shuffle_hash(key, seed, salt)
-    d = df.withColumn("_tf_h", h).withColumn("shard", hash_shard("_tf_h", shard_hex))
+    d = df.withColumn("_tf_h", shuffle_hash(key, seed, salt))
+    n_shards = _shard_count(df, split, rows_per_shard)
+    d = d.withColumn("shard", F.pmod(F.conv(F.substring("_tf_h", 1, 8), 16, 10).cast("long"), n_shards.cast("long")))
     w = Window.partitionBy(split, "shard").orderBy("_tf_h", F.col(key).cast("string"))
     d = d.withColumn("batch", F.floor((F.row_number().over(w) - 1) / int(size)).cast("long"))
     wb = Window.partitionBy(split, "shard", "batch")

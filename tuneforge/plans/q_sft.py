@@ -31,10 +31,12 @@ bs AS (SELECT row_key, text,
               CASE WHEN row_number() OVER (ORDER BY h, row_key) <= floor(n * CAST(0.8 AS DOUBLE))
                    THEN 'train' ELSE 'valid' END AS split FROM bh),
 t AS (SELECT split, row_key, list_slice({cp_sql('text')}, 1, {BATCH_LEN}) AS ids,
-             {hash_sql('row_key', SEED, 'batch')} AS h FROM bs),
-b AS (SELECT *, substr(h, 1, 3) AS shard,
-             CAST(floor((row_number() OVER (PARTITION BY split, substr(h, 1, 3) ORDER BY h, row_key) - 1) / 2) AS BIGINT)
-               AS batch FROM t),
+             {hash_sql('row_key', SEED, 'batch')} AS h,
+             greatest(1, CAST(ceil(count(*) OVER (PARTITION BY split) / {batches.ROWS_PER_SHARD}) AS BIGINT)) AS ns
+      FROM bs),
+s2 AS (SELECT *, CAST(('0x' || substr(h, 1, 8)) AS BIGINT) % ns AS shard FROM t),
+b AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY split, shard ORDER BY h, row_key) - 1) / 2) AS BIGINT)
+               AS batch FROM s2),
 e AS (SELECT *, max(len(ids)) OVER (PARTITION BY split, shard, batch) AS bl FROM b)
 SELECT split, shard, batch, CAST(bl AS INTEGER) AS batch_len, row_key,
        {txt('ids || repeat([0], bl - len(ids))')} AS input_ids,
