@@ -35,8 +35,3 @@ def shuffle_hash(key, seed, salt: str = "") -> Column:
 def hash_bucket(h, hex_digits: int = BUCKET_HEX) -> Column:
     """Integer bucket from the first ``hex_digits`` hex characters of a hash column."""
     return F.conv(F.substring(_col(h), 1, hex_digits), 16, 10).cast("int")
-
-
-def hash_shard(h, hex_digits: int = 3) -> Column:
-    """Coarse shard id (hash prefix) used to spread per-split windows over many tasks."""
-    return F.substring(_col(h), 1, hex_digits)
