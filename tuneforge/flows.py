@@ -47,7 +47,9 @@ def make_dataset(qa_cells: DataFrame | None, text_cells: DataFrame | None, pool:
         parts.append(sheet_source(qa_cells, "qa", "QA", header_row)[0])
     if text_cells is not None:
         parts.append(sheet_source(text_cells, "text", "Text", header_row)[0])
-    corpus = records.merge_sources(*parts)
+    # records come from a shuffle-heavy aggregation over all cells and feed several jobs (the
+    # cut's passes, the base counts, the final write): write them once
+    corpus = materialize(records.merge_sources(*parts))
     base = split.exact_split(corpus, "row_key", train_ratio, seed, by=["source"])
     out = mix.mix_in(base, pool.withColumn("source", F.lit("dialogue")), "row_key", mix_ratio, seed)
     if root is None or makedate is None:

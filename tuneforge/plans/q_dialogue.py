@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import dialogue, mix, records, recipes, reports, split
+from ..session import materialize
 from ..sources import tables as T
 from .registry import query
 from .sql_common import CORPUS_CTE, PAIRS_CTE, hash_sql, pairs_from
@@ -70,7 +71,7 @@ def exclude_sampled(spark, d):
     """The pool holds every pair twice (two keys, equal values); removing a sampled pair by
     value must remove both copies."""
     p = pairs(spark, d).select("row_key", "input", "output")
-    pool = p.unionByName(p.withColumn("row_key", F.concat("row_key", F.lit(":b"))))
+    pool = materialize(p.unionByName(p.withColumn("row_key", F.concat("row_key", F.lit(":b")))))
     sampled = split.sample_exact(pool, "row_key", 100, SEED, "exclude")
     return mix.exclude_sampled(pool, sampled)
 
