@@ -2,7 +2,7 @@
 
 The function is the user's (a model, a service client, a rule); it receives an Arrow batch of
 prompts as a pandas Series and returns the generated texts. ``loader`` builds it once per task
-(for example to load a model), never once per row.
+(for example to load a model) once per Python worker process, never once per row.
 """
 
 from __future__ import annotations
@@ -19,8 +19,20 @@ from ..functions.text import result_time, strip_echo
 ScoreFn = Callable[[pd.Series], pd.Series]
 
 
+def _loaded(loader: Callable[[], ScoreFn], key: str) -> ScoreFn:
+    """The loader's result, built once per Python worker process (workers are reused across
+    tasks), so a model is not reloaded for every partition. The cache lives on the pyspark
+    module, which workers import by reference."""
+    import pyspark
+
+    cache = pyspark.__dict__.setdefault("_tuneforge_loaded", {})
+    if key not in cache:
+        cache[key] = loader()
+    return cache[key]
+
+
 def score(df: DataFrame, prompt: str, fn: ScoreFn | None = None, loader: Callable[[], ScoreFn] | None = None,
-          out: str = "generated_text") -> DataFrame:
+          out: str = "generated_text", cache_key: str | None = None) -> DataFrame:
     """``out`` = fn(prompts) per Arrow batch, via mapInPandas (batch or streaming).
 
     A sampling model is not deterministic: a recomputed task (lost executor) may generate other
@@ -28,9 +40,10 @@ def score(df: DataFrame, prompt: str, fn: ScoreFn | None = None, loader: Callabl
     if (fn is None) == (loader is None):
         raise ValueError("give exactly one of fn or loader")
     schema = StructType([*df.schema.fields, StructField(out, StringType(), True)])
+    key = cache_key or (f"{getattr(loader, '__module__', '')}.{getattr(loader, '__qualname__', '')}" if loader else "")
 
     def run(batches):
-        f = loader() if loader is not None else fn
+        f = _loaded(loader, key) if loader is not None else fn
         for pdf in batches:
             gen = f(pdf[prompt])
             pdf[out] = pd.Series(list(gen), index=pdf.index, dtype=object)
