@@ -1,8 +1,8 @@
 """Running a user's function over prompt tables (X2, F8, F9) and shaping result rows.
 
 The function is the user's (a model, a service client, a rule); it receives an Arrow batch of
-prompts as a pandas Series and returns the generated texts. ``loader`` builds it once per task
-(for example to load a model) once per Python worker process, never once per row.
+prompts as a pandas Series and returns the generated texts. ``loader`` builds it (for example,
+loads a model) once per Python worker process, never once per row.
 """
 
 from __future__ import annotations
