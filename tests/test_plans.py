@@ -44,3 +44,15 @@ def test_split_scan_reads_keys_only(spark):
 def test_role_filter_reaches_the_scan(spark):
     plan = _plan(QUERIES["dialogue_pairs"](spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(role), Not(EqualTo(role,system))]" in plan or "Not(EqualTo(role,system))" in plan
+
+
+def test_spread_only_when_under_partitioned(spark, tmp_dir):
+    from tuneforge.plans.layout import spread_for_cpu
+
+    small = spark.read.parquet(f"{SF_SMALL}/documents.parquet")  # one row group: fewer splits than slots
+    assert "Exchange" in _plan(spread_for_cpu(small, "doc_id"))
+    path = f"{tmp_dir}/many"
+    spark.range(0, 10_000, 1, 16).write.parquet(path)
+    many = spark.read.option("maxPartitionBytes", "1k").parquet(path)
+    assert many.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert spread_for_cpu(many, "id") is many
