@@ -46,8 +46,7 @@ def pad_batches(df: DataFrame, key: str, size: int = 2, pad: int = 0, seed=42, s
     w = Window.partitionBy(split, "shard").orderBy("_tf_h", F.col(key).cast("string"))
     d = d.withColumn("batch", F.floor((F.row_number().over(w) - 1) / int(size)).cast("long"))
     wb = Window.partitionBy(split, "shard", "batch")
-    d = (d.withColumn("batch_len", F.max(F.size(ids)).over(wb))
-         .withColumn("_tf_llen", F.max(F.size(labels)).over(wb)))
+    d = d.select("*", F.max(F.size(ids)).over(wb).alias("batch_len"), F.max(F.size(labels)).over(wb).alias("_tf_llen"))
     gap = F.col("batch_len") - F.size(ids)
     lgap = F.col("_tf_llen") - F.size(labels)
     return (d.withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), F.size(ids)), F.array_repeat(F.lit(0), gap)))
