@@ -139,3 +139,12 @@ def test_null_group_is_split_too(spark, monkeypatch, literal):
     out = split.exact_split(df, "row_key", 0.5, 42, by=["source"])
     got = {(r.source, r.split): r["count"] for r in out.groupBy("source", "split").count().collect()}
     assert got == {("a", "train"): 10, ("a", "valid"): 10, (None, "train"): 10, (None, "valid"): 10}
+
+
+@pytest.mark.parametrize("literal", [True, False])
+def test_duplicate_keys_at_the_cut_raise(spark, monkeypatch, literal):
+    df = spark.createDataFrame([("a", "same")] * 10, "source string, row_key string")
+    if not literal:
+        monkeypatch.setattr(split, "MAX_LITERAL_GROUPS", 0)
+    with pytest.raises(ValueError, match="not unique"):
+        split.exact_split(df, "row_key", 0.5, 42, by=["source"])

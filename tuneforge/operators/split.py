@@ -101,8 +101,9 @@ def first_k(df: DataFrame, key: str, k_rule: KRule, seed=42, salt: str = "", by:
             out: str = "_tf_first", bucket_hex: int = BUCKET_HEX, keep_hash: str | None = None) -> DataFrame:
     """Add boolean ``out``: the row is among the first k of its group in seeded hash order.
 
-    ``key`` must identify a row within its group. ``seed`` is an int or a column name that is
-    constant within a group (listed in ``by``)."""
+    ``key`` must identify a row within its group (a run of equal keys across the cut raises
+    ``ValueError``). ``seed`` is an int or a column name that is constant within a group (listed
+    in ``by``)."""
     by = list(by)
     seed_c = F.col(seed) if isinstance(seed, str) else seed
     d = df.withColumn("_tf_h", shuffle_hash(key, seed_c, salt)).withColumn("_tf_b", hash_bucket("_tf_h", bucket_hex))
@@ -125,12 +126,21 @@ def first_k(df: DataFrame, key: str, k_rule: KRule, seed=42, salt: str = "", by:
     w_bnd = Window.partitionBy(*gb).orderBy("_tf_h", "_tf_key")
     h, k = F.col("_tf_h"), _key_str(key)
 
+    w_same = Window.partitionBy(*gb, "_tf_h", "_tf_key")
+
     def boundary(rows_with_cut: DataFrame) -> DataFrame:
-        # step 3: rank only the boundary bucket rows -> last admitted (h, key) per group
+        # step 3: rank only the boundary bucket rows -> last admitted (h, key) per group; rows
+        # sharing the cut row's key are counted, since a cut inside such a run cannot be exact
         return (rows_with_cut.where(F.col("_tf_b") == F.col("_tf_bcut"))
                 .withColumn("_tf_rn", F.row_number().over(w_bnd))
+                .withColumn("_tf_same", F.count(F.lit(1)).over(w_same))
                 .where(F.col("_tf_rn") == F.col("_tf_k") - F.col("_tf_before"))
-                .select(*gb, F.col("_tf_h").alias("_tf_hcut"), F.col("_tf_key").alias("_tf_keycut")))
+                .select(*gb, F.col("_tf_h").alias("_tf_hcut"), F.col("_tf_key").alias("_tf_keycut"), "_tf_same"))
+
+    def unique_at_cut(same_counts) -> None:
+        if any(c is not None and c > 1 for c in same_counts):
+            raise ValueError(f"key {key!r} is not unique within its group at the cut; derive a unique key "
+                             "(e.g. sources.jsonl.line_keys numbers equal rows)")
 
     def inside(bcut: Column, hcut: Column, keycut: Column) -> Column:
         # step 4: one narrow pass: (h, key) <= (h_cut, key_cut)
@@ -144,6 +154,7 @@ def first_k(df: DataFrame, key: str, k_rule: KRule, seed=42, salt: str = "", by:
                             _lookup(small, gb, "_tf_k", "long"))
         bnd_rows = boundary(keys.select("*", bcut.alias("_tf_bcut"), before.alias("_tf_before"), kk.alias("_tf_k")))
         bnd = [r.asDict() for r in bnd_rows.collect()]  # at most one row per group
+        unique_at_cut([r["_tf_same"] for r in bnd])
         if bnd:
             hcut, keycut = _lookup(bnd, gb, "_tf_hcut", "string"), _lookup(bnd, gb, "_tf_keycut", "string")
         else:
@@ -153,11 +164,12 @@ def first_k(df: DataFrame, key: str, k_rule: KRule, seed=42, salt: str = "", by:
         cut, n_groups = checked_stats(cut)
         bnd = boundary(attach_stats(keys, cut, gb, n_groups))
         cut, n_groups = checked_stats(null_safe_join(cut, bnd, gb, "left"))
+        unique_at_cut([r[0] for r in cut.where(F.col("_tf_same") > 1).select("_tf_same").limit(1).collect()])
         j = attach_stats(d, cut, gb, n_groups, how="left")
         j = j.withColumn(out, inside(F.col("_tf_bcut"), F.col("_tf_hcut"), F.col("_tf_keycut")))
     if keep_hash:
         j = j.withColumnRenamed("_tf_h", keep_hash)
-    return j.drop("_tf_h", "_tf_b", "_tf_bcut", "_tf_before", "_tf_k", "_tf_hcut", "_tf_keycut", "_tf_grp")
+    return j.drop("_tf_h", "_tf_b", "_tf_bcut", "_tf_before", "_tf_k", "_tf_hcut", "_tf_keycut", "_tf_same", "_tf_grp")
 
 
 # ---------------------------------------------------------------------------------------------
