@@ -38,3 +38,10 @@ def test_prompt_results(spark):
                                keep=["file", "row"])
     rows = out.collect()
     assert rows and all(r.generated_text == "ok" and r.timestamp == "2024-01-01 00:00:00" for r in rows)
+
+
+def test_prompt_builder_is_pluggable(spark):
+    table = q_sheets.sheets.read_sheet_table(q_sheets.own_cells(spark, SF_SMALL), q_sheets.OWN_HEADERS)
+    out = flows.prompt_results(table, fn=lambda s: s + " x", clock=F.lit("2024-01-01 00:00:00").cast("timestamp"),
+                               keep=["row"], builder=lambda df: F.concat(F.lit("Q: "), F.col("Input")))
+    assert all(r.input_text.startswith("Q: ") and r.generated_text == "x" for r in out.collect())

@@ -61,19 +61,26 @@ def make_dataset(qa_cells: DataFrame | None, text_cells: DataFrame | None, pool:
     return spark.read.text(path)
 
 
+def _context_qa(df: DataFrame) -> Column:
+    return P.context_qa_prompt("instruction", "input")
+
+
 def sft_dataset(public: DataFrame, own: DataFrame, public_cap: int, own_cap: int, train_ratio: float = 0.8,
                 seed: int = 42, eos: int = 2, max_len: int = 2048,
-                tokenize: Callable[[Column], Column] | None = None) -> DataFrame:
+                tokenize: Callable[[Column], Column] | None = None,
+                public_prompt: P.PromptBuilder = _context_qa, own_prompt: P.PromptBuilder = P.own_qa_prompt,
+                public_answer: str = "output", own_answer: str = "Output") -> DataFrame:
     """Path B. ``public``: (row_key, instruction, input, output); ``own``: (row_key, Input,
     Output, Source_i, Context_i, Context_know-how[, No]). Caps come before encoding; the union
-    is held out with validation = ceil((1 - ratio) * n)."""
+    is held out with validation = ceil((1 - ratio) * n). Prompt builders are pluggable (X3): any
+    ``DataFrame -> Column``; the defaults are the two shipped templates."""
     kw = {"eos": eos, "max_len": max_len}
     if tokenize is not None:
         kw["tokenize"] = tokenize
     pub = split.take_capped(records.fill_missing(public), "row_key", public_cap, seed, "cap_public")
     own = split.take_capped(records.fill_missing(records.drop_if_present(own, "No")), "row_key", own_cap, seed, "cap_own")
-    pub_tok = sft.sft_encode(pub, P.context_qa_prompt("instruction", "input"), F.col("output"), **kw)
-    own_tok = sft.sft_encode(own, P.own_qa_prompt(own), F.col("Output"), **kw)
+    pub_tok = sft.sft_encode(pub, public_prompt(pub), F.col(public_answer), **kw)
+    own_tok = sft.sft_encode(own, own_prompt(own), F.col(own_answer), **kw)
     cols = ["row_key", "input_ids", "labels", "n_supervised"]
     full = records.concat(pub_tok.select(F.lit("public").alias("origin"), *cols),
                           own_tok.select(F.lit("own").alias("origin"), *cols))
@@ -82,9 +89,10 @@ def sft_dataset(public: DataFrame, own: DataFrame, public_cap: int, own_cap: int
 
 
 def prompt_results(table: DataFrame, fn: ScoreFn | None = None, loader=None, clock: Column | None = None,
-                   keep=()) -> DataFrame:
-    """Path D (batch): prompts built from an own-QA table, scored, echo stripped, timestamped."""
+                   keep=(), builder: P.PromptBuilder = P.own_qa_prompt) -> DataFrame:
+    """Path D (batch): prompts built from an own-QA table (``builder``, X3), scored, echo
+    stripped, timestamped."""
     t = records.drop_if_present(records.fill_missing(table), "No")
-    scored = score(t.select(*keep, P.own_qa_prompt(t).alias("prompt")), "prompt", fn=fn, loader=loader)
+    scored = score(t.select(*keep, builder(t).alias("prompt")), "prompt", fn=fn, loader=loader)
     return result_rows(scored, "prompt", "generated_text", clock if clock is not None else F.current_timestamp(), keep)
 
