@@ -204,7 +204,7 @@ def test_missing_jsonl_inputs_are_skipped(spark, tmp_dir):
     with pytest.warns(UserWarning, match="missing input"):
         rec, _ = jsonl.read_jsonl(spark, [p, os.path.join(tmp_dir, "nope.jsonl")])
     assert rec.count() == 1
-    with pytest.raises(FileNotFoundError):
+    with pytest.raises(FileNotFoundError), pytest.warns(UserWarning, match="missing input"):
         jsonl.read_jsonl(spark, [os.path.join(tmp_dir, "nope.jsonl")])
 
 
