@@ -148,3 +148,14 @@ def test_duplicate_keys_at_the_cut_raise(spark, monkeypatch, literal):
         monkeypatch.setattr(split, "MAX_LITERAL_GROUPS", 0)
     with pytest.raises(ValueError, match="not unique"):
         split.exact_split(df, "row_key", 0.5, 42, by=["source"])
+
+
+@pytest.mark.parametrize("literal", [True, False])
+def test_split_totals_match_counts(spark, monkeypatch, literal):
+    df = _rows(spark, 37, ("a", "b", "c"))
+    if not literal:
+        monkeypatch.setattr(split, "MAX_LITERAL_GROUPS", 1)
+    totals = {}
+    out = split.exact_split(df, "row_key", 0.7, 42, by=["source"], totals=totals)
+    got = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
+    assert split.split_sizes(totals) == (got["train"], got["valid"]) == (3 * 25, 3 * 12)

@@ -50,8 +50,10 @@ def make_dataset(qa_cells: DataFrame | None, text_cells: DataFrame | None, pool:
     # records come from a shuffle-heavy aggregation over all cells and feed several jobs (the
     # cut's passes, the base counts, the final write): write them once
     corpus = materialize(records.merge_sources(*parts))
-    base = split.exact_split(corpus, "row_key", train_ratio, seed, by=["source"])
-    out = mix.mix_in(base, pool.withColumn("source", F.lit("dialogue")), "row_key", mix_ratio, seed)
+    totals: dict = {}
+    base = split.exact_split(corpus, "row_key", train_ratio, seed, by=["source"], totals=totals)
+    out = mix.mix_in(base, pool.withColumn("source", F.lit("dialogue")), "row_key", mix_ratio, seed,
+                     base_sizes=split.split_sizes(totals))
     if root is None or makedate is None:
         return out
     path = W.dataset_path(root, makedate, seed, train_ratio)

@@ -39,14 +39,17 @@ def split_counts(base: DataFrame, split: str = "split") -> tuple[int, int]:
 
 
 def mix_in(base: DataFrame, pool: DataFrame, key: str, ratio: float = 0.3, seed=42,
-           cols: Sequence[str] = ("input", "output"), split: str = "split", origin: str = "origin") -> DataFrame:
+           cols: Sequence[str] = ("input", "output"), split: str = "split", origin: str = "origin",
+           base_sizes: tuple[int, int] | None = None) -> DataFrame:
     """Add floor(|train|*ratio) pool rows to train and floor(|valid|*ratio) to valid.
 
     The valid sample is drawn only from pool rows whose values differ from every train sample,
     so no pair leaks across splits. Both sufficiency checks (before and after the anti-join)
     raise ``ValueError``. Output: the base rows and the sampled rows, with ``origin`` telling
-    them apart, and ``order_key`` (seeded hash) to order each split when writing."""
-    n_train, n_valid = split_counts(base, split)
+    them apart, and ``order_key`` (seeded hash) to order each split when writing. ``base_sizes``
+    (train, valid) skips counting the base when the split already knows them
+    (``split.split_sizes``)."""
+    n_train, n_valid = base_sizes if base_sizes is not None else split_counts(base, split)
     add_train, add_valid = mix_sizes(n_train, n_valid, ratio)
     pool = materialize(pool)  # read by several jobs below: written once to the shared folder
     n_pool = pool.count()

@@ -98,12 +98,14 @@ def _small_rows(df: DataFrame):
 
 
 def first_k(df: DataFrame, key: str, k_rule: KRule, seed=42, salt: str = "", by: Sequence[str] = (),
-            out: str = "_tf_first", bucket_hex: int = BUCKET_HEX, keep_hash: str | None = None) -> DataFrame:
+            out: str = "_tf_first", bucket_hex: int = BUCKET_HEX, keep_hash: str | None = None,
+            totals: dict | None = None) -> DataFrame:
     """Add boolean ``out``: the row is among the first k of its group in seeded hash order.
 
     ``key`` must identify a row within its group (a run of equal keys across the cut raises
     ``ValueError``). ``seed`` is an int or a column name that is constant within a group (listed
-    in ``by``)."""
+    in ``by``). ``totals``, when given, receives ``n`` (rows) and ``k`` (rows in the first part)
+    summed over the groups, from the cut statistics (no pass over the rows)."""
     by = list(by)
     seed_c = F.col(seed) if isinstance(seed, str) else seed
     d = df.withColumn("_tf_h", shuffle_hash(key, seed_c, salt)).withColumn("_tf_b", hash_bucket("_tf_h", bucket_hex))
@@ -121,7 +123,7 @@ def first_k(df: DataFrame, key: str, k_rule: KRule, seed=42, salt: str = "", by:
            .groupBy(*gb)
            .agg(F.min("_tf_b").alias("_tf_bcut"),
                 F.min_by(F.col("_tf_cum") - F.col("_tf_c"), F.col("_tf_b")).alias("_tf_before"),
-                F.max("_tf_k").alias("_tf_k")))
+                F.max("_tf_k").alias("_tf_k"), F.max("_tf_n").alias("_tf_n")))
     keys = d.select(*gb, "_tf_h", "_tf_b", _key_str(key).alias("_tf_key"))
     w_bnd = Window.partitionBy(*gb).orderBy("_tf_h", "_tf_key")
     h, k = F.col("_tf_h"), _key_str(key)
@@ -149,6 +151,8 @@ def first_k(df: DataFrame, key: str, k_rule: KRule, seed=42, salt: str = "", by:
                                        & ((h < hcut) | ((h == hcut) & (k <= keycut)))), F.lit(False))
 
     small = _small_rows(cut)
+    if small is not None and totals is not None:
+        totals.update(n=sum(r["_tf_n"] for r in small), k=sum(r["_tf_k"] for r in small))
     if small is not None:
         bcut, before, kk = (_lookup(small, gb, "_tf_bcut", "int"), _lookup(small, gb, "_tf_before", "long"),
                             _lookup(small, gb, "_tf_k", "long"))
@@ -162,6 +166,9 @@ def first_k(df: DataFrame, key: str, k_rule: KRule, seed=42, salt: str = "", by:
         j = d.withColumn(out, inside(bcut, hcut, keycut))
     else:
         cut, n_groups = checked_stats(cut)
+        if totals is not None:
+            row = cut.agg(F.sum("_tf_n").alias("n"), F.sum("_tf_k").alias("k")).first()
+            totals.update(n=int(row["n"] or 0), k=int(row["k"] or 0))
         bnd = boundary(attach_stats(keys, cut, gb, n_groups))
         cut, n_groups = checked_stats(null_safe_join(cut, bnd, gb, "left"))
         unique_at_cut([r[0] for r in cut.where(F.col("_tf_same") > 1).select("_tf_same").limit(1).collect()])
@@ -169,7 +176,8 @@ def first_k(df: DataFrame, key: str, k_rule: KRule, seed=42, salt: str = "", by:
         j = j.withColumn(out, inside(F.col("_tf_bcut"), F.col("_tf_hcut"), F.col("_tf_keycut")))
     if keep_hash:
         j = j.withColumnRenamed("_tf_h", keep_hash)
-    return j.drop("_tf_h", "_tf_b", "_tf_bcut", "_tf_before", "_tf_k", "_tf_hcut", "_tf_keycut", "_tf_same", "_tf_grp")
+    return j.drop("_tf_h", "_tf_b", "_tf_bcut", "_tf_before", "_tf_k", "_tf_n", "_tf_hcut", "_tf_keycut", "_tf_same",
+                  "_tf_grp")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -183,16 +191,22 @@ def seeded_shuffle(df: DataFrame, key: str, seed=42, salt: str = "shuffle", out:
 
 
 def exact_split(df: DataFrame, key: str, ratio=0.8, seed=42, by: Sequence[str] = ("source",),
-                mode: str = "floor_train", salt: str = "split", out: str = "split") -> DataFrame:
+                mode: str = "floor_train", salt: str = "split", out: str = "split",
+                totals: dict | None = None) -> DataFrame:
     """Per group, the first k rows in hash order -> 'train', the rest -> 'valid'.
 
     mode 'floor_train': k = floor(n*ratio) (dataset maker); 'ceil_valid': the validation part is
     ceil((1-ratio)*n) (holdout)."""
     rule = {"floor_train": floor_train, "ceil_valid": ceil_valid}[mode](ratio)
-    r = first_k(df, key, rule, seed, salt, by, out="_tf_first")
+    r = first_k(df, key, rule, seed, salt, by, out="_tf_first", totals=totals)
     return r.withColumn(out, F.when(F.col("_tf_first"), F.lit("train")).otherwise(F.lit("valid"))).drop("_tf_first")
 
 
+def split_sizes(totals: dict) -> tuple[int, int]:
+    """(train, valid) sizes from the ``totals`` an exact split filled in."""
+    return int(totals["k"]), int(totals["n"]) - int(totals["k"])
+
+
 def holdout(df: DataFrame, key: str, ratio=0.8, seed=42, by: Sequence[str] = (), salt: str = "holdout",
             out: str = "split") -> DataFrame:
     """Validation gets ceil((1-ratio)*n) rows (library holdout arithmetic)."""

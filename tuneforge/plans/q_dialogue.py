@@ -117,9 +117,10 @@ UNION ALL SELECT 'valid', 'pool', row_key, input, output, CAST(NULL AS VARCHAR)
 
 @query("mix_dialogue", MIX_SQL)
 def mix_dialogue(spark, d):
-    base = split.exact_split(labels_base(spark, d), "row_key", 0.8, SEED, by=["source"])
+    totals: dict = {}
+    base = split.exact_split(labels_base(spark, d), "row_key", 0.8, SEED, by=["source"], totals=totals)
     pool = pairs(spark, d).select("row_key", "input", "output")
-    out = mix.mix_in(base, pool, "row_key", MIX_RATIO, SEED)
+    out = mix.mix_in(base, pool, "row_key", MIX_RATIO, SEED, base_sizes=split.split_sizes(totals))
     return out.select("split", "origin", "row_key", "input", "output", "text")
 
 
