@@ -159,3 +159,14 @@ def test_split_totals_match_counts(spark, monkeypatch, literal):
     out = split.exact_split(df, "row_key", 0.7, 42, by=["source"], totals=totals)
     got = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
     assert split.split_sizes(totals) == (got["train"], got["valid"]) == (3 * 25, 3 * 12)
+
+
+@pytest.mark.parametrize("literal", [True, False])
+def test_empty_input(spark, monkeypatch, literal):
+    df = _rows(spark, 3).where("v < 0")
+    if not literal:
+        monkeypatch.setattr(split, "MAX_LITERAL_GROUPS", 0)
+    totals = {}
+    assert split.exact_split(df, "row_key", 0.8, 42, by=["source"], totals=totals).count() == 0
+    assert totals == {"n": 0, "k": 0}
+    assert split.sample_exact(df, "row_key", 5, 42).count() == 0

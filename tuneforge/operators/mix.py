@@ -52,13 +52,15 @@ def mix_in(base: DataFrame, pool: DataFrame, key: str, ratio: float = 0.3, seed=
     n_train, n_valid = base_sizes if base_sizes is not None else split_counts(base, split)
     add_train, add_valid = mix_sizes(n_train, n_valid, ratio)
     pool = materialize(pool)  # read by several jobs below: written once to the shared folder
-    n_pool = pool.count()
-    require_enough(add_train + add_valid, n_pool, "dialogue pool")
-    s_train = sample_exact(pool, key, add_train, seed, "mix_train")
-    # the anti-join shuffles the pool: run it once, then count and sample from the written rows
+    # each sample's cut counts its input, so the pool sizes come from the cuts, not extra passes
+    t_train: dict = {}
+    s_train = sample_exact(pool, key, add_train, seed, "mix_train", totals=t_train)
+    require_enough(add_train + add_valid, t_train["n"], "dialogue pool")
+    # the anti-join shuffles the pool: run it once, then sample from the written rows
     remaining = materialize(exclude_sampled(pool, s_train, cols))
-    require_enough(add_valid, remaining.count(), "dialogue pool after removing train samples")
-    s_valid = sample_exact(remaining, key, add_valid, seed, "mix_valid")
+    t_valid: dict = {}
+    s_valid = sample_exact(remaining, key, add_valid, seed, "mix_valid", totals=t_valid)
+    require_enough(add_valid, t_valid["n"], "dialogue pool after removing train samples")
     out = (base.withColumn(origin, F.lit("base"))
            .unionByName(s_train.withColumn(split, F.lit("train")).withColumn(origin, F.lit("pool")),
                         allowMissingColumns=True)

@@ -89,7 +89,8 @@ def _lookup(rows, gb: list[str], field: str, dtype: str) -> Column:
             cond = e if cond is None else cond & e
         val = F.lit(r[field]).cast(dtype)
         expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr.otherwise(F.lit(None).cast(dtype))
+    null = F.lit(None).cast(dtype)
+    return null if expr is None else expr.otherwise(null)
 
 
 def _small_rows(df: DataFrame):
@@ -213,9 +214,11 @@ def holdout(df: DataFrame, key: str, ratio=0.8, seed=42, by: Sequence[str] = (),
     return exact_split(df, key, ratio, seed, by, mode="ceil_valid", salt=salt, out=out)
 
 
-def sample_exact(df: DataFrame, key: str, k, seed=42, salt: str = "sample", by: Sequence[str] = ()) -> DataFrame:
-    """Exactly min(k, n) rows per group without replacement (seeded)."""
-    return first_k(df, key, absolute(k), seed, salt, by).where("_tf_first").drop("_tf_first")
+def sample_exact(df: DataFrame, key: str, k, seed=42, salt: str = "sample", by: Sequence[str] = (),
+                 totals: dict | None = None) -> DataFrame:
+    """Exactly min(k, n) rows per group without replacement (seeded). ``totals`` receives the
+    input size ``n`` (and ``k``) from the cut statistics."""
+    return first_k(df, key, absolute(k), seed, salt, by, totals=totals).where("_tf_first").drop("_tf_first")
 
 
 def take_capped(df: DataFrame, key: str, k, seed=42, salt: str = "cap", by: Sequence[str] = ()) -> DataFrame:
