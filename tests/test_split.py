@@ -170,3 +170,14 @@ def test_empty_input(spark, monkeypatch, literal):
     assert split.exact_split(df, "row_key", 0.8, 42, by=["source"], totals=totals).count() == 0
     assert totals == {"n": 0, "k": 0}
     assert split.sample_exact(df, "row_key", 5, 42).count() == 0
+
+
+def test_duplicates_away_from_the_cut_are_fine(spark):
+    rows = [("a", f"k{i}") for i in range(20)] + [("a", "k3")] * 2  # a run of three equal keys
+    df = spark.createDataFrame(rows, "source string, row_key string")
+    h = {r.row_key: r.h for r in df.select("row_key", shuffle_hash("row_key", 42, "split").alias("h")).distinct().collect()}
+    order = sorted(set(h), key=lambda k: (h[k], k))
+    pos = order.index("k3")  # rows before k3's run, the run itself, then the rest
+    ratio_k = pos + 3 if pos + 3 <= 22 else pos  # a cut right after the run (or right before it)
+    out = split.first_k(df, "row_key", split.absolute(ratio_k), 42, "split", ["source"]).where("_tf_first")
+    assert out.count() == ratio_k

@@ -129,19 +129,20 @@ def first_k(df: DataFrame, key: str, k_rule: KRule, seed=42, salt: str = "", by:
     w_bnd = Window.partitionBy(*gb).orderBy("_tf_h", "_tf_key")
     h, k = F.col("_tf_h"), _key_str(key)
 
-    w_same = Window.partitionBy(*gb, "_tf_h", "_tf_key")
-
     def boundary(rows_with_cut: DataFrame) -> DataFrame:
-        # step 3: rank only the boundary bucket rows -> last admitted (h, key) per group; rows
-        # sharing the cut row's key are counted, since a cut inside such a run cannot be exact
+        # step 3: rank only the boundary bucket rows -> last admitted (h, key) per group. The next
+        # row in the same order is read too: if it has the cut row's (h, key), a run of equal
+        # keys straddles the cut and no (h, key) threshold can be exact.
+        nxt_h, nxt_k = F.lead("_tf_h").over(w_bnd), F.lead("_tf_key").over(w_bnd)
         return (rows_with_cut.where(F.col("_tf_b") == F.col("_tf_bcut"))
-                .withColumn("_tf_rn", F.row_number().over(w_bnd))
-                .withColumn("_tf_same", F.count(F.lit(1)).over(w_same))
+                .select("*", F.row_number().over(w_bnd).alias("_tf_rn"),
+                        F.coalesce((nxt_h == F.col("_tf_h")) & (nxt_k == F.col("_tf_key")), F.lit(False))
+                        .alias("_tf_straddle"))
                 .where(F.col("_tf_rn") == F.col("_tf_k") - F.col("_tf_before"))
-                .select(*gb, F.col("_tf_h").alias("_tf_hcut"), F.col("_tf_key").alias("_tf_keycut"), "_tf_same"))
+                .select(*gb, F.col("_tf_h").alias("_tf_hcut"), F.col("_tf_key").alias("_tf_keycut"), "_tf_straddle"))
 
-    def unique_at_cut(same_counts) -> None:
-        if any(c is not None and c > 1 for c in same_counts):
+    def unique_at_cut(flags) -> None:
+        if any(flags):
             raise ValueError(f"key {key!r} is not unique within its group at the cut; derive a unique key "
                              "(e.g. sources.jsonl.line_keys numbers equal rows)")
 
@@ -159,7 +160,7 @@ def first_k(df: DataFrame, key: str, k_rule: KRule, seed=42, salt: str = "", by:
                             _lookup(small, gb, "_tf_k", "long"))
         bnd_rows = boundary(keys.select("*", bcut.alias("_tf_bcut"), before.alias("_tf_before"), kk.alias("_tf_k")))
         bnd = [r.asDict() for r in bnd_rows.collect()]  # at most one row per group
-        unique_at_cut([r["_tf_same"] for r in bnd])
+        unique_at_cut([r["_tf_straddle"] for r in bnd])
         if bnd:
             hcut, keycut = _lookup(bnd, gb, "_tf_hcut", "string"), _lookup(bnd, gb, "_tf_keycut", "string")
         else:
@@ -172,12 +173,12 @@ def first_k(df: DataFrame, key: str, k_rule: KRule, seed=42, salt: str = "", by:
             totals.update(n=int(row["n"] or 0), k=int(row["k"] or 0))
         bnd = boundary(attach_stats(keys, cut, gb, n_groups))
         cut, n_groups = checked_stats(null_safe_join(cut, bnd, gb, "left"))
-        unique_at_cut([r[0] for r in cut.where(F.col("_tf_same") > 1).select("_tf_same").limit(1).collect()])
+        unique_at_cut([r[0] for r in cut.where(F.col("_tf_straddle")).select("_tf_straddle").limit(1).collect()])
         j = attach_stats(d, cut, gb, n_groups, how="left")
         j = j.withColumn(out, inside(F.col("_tf_bcut"), F.col("_tf_hcut"), F.col("_tf_keycut")))
     if keep_hash:
         j = j.withColumnRenamed("_tf_h", keep_hash)
-    return j.drop("_tf_h", "_tf_b", "_tf_bcut", "_tf_before", "_tf_k", "_tf_n", "_tf_hcut", "_tf_keycut", "_tf_same",
+    return j.drop("_tf_h", "_tf_b", "_tf_bcut", "_tf_before", "_tf_k", "_tf_n", "_tf_hcut", "_tf_keycut", "_tf_straddle",
                   "_tf_grp")
 
 
