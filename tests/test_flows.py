@@ -45,3 +45,11 @@ def test_prompt_builder_is_pluggable(spark):
     out = flows.prompt_results(table, fn=lambda s: s + " x", clock=F.lit("2024-01-01 00:00:00").cast("timestamp"),
                                keep=["row"], builder=lambda df: F.concat(F.lit("Q: "), F.col("Input")))
     assert all(r.input_text.startswith("Q: ") and r.generated_text == "x" for r in out.collect())
+
+
+def test_public_api_exports():
+    import tuneforge.api as api
+
+    for name in ["exact_split", "sample_exact", "holdout", "mix_in", "pair_turns", "pad_batches", "score",
+                 "score_stream", "read_cells", "read_jsonl", "write_splits", "make_dataset", "sft_dataset", "tokenise"]:
+        assert callable(getattr(api, name)), name
