@@ -62,3 +62,18 @@ def test_first_blank_matches_row_loop(spark, present):
     ok, _ = sheets.drop_unmapped_sheets(df, sheets.resolve_columns(df, 5, "qa"), "qa")
     got = sorted((r.row, r.input, r.output) for r in sheets.sheet_records(df, ok, 5, "qa").collect())
     assert got == _first_blank_reference(cells, 5, 2, 3)
+
+
+@settings(**SETTINGS)
+@given(sizes=st.lists(st.integers(min_value=1, max_value=50), min_size=1, max_size=3),
+       k=st.integers(min_value=0, max_value=60), seed=st.integers(min_value=0, max_value=10_000))
+def test_sample_exact_matches_python(spark, sizes, k, seed):
+    rows = [(f"g{g}", f"k{g}_{i}") for g, n in enumerate(sizes) for i in range(n)]
+    df = spark.createDataFrame(rows, "source string, row_key string")
+    got = {(r.source, r.row_key) for r in split.sample_exact(df, "row_key", k, seed, "s", by=["source"]).collect()}
+    hashes = {(r.source, r.row_key): r.h for r in df.select("*", shuffle_hash("row_key", seed, "s").alias("h")).collect()}
+    want = set()
+    for g, n in enumerate(sizes):
+        keys = sorted((hashes[(f"g{g}", f"k{g}_{i}")], f"k{g}_{i}") for i in range(n))
+        want |= {(f"g{g}", key) for _h, key in keys[:k]}
+    assert got == want
