@@ -1,6 +1,6 @@
 """User tokenizers (X1): a ``tokenizers`` JSON definition run in an Arrow UDF.
 
-The JSON is broadcast once; each Python worker builds the tokenizer once per task and encodes
+The JSON is broadcast once; each Python worker builds the tokenizer once per setting and encodes
 whole Arrow batches with ``encode_batch_fast``; the ids go back as one ``pyarrow.ListArray``
 built from flat offsets and values (no per-row Python objects on the way out). Output is
 ``array<int>``, the same type as the code-point backend, so all label and padding functions

@@ -2,7 +2,7 @@
 
 Ids are ``array<int>`` columns. The built-in backend is a code-point tokeniser that runs as
 plain SQL (one id per Unicode code point, no special tokens); a user tokenizer runs through
-``functions.tokenizer`` (Arrow-batched pandas UDF) and yields the same column type, so every
+``functions.tokenizer`` (an Arrow UDF) and yields the same column type, so every
 function here works with either backend.
 """
 
