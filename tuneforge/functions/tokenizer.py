@@ -16,13 +16,15 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-_CACHE: dict[tuple, object] = {}
-
-
 def _tokenizer(js: str, max_length: int | None = None):
-    """Build (once per worker and setting) the tokenizer, truncating at ``max_length`` or not."""
+    """Build (once per Python worker and setting) the tokenizer, truncating at ``max_length`` or
+    not. The cache lives on the pyspark module, which workers import by reference (this package
+    is shipped by value, so its own module state is rebuilt for every task)."""
+    import pyspark
+
+    cache = pyspark.__dict__.setdefault("_tuneforge_tokenizers", {})
     key = (hash(js), max_length)
-    tok = _CACHE.get(key)
+    tok = cache.get(key)
     if tok is None:
         from tokenizers import Tokenizer
 
@@ -31,7 +33,7 @@ def _tokenizer(js: str, max_length: int | None = None):
             tok.no_truncation()
         else:
             tok.enable_truncation(int(max_length))
-        _CACHE[key] = tok
+        cache[key] = tok
     return tok
 
 
