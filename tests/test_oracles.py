@@ -4,13 +4,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tuneforge.plans.catalog import QUERIES as CATALOG
 from tuneforge.plans.compare import same_result
 from tuneforge.sources.tables import TABLES
 
 from .conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = {n: q for n, q in E.queries().items() if n in CATALOG}
+ORACLES = {n: q for n, q in E.oracle_sql().items() if n in CATALOG}
 
 
 @pytest.fixture(scope="module")
