@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixture, sharding
+from . import bpe, exact_dedup, mixture, sharding
 from .common import table
 
 QUERIES: dict = {}
@@ -49,3 +50,12 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_documents(table(spark, sf_dir, "documents"), SHARDS)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select(
+        "doc_id", F.col("n_ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
