@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixture, sharding
+from . import bpe, exact_dedup, mixture, sharding, token_store, toxicity
 from .common import table
 
 QUERIES: dict = {}
@@ -59,3 +59,28 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(encoded, ranks).select(
         "doc_id", F.col("n_ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def toxicity_model(documents: DataFrame, labels: DataFrame) -> toxicity.Machine:
+    """Fitted on labelled rows that are not held out."""
+    rows = toxicity.fit_rows(documents, labels.filter(~toxicity.held_out(F.col("doc_id"))))
+    return toxicity.fit([t for t, _ in rows], [y for _, y in rows])
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_model(documents, table(spark, sf_dir, "labels"))
+    return toxicity.score(documents, model).select(
+        "doc_id", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+END_ID = 2
+
+
+@query
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    _, manifest = token_store.write_store(table(spark, sf_dir, "documents"), path, END_ID)
+    return token_store.read_store(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
