@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixture, sharding, token_store, toxicity, warc
+from . import bpe, exact_dedup, html_main, mixture, sharding, token_store, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -105,3 +105,9 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
 FROM f
 """
+
+
+@query
+def op5_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -147,11 +147,11 @@ def mark_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
              .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1 and _first is not null"))
     repeats = (rows.select("_id", "_digest").join(first, "_digest")
                .filter(~F.col("_id").eqNullSafe(F.col("_first")))
-               .select(F.coalesce(F.col("_id"), F.lit(-1)).alias("_k"), "_digest", F.col("_first").alias("_refers")).distinct())
+               .select(F.coalesce(F.col("_id").cast("string"), F.lit("")).alias("_k"), "_digest", F.col("_first").alias("_refers")).distinct())
     repeats = written(repeats, "warc-repeats")
     if repeats.isEmpty():
         return rows.withColumn("_refers", F.lit(None).cast("long"))
-    rows = rows.withColumn("_k", F.coalesce(F.col("_id"), F.lit(-1)))
+    rows = rows.withColumn("_k", F.coalesce(F.col("_id").cast("string"), F.lit("")))
     return (rows.join(repeats, ["_k", "_digest"], "left").drop("_k")
             .withColumn("_payload", F.when(F.col("_refers").isNull(), F.col("_payload"))))
 
