@@ -3,21 +3,20 @@
 A tokenizer that treats each word of a text separately needs to see each distinct word once:
 
 1. *Blocks.* Each task splits its texts into words with their positions, kept packed: a block holds the
-   documents of about ``BLOCK_CHARS`` characters, their word numbers in text order, and the block's
-   distinct words, dealt by hash into buckets. Blocks are written as a table.
+   documents of about ``BLOCK_CHARS`` characters. Its word numbers in text order stay in one packed file
+   of the shared scratch folder; its distinct words, dealt by hash into buckets, are a written table.
 2. *Distinct words.* The blocks' word lists are shuffled by bucket, so all copies of a word meet in one
    task, which encodes each distinct word once and answers each block's list with the words' ids.
-3. *Reassembly.* The answers are joined back to their block, and each document's ids are gathered by
-   position.
+3. *Reassembly.* The answers are grouped back by block, and each document's ids are gathered by position.
 
-The occurrences themselves (most of the corpus) are shuffled once, as compressed word numbers. A hot
-word is one entry per block. The number of buckets follows the corpus, so a bucket's vocabulary is
+The occurrences themselves (most of the corpus) are never shuffled. A hot word is one entry per block. The number of buckets follows the corpus, so a bucket's vocabulary is
 bounded at any size."""
 
 from __future__ import annotations
 
 import re
 import sys
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,7 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .common import written
+from .files import make_folder, open_input, open_output
 
 BLOCK_CHARS = 16_000_000
 BUCKET_CHARS = 4_000_000
@@ -100,31 +101,64 @@ def _unpack(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
-_BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("lens", pa.list_(pa.int32())),
-                    ("codes", pa.binary()),
-                    ("lists", pa.list_(pa.struct([("bucket", pa.int64()), ("words", pa.binary())])))])
-_BLOCK_SQL = "block long, ids array<long>, lens array<int>, codes binary, lists array<struct<bucket:long,words:binary>>"
+def pack_arrays(*arrays: np.ndarray) -> bytes:
+    """Integer arrays, stored byte plane by byte plane in as few bytes a number as their values need."""
+    out = [np.array([len(arrays)], "<i8").tobytes()]
+    for a in arrays:
+        a = np.asarray(a, np.int64)
+        low = int(a.min()) if len(a) else 0
+        a = (a - low).view(np.uint64)
+        width = (int(a.max()).bit_length() + 7) // 8 if len(a) else 0
+        out.append(np.array([len(a), low, width], "<i8").tobytes())
+        out += [(a >> np.uint64(8 * k)).astype(np.uint8).tobytes() for k in range(width)]
+    return _pack(b"".join(out))
+
+
+def unpack_arrays(data: bytes) -> list[np.ndarray]:
+    raw = np.frombuffer(_unpack(data), np.uint8)
+    at, out = 8, []
+    for _ in range(int(raw[:8].view("<i8")[0])):
+        n, low, width = (int(x) for x in raw[at:at + 24].copy().view("<i8"))
+        at += 24
+        a = np.zeros(n, np.uint64)
+        for k in range(width):
+            a |= raw[at:at + n].astype(np.uint64) << np.uint64(8 * k)
+            at += n
+        out.append(a.view(np.int64) + low)
+    return out
+
+
+NO_ID = -(1 << 62)  # stands for a null id
 
 
-def _block(number: int, ids: list, lens: list[int], codes: list[np.ndarray], words: list[str], buckets: int) -> pa.RecordBatch:
+def _block(path: str, ids: list, lens: list[int], codes: list[np.ndarray], words: list[str], buckets: int) -> pa.RecordBatch:
+    """Write the positions of a block to ``path`` and return its word lists, one per bucket."""
     import xxhash
 
-    used, codes = np.unique(np.concatenate(codes) if codes else np.zeros(0, np.uint32), return_inverse=True)
-    texts = [(" " if c & 1 else "") + words[c >> 1] for c in used.tolist()]
-    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    used, codes, counts = np.unique(np.concatenate(codes) if codes else np.zeros(0, np.uint32),
+                                    return_inverse=True, return_counts=True)
+    raw = [((" " if c & 1 else "") + words[c >> 1]).encode("utf-8", "surrogatepass") for c in used.tolist()]
     bucket = np.fromiter((xxhash.xxh64_intdigest(r) % buckets for r in raw), np.int64, len(raw))
-    order = np.argsort(bucket, kind="stable")
-    place = np.empty(len(raw), np.uint32)
-    place[order] = np.arange(len(raw), dtype=np.uint32)
+    # Lists are in bucket order, each sorted; positions count words from the most frequent one.
+    order = np.array(sorted(range(len(raw)), key=raw.__getitem__), np.int64)
+    order = order[np.argsort(bucket[order], kind="stable")]
+    place, rank = np.empty(len(raw), np.int64), np.empty(len(raw), np.int64)
+    place[order] = np.arange(len(raw))
+    common = np.argsort(-counts, kind="stable")
+    rank[common] = np.arange(len(raw))
+    with open_output(path) as f:
+        f.write(pack_arrays([NO_ID if i is None else i for i in ids], lens, place[common], rank[codes]))
     lists = []
-    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-    for part in np.split(order, cuts) if len(raw) else []:
+    for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
         own = [raw[i] for i in part.tolist()]
-        sizes = np.fromiter(map(len, own), np.uint32, len(own))
-        lists.append({"bucket": int(bucket[part[0]]),
-                      "words": _pack(np.uint32(len(own)).tobytes() + sizes.tobytes() + b"".join(own))})
-    return pa.RecordBatch.from_pylist([{"block": number, "ids": ids, "lens": lens, "lists": lists,
-                                        "codes": _pack(place[codes].astype("<u4").tobytes())}], schema=_BLOCK)
+        lists.append((path, int(bucket[part[0]]) if len(part) else 0,
+                      _pack(pack_head(own) + b"".join(own))))
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(
+        zip(*lists, strict=True), (pa.string(), pa.int64(), pa.binary()), strict=True)], names=["block", "bucket", "words"])
+
+
+def pack_head(words: list[bytes]) -> bytes:
+    return np.array([len(words), *map(len, words)], "<u4").tobytes()
 
 
 def _words_of(blob: bytes) -> list[str]:
@@ -146,11 +180,11 @@ def encode_texts(docs: DataFrame, id_col: str, text_col: str, split: Split, load
     chars = rows.agg(F.sum(F.length("_text"))).first()[0] or 0
     buckets = max(16, chars // BUCKET_CHARS)
 
-    def make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+    folder = scratch_path(docs.sparkSession, "word-blocks")
+    make_folder(folder)
 
-        number, held = TaskContext.get().partitionId() << 32, 0
-        ids, lens, codes, numbers = [], [], [], _Numbers()
+    def make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, ids, lens, codes, numbers = 0, [], [], [], _Numbers()
         for batch in batches:
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py()
@@ -160,13 +194,13 @@ def encode_texts(docs: DataFrame, id_col: str, text_col: str, split: Split, load
                 codes.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)) * 2 + lead)
                 held += len(text)
                 if held >= block_chars:
-                    yield _block(number, ids, lens, codes, list(numbers), buckets)
-                    number, held = number + 1, 0
-                    ids, lens, codes, numbers = [], [], [], _Numbers()
+                    yield _block(f"{folder}/{uuid.uuid4().hex}", ids, lens, codes, list(numbers), buckets)
+                    held, ids, lens, codes, numbers = 0, [], [], [], _Numbers()
         if ids:
-            yield _block(number, ids, lens, codes, list(numbers), buckets)
+            yield _block(f"{folder}/{uuid.uuid4().hex}", ids, lens, codes, list(numbers), buckets)
 
-    blocks = written(rows.mapInArrow(make_blocks, _BLOCK_SQL), "word-blocks")
+    # Written before use: only blocks of finished tasks count, and a lost executor re-reads them.
+    lists = written(rows.mapInArrow(make_blocks, "block string, bucket long, words binary"), "word-lists")
 
     def encode_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, known, at = load(), {}, None
@@ -180,40 +214,36 @@ def encode_texts(docs: DataFrame, id_col: str, text_col: str, split: Split, load
                 for w, got in zip(new, encoder(new) if new else [], strict=True):
                     known[w] = np.array(got, np.uint32)
                 found = [known[w] for w in words]
-                counts = np.fromiter(map(len, found), np.uint32, len(found))
-                out.append(_pack(np.uint32(len(found)).tobytes() + counts.tobytes() + np.concatenate(found).tobytes()))
+                counts = np.fromiter(map(len, found), np.int64, len(found))
+                out.append(pack_arrays(counts, np.concatenate([*found, np.zeros(0, np.uint32)])))
             yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("bucket"), pa.array(out, pa.binary())],
                                              names=["block", "bucket", "coded"])
 
-    lists = blocks.select("block", F.explode("lists").alias("_l")).select("block", "_l.bucket", "_l.words")
     coded = (lists.repartition("bucket").sortWithinPartitions("bucket")
-             .mapInArrow(encode_lists, "block long, bucket long, coded binary"))
+             .mapInArrow(encode_lists, "block string, bucket long, coded binary"))
     kind = pa.schema([("_id", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.binary())])
 
-    def reassemble(block: pa.Table, answers: pa.Table) -> pa.Table:
-        counts, ids = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
+    def reassemble(answers: pa.Table) -> pa.Table:
         listed = sorted(zip(answers["bucket"].to_pylist(), answers["coded"].to_pylist(), strict=True))
-        for _, blob in listed:
-            raw = np.frombuffer(_unpack(blob), "<u4")
-            n = int(raw[0])
-            counts.append(raw[1:n + 1])
-            ids.append(raw[n + 1:])
-        counts, ids = np.concatenate(counts).astype(np.int64), np.concatenate(ids)
+        parts = [unpack_arrays(blob) for _, blob in listed]
+        counts = np.concatenate([p[0] for p in parts])
+        tokens = np.concatenate([p[1] for p in parts]).astype(np.uint32)
         starts = np.cumsum(counts) - counts
-        out, n_out = [], []
-        row = block.to_pylist()[0]
-        codes, at = np.frombuffer(_unpack(row["codes"]), "<u4"), 0
-        for n in row["lens"]:
+        with open_input(answers["block"][0].as_py()) as f:
+            ids, lens, place, codes = unpack_arrays(f.read())
+        counts, starts = counts[place], starts[place]
+        out, n_out, at = [], [], 0
+        for n in lens.tolist():
             own = codes[at:at + n]
             at += n
             size = counts[own]
             before = np.cumsum(size) - size
-            got = ids[np.repeat(starts[own] - before, size) + np.arange(int(size.sum()))]
+            got = tokens[np.repeat(starts[own] - before, size) + np.arange(int(size.sum()))]
             n_out.append(len(got))
             out.append(got.astype("<u4").tobytes() if finish is None else finish(got))
-        return pa.Table.from_arrays([pa.array(row["ids"], pa.int64()), pa.array(n_out, pa.int64()),
+        ids = [None if i == NO_ID else i for i in ids.tolist()]
+        return pa.Table.from_arrays([pa.array(ids, pa.int64()), pa.array(n_out, pa.int64()),
                                      pa.array(out, pa.binary())], schema=kind)
 
-    done = (blocks.select("block", "ids", "lens", "codes").groupBy("block").cogroup(coded.groupBy("block"))
-            .applyInArrow(reassemble, "_id long, n_ids long, ids binary"))
+    done = coded.groupBy("block").applyInArrow(reassemble, "_id long, n_ids long, ids binary")
     return done.withColumnRenamed("_id", id_col)
