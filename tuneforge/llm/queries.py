@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_main, mixture, sharding, token_store, toxicity, warc
+from . import bpe, exact_dedup, html_main, mixture, near_dup, sharding, token_store, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -111,3 +111,9 @@ FROM f
 def op5_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(table(spark, sf_dir, "pages")).select(
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near_dup.near_classes(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
