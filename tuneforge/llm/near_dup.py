@@ -178,7 +178,7 @@ def _count_pass(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     counted = written(docs.mapInArrow(run, "_id long, digest binary, block int, salt int, counts binary"), "near-counts")
 
     def add(group: pa.Table) -> pa.Table:
-        total = sum(unpack_arrays(c)[0] for c in group["counts"].to_pylist())
+        total = sum(unpack_arrays(c)[0].astype(np.int64) for c in group["counts"].to_pylist())
         return pa.table({"block": group["block"][:1], "salt": group["salt"][:1], "counts": pa.array([pack_arrays(total)], pa.binary())})
 
     schema = "block int, salt int, counts binary"

@@ -28,7 +28,7 @@ from ..session import scratch_path
 from .common import written
 from .files import make_folder, open_input, open_output
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 12_000_000
 BUCKET_CHARS = 4_000_000
 # Unicode White_Space, as regular expression engines other than Python's define \s.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -105,26 +105,30 @@ def pack_arrays(*arrays: np.ndarray) -> bytes:
     """Integer arrays, stored byte plane by byte plane in as few bytes a number as their values need."""
     out = [np.array([len(arrays)], "<i8").tobytes()]
     for a in arrays:
-        a = np.asarray(a, np.int64)
+        a = np.asarray(a)
         low = int(a.min()) if len(a) else 0
-        a = (a - low).view(np.uint64)
+        a = a - a.dtype.type(low) if len(a) else a
         width = (int(a.max()).bit_length() + 7) // 8 if len(a) else 0
         out.append(np.array([len(a), low, width], "<i8").tobytes())
-        out += [(a >> np.uint64(8 * k)).astype(np.uint8).tobytes() for k in range(width)]
+        planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize) if width else None
+        out += [planes[:, k].tobytes() for k in range(width)]
     return _pack(b"".join(out))
 
 
 def unpack_arrays(data: bytes) -> list[np.ndarray]:
+    """The packed arrays: unsigned 32-bit where that holds them, else signed 64-bit."""
     raw = np.frombuffer(_unpack(data), np.uint8)
     at, out = 8, []
     for _ in range(int(raw[:8].view("<i8")[0])):
         n, low, width = (int(x) for x in raw[at:at + 24].copy().view("<i8"))
         at += 24
-        a = np.zeros(n, np.uint64)
+        small = low >= 0 and width <= 3 and low < 1 << 31
+        planes = np.zeros((n, 4 if small else 8), np.uint8)
         for k in range(width):
-            a |= raw[at:at + n].astype(np.uint64) << np.uint64(8 * k)
+            planes[:, k] = raw[at:at + n]
             at += n
-        out.append(a.view(np.int64) + low)
+        a = planes.view("<u4" if small else "<i8")[:, 0] if n else np.zeros(0, "<u4" if small else "<i8")
+        out.append(a + a.dtype.type(low) if low else a)
     return out
 
 
@@ -135,19 +139,22 @@ def _block(path: str, ids: list, lens: list[int], codes: list[np.ndarray], words
     """Write the positions of a block to ``path`` and return its word lists, one per bucket."""
     import xxhash
 
-    used, codes, counts = np.unique(np.concatenate(codes) if codes else np.zeros(0, np.uint32),
-                                    return_inverse=True, return_counts=True)
+    codes = np.concatenate([*codes, np.zeros(0, np.uint32)])
+    counts = np.bincount(codes, minlength=2 * len(words))
+    used = np.flatnonzero(counts)
+    counts = counts[used]
     raw = [((" " if c & 1 else "") + words[c >> 1]).encode("utf-8", "surrogatepass") for c in used.tolist()]
     bucket = np.fromiter((xxhash.xxh64_intdigest(r) % buckets for r in raw), np.int64, len(raw))
     # Lists are in bucket order, each sorted; positions count words from the most frequent one.
     order = np.array(sorted(range(len(raw)), key=raw.__getitem__), np.int64)
     order = order[np.argsort(bucket[order], kind="stable")]
-    place, rank = np.empty(len(raw), np.int64), np.empty(len(raw), np.int64)
-    place[order] = np.arange(len(raw))
+    place, rank = np.empty(len(raw), np.uint32), np.zeros(2 * len(words), np.uint32)
+    place[order] = np.arange(len(raw), dtype=np.uint32)
     common = np.argsort(-counts, kind="stable")
-    rank[common] = np.arange(len(raw))
+    rank[used[common]] = np.arange(len(raw), dtype=np.uint32)
     with open_output(path) as f:
-        f.write(pack_arrays([NO_ID if i is None else i for i in ids], lens, place[common], rank[codes]))
+        f.write(pack_arrays(np.array([NO_ID if i is None else i for i in ids], np.int64), np.array(lens, np.int64),
+                            place[common], rank[codes]))
     lists = []
     for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
         own = [raw[i] for i in part.tolist()]
@@ -226,8 +233,9 @@ def encode_texts(docs: DataFrame, id_col: str, text_col: str, split: Split, load
     def reassemble(answers: pa.Table) -> pa.Table:
         listed = sorted(zip(answers["bucket"].to_pylist(), answers["coded"].to_pylist(), strict=True))
         parts = [unpack_arrays(blob) for _, blob in listed]
-        counts = np.concatenate([p[0] for p in parts])
+        counts = np.concatenate([p[0] for p in parts]).astype(np.int64)
         tokens = np.concatenate([p[1] for p in parts]).astype(np.uint32)
+        del parts, listed
         starts = np.cumsum(counts) - counts
         with open_input(answers["block"][0].as_py()) as f:
             ids, lens, place, codes = unpack_arrays(f.read())
