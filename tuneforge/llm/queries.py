@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_main, mixture, near_dup, sharding, token_store, toxicity, warc
+from . import bpe, exact_dedup, hilbert_ann, html_main, mixture, near_dup, sharding, token_store, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -117,3 +117,8 @@ def op5_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = near_dup.near_classes(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
+@query
+def op10_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_ann.search(table(spark, sf_dir, "embeddings"), queries_every=20, k=20)
