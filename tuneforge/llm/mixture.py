@@ -120,3 +120,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
            .select(F.col("_id").alias(id_col), "source_key", "size", "source_size", "target",
                    F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
     return out, pieces.withColumnRenamed("_id", id_col)
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kw) -> DataFrame:
+    """The mix as rows of ``docs``, whole and with all their columns: a document appears once for each play that
+    takes any of its words, and not at all if none is taken."""
+    def part(c: str):
+        return F.coalesce(F.col(c).cast("string"), F.lit("\x00"))
+
+    keyed = docs.withColumn("_key", F.sha2(F.concat_ws("\x1f", part(id_col), part(source_col), part(text_col)), 256))
+    _, pieces = mix(keyed.select("_key", text_col, source_col), "_key", text_col, source_col, **kw)
+    plays = (pieces.groupBy("_key", "source_key", "start", "epoch").agg(F.sum("words").alias("_w"))
+             .groupBy("_key").agg(F.count(F.lit(1)).cast("int").alias("_n")))
+    return (keyed.dropDuplicates(["_key"]).join(plays, "_key")
+            .withColumn("_play", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_key", "_n", "_play"))
