@@ -33,7 +33,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
             return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(ranks_path), special_tokens={})
 
         encoding = worker_cache(("bpe", ranks_path, pattern), make)
-        return lambda words: [encoding.encode_ordinary(w) for w in words]
+        return lambda words, known: known.update((w, np.array(encoding.encode_ordinary(w), np.uint32)) for w in words)
 
     return wordcode.encode_texts(docs, id_col, text_col, wordcode.split_keeping_space, load, block_chars=block_chars)
 

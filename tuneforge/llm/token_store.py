@@ -18,10 +18,13 @@ without segments."""
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +40,7 @@ from .wordcode import worker_cache
 MAGIC = b"TOKSEG1\n"
 FOOTER = "<QQQQHB32s8s"  # index offset and size, documents, token ids, format, id width, dictionary, magic
 SAMPLE_DOCS = 400
-DICTIONARY_BYTES = 32_768
+DICTIONARY_BYTES = 65_536
 SEGMENT_CHARS = 16_000_000
 NO_ID = -(1 << 63)
 
@@ -57,13 +60,41 @@ def _tokenizer(path: str):
 
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", finish=None,
            block_chars: int = wordcode.BLOCK_CHARS) -> DataFrame:
-    """(id, n_ids, ids) by a word-splitting tokenizer file, each distinct word encoded once."""
+    """(id, n_ids, ids) by a tokenizer file whose words end at white space and whose letters and punctuation are
+    split before merging, each distinct word encoded once."""
 
     def load():
         t = _tokenizer(tokenizer_path)
-        return lambda words: [e.ids for e in t.encode_batch_fast(words, add_special_tokens=False)]
 
-    return wordcode.encode_texts(docs, id_col, text_col, wordcode.split_dropping_space, load, finish, block_chars)
+        def run(words: list[str], known: dict) -> None:
+            cut = [(m.group(1), m.group(2)) if (m := _stop.match(w)) else (w,) for w in words]
+            parts = [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in known]
+            for p, e in zip(parts, t.encode_batch_fast(parts, add_special_tokens=False), strict=True):
+                known[p] = np.array(e.ids, np.uint32)
+            for w, c in zip(words, cut, strict=True):
+                if len(c) == 2:
+                    known[w] = np.concatenate([known[c[0]], known[c[1]]])
+
+        return run
+
+    split = lower_split if _splits_and_lowers(tokenizer_path) else wordcode.split_dropping_space
+    return wordcode.encode_texts(docs, id_col, text_col, split, load, finish, block_chars)
+
+
+_stop = re.compile(r"([^\W\d_]+)([.,])\Z")
+_wide = re.compile("[^\x00-\u024f]")
+
+
+def lower_split(text: str) -> tuple[list[str], np.ndarray]:
+    """Words in lower case where that is the same in every library: no letter beyond Latin Extended-B."""
+    return wordcode.split_dropping_space(text if not text.isascii() and _wide.search(text) else text.lower())
+
+
+def _splits_and_lowers(path: str) -> bool:
+    """Whether the tokenizer lowers its texts itself, so lower-case words give the same ids."""
+    with open(path, encoding="utf-8") as f:
+        normalizer = json.load(f).get("normalizer") or {}
+    return "Lowercase" in [n["type"] for n in normalizer.get("normalizers", [normalizer]) if n]
 
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, width: int, id_col: str, text_col: str) -> bytes:
@@ -106,7 +137,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str |
     def finish(ids: np.ndarray) -> bytes:
         import zstandard
 
-        tool = worker_cache(("compressor", digest), lambda: zstandard.ZstdCompressor(level=3, dict_data=_zdict(dictionary)))
+        tool = worker_cache(("compressor", digest), lambda: zstandard.ZstdCompressor(level=6, dict_data=_zdict(dictionary)))
         return tool.compress(np.append(ids, end_id).astype(f"<u{width}").tobytes())
 
     frames = encode(docs, tokenizer_path, id_col, text_col, finish).withColumnRenamed(id_col, "_id")

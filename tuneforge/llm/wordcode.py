@@ -34,7 +34,8 @@ BUCKET_CHARS = 4_000_000
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 Split = Callable[[str], tuple[list[str], np.ndarray]]  # words of a text, and 1 where a space leads the word
-Encoder = Callable[[list[str]], list[list[int]]]
+# Adds the ids of new words to a dictionary of known ones, which is kept for a bucket.
+Encoder = Callable[[list[str], dict], None]
 
 
 def worker_cache(key, make):
@@ -50,7 +51,8 @@ def split_keeping_space(text: str) -> tuple[list[str], np.ndarray]:
     one leading space; of a longer white-space run, its last character stands alone."""
     if not text:
         return [], np.zeros(0, np.uint32)
-    if not _rough.search(text):  # only single spaces and single line feeds, none at either end
+    if not text[0].isspace() and not text[-1].isspace() and not any(map(text.__contains__, _ROUGH)):
+        # only single spaces and single line feeds, none at either end
         words, lead = [], []
         for k, line in enumerate(text.split("\n")):
             own = line.split(" ")
@@ -66,18 +68,21 @@ def split_keeping_space(text: str) -> tuple[list[str], np.ndarray]:
     return [c[1:] if f else c for c, f in zip(chunks, flags.tolist(), strict=True)], flags
 
 
-_rough = re.compile(r"\s\s|\A\s|\s\Z|[^\S \n]")
+_ODD = "\x1c\x1d\x1e\x1f"  # white space for str methods only
+# Two white-space characters in a row, or one other than space and line feed. Substring tests, as they scan
+# many times faster than a pattern.
+_ROUGH = ["  ", "\n\n", " \n", "\n ", *_ODD, "\t", "\r", "\x0b", "\x0c", "\x85", "\xa0", "\u1680", "\u2028", "\u2029", "\u202f",
+          "\u205f", "\u3000", *map(chr, range(0x2000, 0x200B))]
 _space = re.compile(f"[{SPACE}]")
 _chunk = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
 def split_dropping_space(text: str) -> tuple[list[str], np.ndarray]:
     """The runs of non-spaces of a text."""
-    words = text.split() if not _odd.search(text) else [w for w in _runs.split(text) if w]
+    words = text.split() if not any(map(text.__contains__, _ODD)) else [w for w in _runs.split(text) if w]
     return words, np.zeros(len(words), np.uint32)
 
 
-_odd = re.compile("[\x1c-\x1f]")  # white space for str.split only
 _runs = re.compile(f"[{SPACE}]+")
 
 
@@ -144,10 +149,10 @@ def _block(path: str, ids: list, lens: list[int], codes: list[np.ndarray], words
     used = np.flatnonzero(counts)
     counts = counts[used]
     raw = [((" " if c & 1 else "") + words[c >> 1]).encode("utf-8", "surrogatepass") for c in used.tolist()]
-    bucket = np.fromiter((xxhash.xxh64_intdigest(r) % buckets for r in raw), np.int64, len(raw))
-    # Lists are in bucket order, each sorted; positions count words from the most frequent one.
-    order = np.array(sorted(range(len(raw)), key=raw.__getitem__), np.int64)
-    order = order[np.argsort(bucket[order], kind="stable")]
+    # Forms of a word that differ by case or a full stop or comma share a bucket, so an encoder can reuse the stem.
+    bucket = np.fromiter((xxhash.xxh64_intdigest(r.rstrip(b".,").lower()) % buckets for r in raw), np.int64, len(raw))
+    # Lists are in bucket order, each sorted by its words' first bytes; positions count from the most frequent word.
+    order = np.lexsort((np.array(raw, "S8").view(">u8"), bucket)) if raw else np.zeros(0, np.int64)
     place, rank = np.empty(len(raw), np.uint32), np.zeros(2 * len(words), np.uint32)
     place[order] = np.arange(len(raw), dtype=np.uint32)
     common = np.argsort(-counts, kind="stable")
@@ -218,8 +223,8 @@ def encode_texts(docs: DataFrame, id_col: str, text_col: str, split: Split, load
                     known, at = {}, bucket
                 words = _words_of(blob)
                 new = [w for w in words if w not in known]
-                for w, got in zip(new, encoder(new) if new else [], strict=True):
-                    known[w] = np.array(got, np.uint32)
+                if new:
+                    encoder(new, known)
                 found = [known[w] for w in words]
                 counts = np.fromiter(map(len, found), np.int64, len(found))
                 out.append(pack_arrays(counts, np.concatenate([*found, np.zeros(0, np.uint32)])))
