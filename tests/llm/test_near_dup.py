@@ -10,7 +10,7 @@ from tuneforge.llm.components import components
 
 
 def weighted(text, df, n):
-    words = re.findall(r"\w+", (text or "").lower())
+    words = [w for w in (re.sub(r"^[\W_]+|[\W_]+$", "", w.lower()) for w in (text or "").split()) if w]
     out = {}
     for i in range(max(1, len(words) - 4) if words else 0):
         out[tuple(words[i:i + 5])] = out.get(tuple(words[i:i + 5]), 0) + 1

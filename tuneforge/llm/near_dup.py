@@ -42,17 +42,22 @@ RARE = 2048.0  # idf stops growing at one text of so many
 MAX_ROUNDS = 8
 CHUNK = 16_384  # shingles sampled at once, so the arrays stay in the CPU's cache
 
-_word = re.compile(r"\w+")
+_edge = re.compile(r"^[\W_]+|[\W_]+$")
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
 
 class _Hashes(dict):
+    """Word as written -> hash of the word in lower case, without punctuation at its ends; 0 if nothing is left."""
+
     def __missing__(self, word):
         import xxhash
 
         if len(self) > 500_000:  # a cache only
             self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        bare = word.lower()
+        if not bare.isalnum():
+            bare = _edge.sub("", bare)
+        h = self[word] = xxhash.xxh64_intdigest(bare.encode("utf-8", "surrogatepass")) or 1 if bare else 0
         return h
 
 
@@ -63,18 +68,18 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 def shingles(text: str | None, hashes: _Hashes, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, bytes]:
     """(distinct shingle hashes ascending, their counts, digest of the words)."""
-    words = _word.findall((text or "").lower())
-    if not words:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), hashlib.blake2b(
-            b"\x00" + " ".join((text or "").split()).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+    words = (text or "").split()
     h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    h = h[h != 0]
+    if not len(h):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), hashlib.blake2b(
+            b"\x00" + " ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
     n = max(1, len(h) - k + 1)
     s = np.zeros(n, np.uint64)
     for i in range(min(k, len(h))):
         s = (s ^ h[i:i + n]) * _MIX[i % 4]
         s ^= s >> np.uint64(31)
-    digest = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-    return *np.unique(_mix(s), return_counts=True), digest
+    return *np.unique(_mix(s), return_counts=True), hashlib.blake2b(h.tobytes(), digest_size=16).digest()
 
 
 def weights(own: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -97,32 +102,53 @@ def _gamma2_quantiles(n: int) -> np.ndarray:
 
 
 class Sampler:
-    """Improved consistent weighted sampling; the draws of a (shingle, sample) pair come from its hash."""
+    """Improved consistent weighted sampling: of a text's shingles k with weights S, sample j takes the least
+
+        ln a = ln c - r (t - beta + 1),   t = floor(ln S / r + beta)
+
+    with r, c ~ Gamma(2, 1) and beta ~ U(0, 1) drawn by the hash of (k, j), and names it by (k, t). As
+    ln c - ln S - r <= ln a, the shingle with the least lower bound is worked out first, and then only those
+    whose lower bound is not above its ln a. (r, c) come in 65,536 fixed pairs: each side's quantiles, paired at
+    random. Ties go to the smaller hash."""
 
     def __init__(self, samples: int):
+        rng = np.random.default_rng(11)
         gamma = _gamma2_quantiles(1 << 16)
-        self.r, self.inverse_r, self.log_c = gamma.astype("f4"), (1 / gamma).astype("f4"), np.log(gamma).astype("f4")
-        self.seeds = np.random.default_rng(11).integers(1, 1 << 63, samples, dtype=np.uint64)
+        self.r = rng.permutation(gamma).astype("f4")
+        self.log_c = np.log(gamma).astype("f4")
+        self.low = self.log_c - self.r
+        self.seeds = rng.integers(1, 1 << 63, samples, dtype=np.uint64) | np.uint64(1)
 
     def sample(self, own: np.ndarray, log_weight: np.ndarray, lens: np.ndarray) -> np.ndarray:
         """(texts, samples) sample ids of texts whose shingles follow each other in ``own``; no empty text."""
         starts = np.cumsum(lens) - lens
         row = np.repeat(np.arange(len(lens)), lens)
         out = np.empty((len(lens), len(self.seeds)), np.uint64)
-        mask = np.uint64(0xFFFF)
+        slack = np.float32(1e-4)  # for rounding of the bounds
+
+        def drawn(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """(t, ln a) of the shingles at these places."""
+            beta = ((h[at] >> np.uint64(24)) & np.uint64(0xFFFFFF)).astype("f4") * np.float32(2.0 ** -24)
+            r = self.r[pair[at]]
+            t = np.floor(log_weight[at] / r + beta)
+            return t, self.log_c[pair[at]] - r * (t - beta + np.float32(1))
+
+        def least_of(text: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Each text's least value and the first place that has it; every text occurs, in order."""
+            least = np.minimum.reduceat(value, np.searchsorted(text, np.arange(len(lens))))
+            hit = np.flatnonzero(value == least[text])
+            return least, hit[np.searchsorted(text[hit], np.arange(len(lens)))]
+
         for j, seed in enumerate(self.seeds):
-            h = (own ^ seed) * _MIX[0]
-            h ^= h >> np.uint64(32)
-            h *= _MIX[1]
-            one = (h >> np.uint64(48)).astype(np.int32)
-            beta = ((h >> np.uint64(32)) & mask).astype("f4") * np.float32(1 / 65536)
-            r = self.r[one]
-            t = np.floor(log_weight * self.inverse_r[one] + beta)
-            log_a = self.log_c[((h >> np.uint64(16)) & mask).astype(np.int32)] - r * (t - beta + np.float32(1))
-            least = np.minimum.reduceat(log_a, starts)
-            at = np.flatnonzero(log_a == least[row])
-            at = at[np.searchsorted(row[at], np.arange(len(lens)))]
-            out[:, j] = _mix(own[at] ^ (t[at].astype(np.int64).view(np.uint64) * _MIX[2]) ^ seed)
+            h = own * seed
+            pair = (h >> np.uint64(48)).astype(np.intp)
+            low = self.low.take(pair, mode="wrap") - log_weight
+            at = np.flatnonzero(low == np.repeat(np.minimum.reduceat(low, starts), lens))
+            bar, _ = least_of(row[at], drawn(at)[1])
+            at = np.flatnonzero(low <= np.repeat(bar + slack, lens))
+            t, log_a = drawn(at)
+            _, first = least_of(row[at], log_a)
+            out[:, j] = _mix(own[at[first]] ^ (t[first].astype(np.int64).view(np.uint64) * _MIX[2]) ^ seed)
         return out
 
 
@@ -163,8 +189,8 @@ def _count_pass(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             for text in batch.column("_text"):
                 own, _, digest = shingles(text.as_py(), hashes)
                 digests.append(digest)
-                slots = np.unique((own >> np.uint64(64 - DF_BITS)).astype(np.int64))
-                df[slots] += 1
+                slots = (own >> np.uint64(64 - DF_BITS)).astype(np.int64)  # ascending, as ``own`` is
+                df[slots[np.append(True, slots[1:] != slots[:-1])] if len(slots) else slots] += 1
             none = [None] * len(digests)
             yield pa.RecordBatch.from_arrays([batch.column("_id"), *(pa.array(c, k) for c, k in zip(
                 (digests, none, none, none), kinds[1:], strict=True))], names=names)
