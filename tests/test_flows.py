@@ -13,15 +13,17 @@ from .conftest import SF_SMALL
 def test_make_dataset_writes_once(spark, tmp_dir):
     cells = q_sheets.qa_cells(spark, SF_SMALL)
     pool = q_dialogue.pairs(spark, SF_SMALL).select("row_key", "input", "output")
-    out = flows.make_dataset(cells, cells, pool, root=tmp_dir, makedate="20240101")
-    path = os.path.join(tmp_dir, "makedate=20240101", "seed=42", "train_pct=80")
+    out, rejects = flows.make_dataset(cells, cells, pool, root=tmp_dir, makedate="20240101")
+    path = os.path.join(tmp_dir, "makedate=20240101", "seed=42", "train_pct=80", "mix=0.3", "header_row=5")
     assert os.path.exists(os.path.join(path, "_SUCCESS"))
     n = out.count()
     mtime = os.path.getmtime(os.path.join(path, "_SUCCESS"))
-    again = flows.make_dataset(cells, cells, pool, root=tmp_dir, makedate="20240101")
+    again, _ = flows.make_dataset(cells, cells, pool, root=tmp_dir, makedate="20240101")
     assert again.count() == n and os.path.getmtime(os.path.join(path, "_SUCCESS")) == mtime
-    lazy = flows.make_dataset(cells, cells, pool)
-    assert lazy.count() == n
+    lazy, bad = flows.make_dataset(cells, cells, pool)
+    assert lazy.count() == n and lazy.columns == out.columns == again.columns
+    assert rejects.columns == bad.columns and rejects.count() == bad.count()
+    assert sorted(map(str, lazy.collect())) == sorted(map(str, again.collect()))
 
 
 def test_sft_dataset_sizes(spark):

@@ -92,10 +92,10 @@ def test_pad_batches_equal_length_per_batch(spark):
     rows = [(f"k{i}", "train" if i % 4 else "valid", [1] * rnd.randint(1, 9)) for i in range(60)]
     df = spark.createDataFrame(rows, "row_key string, split string, input_ids array<int>")
     df = df.withColumn("labels", F.col("input_ids"))
-    out = batches.pad_batches(df, "row_key", size=3, pad=0, rows_per_shard=10).collect()
+    out = batches.pad_batches(df, "row_key", size=3, pad=0).collect()
     groups = {}
     for r in out:
-        groups.setdefault((r.split, r.shard, r.batch), []).append(r)
+        groups.setdefault((r.split, r.batch), []).append(r)
     for rs in groups.values():
         assert len(rs) <= 3
         lens = {len(r.input_ids) for r in rs} | {len(r.labels) for r in rs} | {len(r.attention_mask) for r in rs}
@@ -107,11 +107,29 @@ def test_pad_batches_equal_length_per_batch(spark):
     assert len(out) == 60
 
 
-def test_one_shard_batches_are_full_but_the_last(spark):
+def test_many_splits_batch_alike(spark):
+    rows = [(f"k{i}", None if i % 70 == 69 else f"s{i % 70}", [1]) for i in range(70 * 5)]
+    df = spark.createDataFrame(rows, "row_key string, split string, input_ids array<int>").withColumn("labels", F.col("input_ids"))
+    out = batches.pad_batches(df, "row_key", size=2).groupBy("split", "batch").count().collect()
+    sizes = {}
+    for r in out:
+        sizes.setdefault(r.split, []).append((r.batch, r["count"]))
+    assert len(sizes) == 70 and all(sorted(v) == [(0, 2), (1, 2), (2, 1)] for v in sizes.values())
+
+
+def test_flatten_context_ignores_odd_items(spark):
+    row = spark.sql("""SELECT array(named_struct('title', 't', 'sentences', array('a', 'b')), null,
+                                    named_struct('title', 'u', 'sentences', array('c'))) AS s,
+                              array(array('t', 'p', 'x'), null, array('short'), array('u', 'q')) AS p""").select(
+        P.flatten_context("s").alias("s"), P.flatten_context_pairs("p").alias("p")).first()
+    assert row.s == "t\na b\n\nu\nc" and row.p == "t\np\n\nu\nq"
+
+
+def test_batches_are_full_but_the_last(spark):
     rows = [(f"k{i}", "train" if i % 5 else "valid", [1] * (1 + i % 7)) for i in range(103)]
     df = spark.createDataFrame(rows, "row_key string, split string, input_ids array<int>").withColumn("labels", F.col("input_ids"))
-    out = batches.pad_batches(df, "row_key", size=4).groupBy("split", "shard", "batch").count().collect()
+    out = batches.pad_batches(df, "row_key", size=4).groupBy("split", "batch").count().collect()
     for s in ("train", "valid"):
         sizes = sorted((r.batch, r["count"]) for r in out if r.split == s)
         assert all(c == 4 for _b, c in sizes[:-1]) and 1 <= sizes[-1][1] <= 4
-        assert {r.shard for r in out if r.split == s} == {0}
+        assert [b for b, _c in sizes] == list(range(len(sizes)))

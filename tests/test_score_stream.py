@@ -84,3 +84,14 @@ def test_tokenizer_truncation_keeps_specials(spark):
     df = spark.createDataFrame([("a b a b a",)], "t string")
     got = df.select(tokenizer_ids(spark, "t", tok.to_str(), add_special_tokens=True, max_length=4).alias("i")).first().i
     assert got == [0, 2, 3, 1]
+
+
+def test_loaders_of_one_factory_stay_apart(spark):
+    def factory(suffix):
+        def loader():
+            return lambda prompts: prompts + suffix
+        return loader
+
+    df = spark.createDataFrame([("p",)], "prompt string")
+    got = [score(df, "prompt", loader=factory(s)).first().generated_text for s in ("-A", "-B", "-A")]
+    assert got == ["p-A", "p-B", "p-A"]

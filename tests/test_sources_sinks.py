@@ -66,6 +66,22 @@ def test_line_keys_independent_of_partitioning(spark, tmp_dir):
     assert a == b and len(set(a)) == 503
 
 
+def test_line_keys_after_a_shuffle(spark):
+    df = spark.range(6000).select(F.concat(F.lit("f"), F.col("id") % 2).alias("file"), F.concat(F.lit("line "), F.col("id") % 700).alias("line"),
+                                  F.col("id").alias("extra")).repartition(16, "extra")
+    out = jsonl.line_keys(df)
+    r = out.agg(F.count("*").alias("n"), F.countDistinct("row_key").alias("k"), F.countDistinct("extra").alias("e")).first()
+    assert (r.n, r.k, r.e) == (6000, 6000, 6000) and out.columns == ["file", "line", "extra", "row_key"]
+
+
+def test_equal_lines_of_two_files_have_two_keys(spark, tmp_dir):
+    for sub in ("a", "b"):
+        os.makedirs(os.path.join(tmp_dir, sub))
+        _write(os.path.join(tmp_dir, sub, "x.jsonl"), ['{"text": "same"}'] * 2)
+    rec, _ = jsonl.read_jsonl(spark, [os.path.join(tmp_dir, s, "x.jsonl") for s in ("a", "b")], source="c")
+    assert len({r.row_key for r in rec.collect()}) == 4
+
+
 def test_read_split_jsonl_and_dialogues(spark, tmp_dir):
     _write(os.path.join(tmp_dir, "train.jsonl"), ['{"input": "a", "output": "b"}'] * 3)
     _write(os.path.join(tmp_dir, "valid.jsonl"), ['{"text": "t"}'])
@@ -115,6 +131,43 @@ def _xlsx(path):
                                                f'<is><t>Name</t></is></c></row></sheetData></worksheet>')
 
 
+def _sheet_xlsx(path, sheet, sst=""):
+    _xlsx(path)
+    parts = {}
+    with zipfile.ZipFile(path) as z:
+        parts = {n: z.read(n) for n in z.namelist()}
+    parts["xl/worksheets/sheet1.xml"] = f"<worksheet {NS}><sheetData>{sheet}".encode()
+    if sst:
+        parts["xl/sharedStrings.xml"] = f"<sst {NS}>{sst}</sst>".encode()
+    with zipfile.ZipFile(path, "w") as z:
+        for n, data in parts.items():
+            z.writestr(n, data)
+
+
+def test_workbook_text_references_and_numbers(spark, tmp_dir):
+    _sheet_xlsx(os.path.join(tmp_dir, "b.xlsx"),
+                '<row><c t="s"><v>0</v></c><c><v>1.1000000000000001</v></c><c r="E1"><v>1E-3</v></c><c><v>7</v></c></row>'
+                '<row><c t="inlineStr"><is><t>x</t><rPh sb="0" eb="1"><t>READ</t></rPh></is></c></row></sheetData></worksheet>',
+                '<si><t>東京</t><rPh sb="0" eb="2"><t>トウキョウ</t></rPh></si>')
+    _sheet_xlsx(os.path.join(tmp_dir, "broken.xlsx"), '<row><c><v>1</v></c></row><row><c><v>2')
+    _sheet_xlsx(os.path.join(tmp_dir, "index.xlsx"), '<row><c><v>1</v></c><c t="s"><v>99</v></c></row></sheetData></worksheet>')
+    os.makedirs(os.path.join(tmp_dir, "below"))
+    _xlsx(os.path.join(tmp_dir, "below", "deep.xlsx"))
+    got = {(os.path.basename(r.file), r.row, r.col): r.value for r in C.read_cells(spark, tmp_dir).where("sheet = 'QA'").collect()}
+    assert got == {("b.xlsx", 1, 1): "東京", ("b.xlsx", 1, 2): "1.1", ("b.xlsx", 1, 5): "0.001", ("b.xlsx", 1, 6): "7", ("b.xlsx", 2, 1): "x"}
+    assert {os.path.basename(r.file) for r in C.workbook_rejects(spark, tmp_dir).collect()} == {"broken.xlsx", "index.xlsx"}
+    assert C.read_cells(spark, tmp_dir, recursive=True).where("file like '%deep.xlsx'").count() > 0
+
+
+def test_csv_sheets(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "s.csv"), "w", encoding="utf-8") as f:
+        f.write('No,Question,Answer,Answer\n1,"q, ""1""\nmore",a1,other\n2,,a2,\n')
+    cells = C.cells_from_csv_sheets(spark, tmp_dir)
+    table = sheets.read_sheet_table(cells, ["Question", "Answer"], header_row=1)
+    got = sorted((r.row, r.Question, r.Answer) for r in table.collect())
+    assert got == [(2, 'q, "1"\nmore', "a1"), (3, None, "a2")]
+
+
 def test_read_workbook_first_blank_stop(spark, tmp_dir):
     _xlsx(os.path.join(tmp_dir, "book.xlsx"))
     with open(os.path.join(tmp_dir, "old.xls"), "wb") as f:
@@ -175,6 +228,7 @@ def test_build_if_absent_and_latest_snapshot(spark, tmp_dir):
         return spark.range(3)
 
     p = W.dataset_path(tmp_dir, "20240105", 42, 0.9)
+    assert p.endswith("train_pct=90") and W.dataset_path("r", "d", 1, 0.804).endswith("train_pct=80.4")
     assert p.endswith("makedate=20240105/seed=42/train_pct=90")
     os.makedirs(p)  # a crashed build leaves an empty folder: it must be rebuilt
     assert W.build_if_absent(spark, p, build).count() == 3

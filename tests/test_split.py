@@ -126,8 +126,6 @@ def test_bad_parameters_raise(spark):
         split.exact_split(df, "row_key", 1.2, 42, by=["source"])
     with pytest.raises(ValueError):
         split.sample_exact(df, "row_key", -1, 42)
-    with pytest.raises(ValueError):
-        split.bounded_head(df, split.MAX_HEAD_ROWS + 1, ["v"])
 
 
 @pytest.mark.parametrize("literal", [True, False])

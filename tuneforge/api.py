@@ -1,9 +1,9 @@
 """The public operators in one place: ``from tuneforge.api import exact_split, mix_in, ...``."""
 
-from .flows import make_dataset, prompt_results, sft_dataset, sheet_source
+from .flows import make_dataset, multihop_dataset, prompt_results, read_dataset, sft_dataset, sheet_source, split_examples
 from .functions.json_valid import json_valid
 from .functions.keys import row_key, shuffle_hash
-from .functions.prompts import (PromptBuilder, context_qa_prompt, extractive_prompt, flatten_context, joint_text,
+from .functions.prompts import (PromptBuilder, context_qa_prompt, extractive_prompt, flatten_context, flatten_context_pairs, joint_text,
                                 multi_source_prompt, own_qa_prompt)
 from .functions.text import contains_any, is_snapshot, py_strip, result_time, strip_echo
 from .functions.tokenizer import byte_level_tokenizer_json, tokenise, tokenizer_ids
@@ -24,7 +24,7 @@ from .operators.split import (bounded_head, exact_split, holdout, positional_spl
 from .session import ensure_checkpoint_dir, local_session, materialize
 from .sinks.writers import (append_results, build_if_absent, dataset_path, latest_by, latest_snapshot, next_run_path,
                             run_path, write_jsonl, write_run, write_splits)
-from .sources.cells import cells_from_csv, read_cells, workbook_rejects
+from .sources.cells import cells_from_csv, cells_from_csv_sheets, read_cells, workbook_rejects
 from .sources.jsonl import (drop_blank_lines, extract_records, filter_valid_json, line_keys, read_dialogues, read_jsonl,
                             read_public_qa, read_split_jsonl)
 from .streaming.score_stream import score_stream

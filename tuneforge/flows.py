@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import prompts as P
+from .functions import tokens as K
 from .operators import mix, records, sft, sheets, split
 from .operators.score import ScoreFn, result_rows, score
 from .session import materialize
@@ -37,16 +38,25 @@ def sheet_source(cells: DataFrame, kind: str, source: str, header_row: int = 5)
 
 def make_dataset(qa_cells: DataFrame | None, text_cells: DataFrame | None, pool: DataFrame,
                  train_ratio: float = 0.8, seed: int = 42, mix_ratio: float = 0.3, header_row: int = 5,
-                 root: str | None = None, makedate: str | None = None) -> DataFrame:
+                 root: str | None = None, makedate: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Path A. ``pool`` holds dialogue pairs (row_key, input, output). Returns the mixed split
-    (split, origin, source, row_key, input, output, text, order_key). With ``root`` and
-    ``makedate`` the result is written once per (makedate, seed, ratio) as ``split=`` folders of
-    JSON lines (reused when already built) and read back."""
-    parts = []
-    if qa_cells is not None:
-        parts.append(sheet_source(qa_cells, "qa", "QA", header_row)[0])
-    if text_cells is not None:
-        parts.append(sheet_source(text_cells, "text", "Text", header_row)[0])
+    (split, origin, source, row_key, input, output, text, order_key) and the report of sheets without the
+    needed columns. With ``root`` and ``makedate`` the result is written once per set of parameters as
+    ``split=`` folders of JSON lines (reused when already built) and read back with the same columns."""
+    parts, rejects = [], []
+    for cells, kind, source in ((qa_cells, "qa", "QA"), (text_cells, "text", "Text")):
+        if cells is not None:
+            rec, bad = sheet_source(cells, kind, source, header_row)
+            parts.append(rec)
+            rejects.append(bad)
+    if not parts:
+        raise ValueError("give qa_cells, text_cells or both")
+    rejects = records.concat(*rejects)
+    path = None
+    if root is not None and makedate is not None:
+        path = W.dataset_path(root, makedate, seed, train_ratio, mix=mix_ratio, header_row=header_row)
+        if W.path_exists(pool.sparkSession, f"{path}/_SUCCESS"):
+            return read_dataset(pool.sparkSession, path), rejects
     # records come from a shuffle-heavy aggregation over all cells and feed several jobs (the
     # cut's passes, the base counts, the final write): write them once
     corpus = materialize(records.merge_sources(*parts))
@@ -54,13 +64,47 @@ def make_dataset(qa_cells: DataFrame | None, text_cells: DataFrame | None, pool:
     base = split.exact_split(corpus, "row_key", train_ratio, seed, by=["source"], totals=totals)
     out = mix.mix_in(base, pool.withColumn("source", F.lit("dialogue")), "row_key", mix_ratio, seed,
                      base_sizes=split.split_sizes(totals))
-    if root is None or makedate is None:
-        return out
-    path = W.dataset_path(root, makedate, seed, train_ratio)
-    spark = out.sparkSession
-    if not W.path_exists(spark, f"{path}/_SUCCESS"):
-        W.write_splits(out, path, ["input", "output", "text"], mode="overwrite")
-    return spark.read.text(path)
+    out = out.select(*DATASET_COLUMNS)
+    if path is None:
+        return out, rejects
+    W.write_splits(out, path, [c for c in DATASET_COLUMNS if c != "split"], mode="overwrite")
+    return read_dataset(out.sparkSession, path), rejects
+
+
+DATASET_COLUMNS = ["split", "origin", "source", "row_key", "input", "output", "text", "order_key"]
+
+
+def read_dataset(spark: SparkSession, path: str) -> DataFrame:
+    """A dataset that ``make_dataset`` wrote."""
+    return spark.read.schema(", ".join(f"{c} string" for c in DATASET_COLUMNS)).json(path).select(*DATASET_COLUMNS)
+
+
+def split_examples(root_or_records: DataFrame, eos_pad: int, max_len: int = 1024) -> DataFrame:
+    """Path A': records of named splits (split, row_key, input, output, text) -> fixed-length examples.
+    Rows with text are labelled everywhere, question-answer rows after the question; a row with neither
+    is dropped by ``dispatch_kind``."""
+    kept, _ = records.dispatch_kind(root_or_records)
+    text = F.when(F.col("kind") == "qa", P.joint_text("input", "output")).otherwise(F.col("text"))
+    ids, mask = K.encode_fixed(K.codepoint_ids(text, max_len), max_len, eos_pad)
+    d = kept.select("*", ids.alias("input_ids"), mask.alias("attention_mask"))
+    n_prompt = K.codepoint_count("input")
+    labels = F.when(F.col("kind") == "qa", K.label_joint("input_ids", n_prompt.cast("int"), max_len)).otherwise(
+        K.label_all("input_ids", "attention_mask"))
+    return d.select("split", "row_key", "kind", "input_ids", "attention_mask", labels.alias("labels"))
+
+
+def multihop_dataset(rows: DataFrame, key: str, n_train: int, n_total: int, order, max_len: int = 1024, pad: int = 0,
+                     seed: int = 42, context: Column | str = "context", pairs: bool = False) -> DataFrame:
+    """Path C: head in ``order`` -> positional split -> flattened context -> extractive prompt -> fixed-length
+    ids -> labels from the prompt's end. ``rows`` has question, answer and context (structs, or arrays with
+    ``pairs``)."""
+    d = split.positional_split(rows, key, n_train, n_total, order, seed)
+    flat = P.flatten_context_pairs(context) if pairs else P.flatten_context(context)
+    prompt = P.extractive_prompt(flat, "question", "answer")
+    ids, mask = K.encode_fixed(K.codepoint_ids(prompt, max_len), max_len, pad)
+    d = d.select("*", ids.alias("input_ids"), mask.alias("attention_mask"))
+    labels = K.label_after_prompt("input_ids", K.codepoint_ids("answer", max_len), pad, max_len)
+    return d.select("split", key, "input_ids", "attention_mask", labels.alias("labels"))
 
 
 def _context_qa(df: DataFrame) -> Column:

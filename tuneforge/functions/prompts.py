@@ -71,14 +71,24 @@ def own_qa_prompt(df: DataFrame) -> Column:
 
 
 def flatten_context(c) -> Column:
-    """each item ``title\\n`` + sentences joined by one space; items joined by a blank line."""
+    """each item ``title\\n`` + sentences joined by one space; items joined by a blank line; null items
+    are ignored. Items are structs (title, sentences); see ``flatten_context_pairs`` for arrays."""
     col = F.col(c) if isinstance(c, str) else c
     return F.array_join(
-        F.transform(col, lambda x: F.concat(_s(x["title"]), F.lit("\n"),
-                                            F.array_join(F.coalesce(x["sentences"], F.array().cast("array<string>")), " "))),
+        F.transform(F.filter(col, lambda x: x.isNotNull()),
+                    lambda x: F.concat(_s(x["title"]), F.lit("\n"),
+                                       F.array_join(F.coalesce(x["sentences"], F.array().cast("array<string>")), " "))),
         "\n\n")
 
 
+def flatten_context_pairs(c) -> Column:
+    """F6 for items given as arrays [title, paragraph, ...]; null items and items of fewer than two
+    elements are ignored."""
+    col = F.col(c) if isinstance(c, str) else c
+    kept = F.filter(col, lambda x: F.size(F.coalesce(x, F.array().cast("array<string>"))) >= 2)
+    return F.array_join(F.transform(kept, lambda x: F.concat(_s(x[0]), F.lit("\n"), _s(x[1]))), "\n\n")
+
+
 def extractive_prompt(context, question, answer) -> Column:
     """Context / Question / Answer block, the answer included."""
     return F.concat(F.lit(EXTRACTIVE_CONTEXT), _s(context), F.lit("\n" + EXTRACTIVE_QUESTION), _s(question),

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+
 def _tokenizer(js: str, max_length: int | None = None):
     """Build (once per Python worker and setting) the tokenizer, truncating at ``max_length`` or
     not. The cache lives on the pyspark module, which workers import by reference (this package
@@ -33,6 +34,7 @@ def _tokenizer(js: str, max_length: int | None = None):
             tok.no_truncation()
         else:
             tok.enable_truncation(int(max_length))
+        tok.no_padding()  # ids must not depend on which rows share an Arrow batch
         cache[key] = tok
     return tok
 
@@ -66,9 +68,7 @@ def tokenise(spark: SparkSession, col, backend: str = "codepoint", add_special_t
     return tokenizer_ids(spark, col, backend, add_special_tokens)
 
 
-# ---- fixed values: special tokens of the byte-level tokenizer built below ----
-SPECIALS = ("<pad>", "<bos>", "<eos>")
-# ---- end of fixed values ----
+SPECIALS = ("<pad>", "<bos>", "<eos>")  # of the byte-level tokenizer built below
 
 
 def byte_symbols() -> list[str]:

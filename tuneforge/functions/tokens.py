@@ -22,8 +22,10 @@ def _lit_int(v) -> Column:
     return v if isinstance(v, Column) else F.lit(int(v))
 
 
-def _chars(text) -> Column:
-    return F.split(F.coalesce(_c(text), F.lit("")), "")
+def _chars(text, max_len: int | None = None) -> Column:
+    """One string per code point, of the first ``max_len`` only: the text is cut before it is split."""
+    t = F.coalesce(_c(text), F.lit(""))
+    return F.split(t if max_len is None else F.substring(t, 1, int(max_len)), "")
 
 
 def codepoint_ids(text, max_len: int | None = None) -> Column:
@@ -32,9 +34,9 @@ def codepoint_ids(text, max_len: int | None = None) -> Column:
 
     With ``max_len`` the result equals ``codepoint_ids(text)[:max_len]``: every id depends on its
     own character only, so only the characters that reach the output are mapped."""
-    chars = _chars(text)
-    if max_len is not None:
-        chars = F.slice(chars, 1, int(max_len))
+    chars = _chars(text, max_len)
+    if max_len == 0:
+        return F.array().cast("array<int>")
     return F.when(F.length(F.coalesce(_c(text), F.lit(""))) == 0, F.array().cast("array<int>")).otherwise(
         F.transform(chars, lambda ch: F.ascii(ch)))
 

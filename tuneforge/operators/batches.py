@@ -1,55 +1,41 @@
 """Padded batches (B1): the collator's dynamic padding as a Spark job.
 
-Rows are ordered by a seeded hash inside (split, shard). The shard count follows the split's
-size, one shard per ``rows_per_shard`` rows (at least one), so a window never holds more than
-about ``rows_per_shard`` rows, and a split has at most one partial batch per shard. A split under
-``rows_per_shard`` rows is one shard and batches exactly like the collator: all batches full but
-the last. Consecutive ``size`` rows form a batch; ids are right-padded with the pad id, labels
-with -100 and the attention mask with 0, up to the longest row *of the batch*. Both windows share
-one exchange (hash partitioning on (split, shard) also clusters (split, shard, batch)).
+Rows of a split are numbered in seeded hash order and consecutive ``size`` rows form a batch, so every
+batch of a split is full but the last, at any size and for any number of splits. No window holds a split:
+counts per (split, hash bucket) give each bucket's offset (a running sum over at most 16^BUCKET_HEX
+rows a split), and rows are numbered only inside (split, bucket). Ids are right-padded with the pad id,
+labels with -100 and the attention mask with 0, up to the longest row *of the batch*.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import shuffle_hash
+from ..functions.keys import hash_bucket, shuffle_hash
 from ..functions.tokens import IGNORE_INDEX
+from ..plans.small import null_safe_join
 
-ROWS_PER_SHARD = 1_000_000
-MAX_SPLIT_VALUES = 64  # split labels are few (train / valid); more values use a fixed shard count
-FALLBACK_SHARDS = 4096
-
-
-def _shard_count(df: DataFrame, split: str, rows_per_shard: int) -> Column:
-    """Shards per split value from the split sizes (one small aggregate, bounded fetch)."""
-    sizes = df.groupBy(split).agg(F.count(F.lit(1)).alias("n")).limit(MAX_SPLIT_VALUES + 1).collect()
-    if len(sizes) > MAX_SPLIT_VALUES:
-        return F.lit(FALLBACK_SHARDS)
-    expr = F.lit(1)
-    for r in sizes:
-        n_shards = max(1, math.ceil(r["n"] / rows_per_shard))
-        expr = F.when(F.col(split).eqNullSafe(F.lit(r[split])), F.lit(n_shards)).otherwise(expr)
-    return expr
+BUCKET_HEX = 4
 
 
 def pad_batches(df: DataFrame, key: str, size: int = 2, pad: int = 0, seed=42, split: str = "split",
-                ids: str = "input_ids", labels: str = "labels", rows_per_shard: int = ROWS_PER_SHARD,
-                salt: str = "batch") -> DataFrame:
-    """Adds ``shard``, ``batch``, ``batch_len`` and pads ``ids``/``labels``; adds ``attention_mask``."""
-    d = df.withColumn("_tf_h", shuffle_hash(key, seed, salt))
-    n_shards = _shard_count(df, split, rows_per_shard)
-    d = d.withColumn("shard", F.pmod(F.conv(F.substring("_tf_h", 1, 8), 16, 10).cast("long"), n_shards.cast("long")))
-    w = Window.partitionBy(split, "shard").orderBy("_tf_h", F.col(key).cast("string"))
-    d = d.withColumn("batch", F.floor((F.row_number().over(w) - 1) / int(size)).cast("long"))
-    wb = Window.partitionBy(split, "shard", "batch")
+                ids: str = "input_ids", labels: str = "labels", salt: str = "batch") -> DataFrame:
+    """Adds ``batch`` (0, 1, ... in each split) and ``batch_len``, pads ``ids``/``labels`` and adds
+    ``attention_mask``."""
+    d = df.withColumn("_tf_h", shuffle_hash(key, seed, salt)).withColumn("_tf_b", hash_bucket("_tf_h", BUCKET_HEX))
+    counts = d.groupBy(split, "_tf_b").agg(F.count(F.lit(1)).alias("_tf_c"))
+    before = Window.partitionBy(split).orderBy("_tf_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(split, "_tf_b", F.coalesce(F.sum("_tf_c").over(before), F.lit(0)).alias("_tf_off"))
+    inside = Window.partitionBy(split, "_tf_b").orderBy("_tf_h", F.col(key).cast("string"))
+    d = d.withColumn("_tf_rn", F.row_number().over(inside) - 1)
+    d = null_safe_join(d, offsets, [split, "_tf_b"])
+    d = d.withColumn("batch", F.floor((F.col("_tf_off") + F.col("_tf_rn")) / int(size)).cast("long"))
+    wb = Window.partitionBy(split, "batch")
     d = d.select("*", F.max(F.size(ids)).over(wb).alias("batch_len"), F.max(F.size(labels)).over(wb).alias("_tf_llen"))
     gap = F.col("batch_len") - F.size(ids)
     lgap = F.col("_tf_llen") - F.size(labels)
     return (d.withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), F.size(ids)), F.array_repeat(F.lit(0), gap)))
             .withColumn(labels, F.concat(F.col(labels), F.array_repeat(F.lit(IGNORE_INDEX), lgap)))
             .withColumn(ids, F.concat(F.col(ids), F.array_repeat(F.lit(int(pad)), gap)))
-            .drop("_tf_h", "_tf_llen"))
+            .drop("_tf_h", "_tf_b", "_tf_rn", "_tf_off", "_tf_llen"))

@@ -7,12 +7,13 @@ loads a model) once per Python worker process, never once per row.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import result_time, strip_echo
 
@@ -33,23 +34,24 @@ def _loaded(loader: Callable[[], ScoreFn], key: str) -> ScoreFn:
 
 def score(df: DataFrame, prompt: str, fn: ScoreFn | None = None, loader: Callable[[], ScoreFn] | None = None,
           out: str = "generated_text", cache_key: str | None = None) -> DataFrame:
-    """``out`` = fn(prompts) per Arrow batch, via mapInPandas (batch or streaming).
+    """``out`` = fn(prompts) per Arrow batch (batch or streaming). Only the prompt column goes to Python.
+
+    ``loader``'s result is kept per Python worker under ``cache_key``; without one, under a digest of the
+    pickled loader, so two loaders made by one factory stay apart.
 
     A sampling model is not deterministic: a recomputed task (lost executor) may generate other
     text. Write the result once (a sink, or ``session.materialize``) before reading it twice."""
     if (fn is None) == (loader is None):
         raise ValueError("give exactly one of fn or loader")
-    schema = StructType([*df.schema.fields, StructField(out, StringType(), True)])
-    key = cache_key or (f"{getattr(loader, '__module__', '')}.{getattr(loader, '__qualname__', '')}" if loader else "")
+    key = cache_key or (hashlib.sha256(cloudpickle.dumps(loader)).hexdigest() if loader else "")
 
-    def run(batches):
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         f = _loaded(loader, key) if loader is not None else fn
-        for pdf in batches:
-            gen = f(pdf[prompt])
-            pdf[out] = pd.Series(list(gen), index=pdf.index, dtype=object)
-            yield pdf
+        for prompts in batches:
+            yield pd.Series(list(f(prompts)), dtype=object)
 
-    return df.mapInPandas(run, schema)
+    return df.withColumn(out, run.asNondeterministic()(F.col(prompt)))
 
 
 def result_rows(df: DataFrame, prompt: str, generated: str, clock: Column, keep=()) -> DataFrame:

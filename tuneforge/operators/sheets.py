@@ -82,10 +82,11 @@ def sheet_records(cells: DataFrame, mapping: DataFrame, header_row: int = 5, kin
 
 def read_sheet_table(cells: DataFrame, columns: Sequence[str], sheet_index: int = 0, header_row: int = 1) -> DataFrame:
     """The sheet at ``sheet_index`` of each file as a wide table, header on ``header_row``.
-    Columns are pivoted from an explicit list (no discovery pass); absent cells are null."""
+    Columns are pivoted from an explicit list (no discovery pass); absent cells are null; of equal header
+    names the left-most column counts."""
     first = cells.where(F.col("sheet_pos") == sheet_index)
     hdr = first.where((F.col("row") == header_row) & F.col("value").isin(list(columns))).select(
         *SHEET, "col", F.col("value").alias("_tf_name"))
     hdr, n = checked_stats(hdr)
     data = attach_stats(first.where(F.col("row") > header_row), hdr, [*SHEET, "col"], n)
-    return data.groupBy("file", "row").pivot("_tf_name", list(columns)).agg(F.first("value"))
+    return data.groupBy("file", "row").pivot("_tf_name", list(columns)).agg(F.min_by("value", "col"))

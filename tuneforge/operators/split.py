@@ -35,7 +35,7 @@ KRule = Callable[[Column], Column]
 # ---------------------------------------------------------------------------------------------
 
 def _ratio_col(ratio) -> Column:
-    if isinstance(ratio, str):
+    if isinstance(ratio, str):  # a column's values outside [0, 1] act as 0 and 1 (the rules clamp k to 0..n)
         return F.col(ratio).cast("double")
     if not 0.0 <= float(ratio) <= 1.0:
         raise ValueError(f"ratio must lie in [0, 1], got {ratio}")
@@ -44,13 +44,13 @@ def _ratio_col(ratio) -> Column:
 
 def floor_train(ratio) -> KRule:
     """k = floor(n * ratio): the dataset-maker split (train gets the floor)."""
-    return lambda n: F.floor(n.cast("double") * _ratio_col(ratio)).cast("long")
+    return lambda n: F.least(n, F.greatest(F.lit(0), F.floor(n.cast("double") * _ratio_col(ratio)))).cast("long")
 
 
 def ceil_valid(ratio) -> KRule:
     """k = n - ceil((1 - ratio) * n): the holdout split (validation gets the ceiling)."""
     test = (F.lit(1.0) - _ratio_col(ratio))
-    return lambda n: (n - F.ceil(test * n.cast("double"))).cast("long")
+    return lambda n: F.least(n, F.greatest(F.lit(0), n - F.ceil(test * n.cast("double")))).cast("long")
 
 
 def absolute(k) -> KRule:
@@ -227,18 +227,12 @@ def take_capped(df: DataFrame, key: str, k, seed=42, salt: str = "cap", by: Sequ
     return sample_exact(df, key, k, seed, salt, by)
 
 
-# A top-n keeps at most n rows per task and merges the partial heads in one task, so n is
-# bounded. Larger caps use the exact hash-ordered cut (take_capped), which never gathers rows.
-MAX_HEAD_ROWS = 100_000
-
-
 def bounded_head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """The first n rows in an explicit order (a stream's head, materialised).
+    """The first n rows in an explicit order (a stream's head, materialised), for any n.
 
-    A top-n is the feature here; Spark plans it as TakeOrderedAndProject (per-partition top-n,
-    then a merge of at most n rows per partition)."""
-    if int(n) > MAX_HEAD_ROWS:
-        raise ValueError(f"bounded_head n={n} exceeds {MAX_HEAD_ROWS}; use take_capped for large caps")
+    Spark plans a small n as TakeOrderedAndProject (per-partition top-n, merged), a large one as a
+    range-partitioned sort whose first n rows pass through a limit. A head that need not follow a given order is cheaper as
+    ``take_capped``, which never gathers rows."""
     return df.orderBy(*order).limit(int(n))
 
 

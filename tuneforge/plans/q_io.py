@@ -35,6 +35,22 @@ def jsonl_roundtrip(spark, d):
     return kept.select("kind", "input", "output", "text")
 
 
+@query("jsonl_keys", f"""
+WITH {CORPUS_CTE}
+SELECT 3 * count(*) AS n_rows, 3 * count(*) AS n_keys, 2 AS n_files FROM corpus""")
+def jsonl_keys(spark, d):
+    """S3 keys: the corpus written twice into one folder of lines and once into another, so every line
+    repeats inside a folder and across folders; each row has a key of its own."""
+    root = scratch_path(spark, "keyed-jsonl")
+    lines = T.corpus(spark, d)
+    W.write_jsonl(lines.unionByName(lines), f"{root}/a", ["input", "output", "text"])
+    W.write_jsonl(lines, f"{root}/b", ["input", "output", "text"])
+    rec, _rejects = jsonl.read_jsonl(spark, [f"{root}/a", f"{root}/b"], source="corpus")
+    folder = F.element_at(F.split("file", "/"), -2)
+    return rec.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("row_key").alias("n_keys"),
+                   F.countDistinct(folder).cast("int").alias("n_files"))
+
+
 @query("read_splits", SPLIT_SQL + f""",
 c AS ({CORPUS_SELECT})
 SELECT CASE WHEN s.split = 'train' THEN 'train' ELSE 'validation' END AS split, c.input, c.output, c.text

@@ -123,3 +123,20 @@ EXTRACTIVE_SQL = ("'Context:' || chr(10) || context_text || chr(10) || 'Question
 def prompt_extractive(spark, d):
     m = multihop(spark, d)
     return m.select("doc_id", P.extractive_prompt(P.flatten_context("context"), "question", "answer").alias("prompt"))
+
+
+PAIR_SQL = f"""
+WITH {MULTIHOP_SQL}
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE lang || chr(10) || source || chr(10) || chr(10) END
+               || 'id' || chr(10) || CAST(doc_id AS VARCHAR) AS context_text
+FROM documents"""
+
+
+@query("context_flatten_pairs", PAIR_SQL)
+def context_flatten_pairs(spark, d):
+    """F6 for [title, paragraph] items: null and one-element items are ignored."""
+    docs = T.read_table(spark, d, "documents")
+    text = F.col("doc_id").cast("string")
+    first = F.when(F.col("doc_id") % 3 != 0, F.array("lang", "source", F.lit("more")))
+    items = F.array(first, F.array(F.lit("alone")), F.array(F.lit("id"), text))
+    return docs.select("doc_id", P.flatten_context_pairs(items).alias("context_text"))

@@ -71,6 +71,25 @@ def score_batch(spark, d):
     return result_rows(scored, "prompt", "generated_text", F.lit(CLOCK).cast("timestamp"), keep=["p_partkey"])
 
 
+def reply_loader(sign: str):
+    """A loader as a user writes it: builds the function once per Python worker."""
+    def load():
+        return lambda prompts: prompts + " " + sign + prompts.str.len().astype(str)
+    return load
+
+
+@query("score_loader", f"""
+WITH scored AS ({SCORED_SQL})
+SELECT p_partkey, input_text, generated_text AS first_text, replace(generated_text, 'len=', 'n=') AS second_text
+FROM scored""")
+def score_loader(spark, d):
+    """X2 with ``loader=``: two loaders of one factory score the same prompts in one plan."""
+    t = score(prompt_table(spark, d), "prompt", loader=reply_loader("len="), out="a")
+    t = score(t, "prompt", loader=reply_loader("n="), out="b")
+    return t.select("p_partkey", F.col("prompt").alias("input_text"), strip_echo("a", "prompt").alias("first_text"),
+                    strip_echo("b", "prompt").alias("second_text"))
+
+
 @query("score_stream", SCORED_SQL)
 def score_stream_q(spark, d):
     """The prompt table lands as files in a shared scratch folder; an availableNow stream

@@ -10,13 +10,12 @@ from .. import flows
 from ..operators import batches, split
 from ..sources import tables as T
 from .q_dialogue import labels_base, pairs
-from .q_prompts import PRE, slot_sql
+from .q_prompts import EXTRACTIVE_SQL, MULTIHOP_SQL, PRE, multihop, slot_sql
 from .q_tokens import cp_sql, txt
 from .registry import query
-from .sql_common import PAIRS_CTE, hash_sql
+from .sql_common import CORPUS_CTE, PAIRS_CTE, hash_sql
 
 SEED = 42
-BATCH_LEN = 512
 MAX_LEN = 1024
 EOS = 2
 PUBLIC_CAP = 100
@@ -30,25 +29,21 @@ bh AS (SELECT *, {hash_sql('row_key', SEED, 'split')} AS h, count(*) OVER () AS
 bs AS (SELECT row_key, text,
               CASE WHEN row_number() OVER (ORDER BY h, row_key) <= floor(n * CAST(0.8 AS DOUBLE))
                    THEN 'train' ELSE 'valid' END AS split FROM bh),
-t AS (SELECT split, row_key, list_slice({cp_sql('text')}, 1, {BATCH_LEN}) AS ids,
-             {hash_sql('row_key', SEED, 'batch')} AS h,
-             greatest(1, CAST(ceil(count(*) OVER (PARTITION BY split) / {batches.ROWS_PER_SHARD}) AS BIGINT)) AS ns
-      FROM bs),
-s2 AS (SELECT *, CAST(('0x' || substr(h, 1, 8)) AS BIGINT) % ns AS shard FROM t),
-b AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY split, shard ORDER BY h, row_key) - 1) / 2) AS BIGINT)
-               AS batch FROM s2),
-e AS (SELECT *, max(len(ids)) OVER (PARTITION BY split, shard, batch) AS bl FROM b)
-SELECT split, shard, batch, CAST(bl AS INTEGER) AS batch_len, row_key,
+t AS (SELECT split, row_key, {cp_sql('text')} AS ids, {hash_sql('row_key', SEED, 'batch')} AS h FROM bs),
+b AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY split ORDER BY h, row_key) - 1) / 2) AS BIGINT)
+               AS batch FROM t),
+e AS (SELECT *, max(len(ids)) OVER (PARTITION BY split, batch) AS bl FROM b)
+SELECT split, batch, CAST(bl AS INTEGER) AS batch_len, row_key,
        {txt('ids || repeat([0], bl - len(ids))')} AS input_ids,
        {txt('ids || repeat([-100], bl - len(ids))')} AS labels,
        {txt('repeat([1], len(ids)) || repeat([0], bl - len(ids))')} AS attention_mask
 FROM e""")
 def pad_batches(spark, d):
     base = split.exact_split(labels_base(spark, d, spread=True), "row_key", 0.8, SEED, by=["source"])
-    ids = K.codepoint_ids("text", BATCH_LEN)
+    ids = K.codepoint_ids("text")
     t = base.select("split", "row_key", ids.alias("input_ids"), ids.alias("labels"))
     b = batches.pad_batches(t, "row_key", size=2, pad=0, seed=SEED)
-    return b.select("split", "shard", "batch", "batch_len", "row_key", K.ids_text("input_ids").alias("input_ids"),
+    return b.select("split", "batch", "batch_len", "row_key", K.ids_text("input_ids").alias("input_ids"),
                     K.ids_text("labels").alias("labels"), K.ids_text("attention_mask").alias("attention_mask"))
 
 
@@ -109,3 +104,49 @@ def sft_build(spark, d):
     r = sft_rows(spark, d)
     return r.select("origin", "row_key", K.ids_text("input_ids").alias("input_ids"), K.ids_text("labels").alias("labels"),
                     "n_supervised", "split")
+
+
+HOP_TRAIN, HOP_TOTAL, HOP_LEN = 60, 100, 256
+
+
+@query("multihop_build", f"""
+WITH {MULTIHOP_SQL},
+head AS (SELECT *, CAST(doc_id AS VARCHAR) AS row_key FROM flat ORDER BY doc_id LIMIT {HOP_TOTAL}),
+p AS (SELECT row_key, answer, {EXTRACTIVE_SQL} AS prompt,
+             CASE WHEN row_number() OVER (ORDER BY {hash_sql('row_key', SEED, 'positional')}, row_key) <= {HOP_TRAIN}
+                  THEN 'train' ELSE 'valid' END AS split FROM head),
+t AS (SELECT split, row_key, list_slice({cp_sql('prompt')}, 1, {HOP_LEN}) AS ids,
+             list_slice({cp_sql('answer')}, 1, {HOP_LEN}) AS a FROM p)
+SELECT split, row_key, {txt(f'ids || repeat([0], {HOP_LEN} - len(ids))')} AS input_ids,
+       {txt(f'repeat([1], len(ids)) || repeat([0], {HOP_LEN} - len(ids))')} AS attention_mask,
+       {txt(f'list_slice(repeat([-100], len(ids)) || a || repeat([-100], {HOP_LEN}), 1, {HOP_LEN})')} AS labels
+FROM t""")
+def multihop_build(spark, d):
+    """Path C: head -> positional split -> flatten -> extractive prompt -> fixed ids -> labels after the prompt."""
+    rows = multihop(spark, d).withColumn("row_key", F.col("doc_id").cast("string"))
+    out = flows.multihop_dataset(rows, "row_key", HOP_TRAIN, HOP_TOTAL, ["doc_id"], HOP_LEN, 0, SEED)
+    return out.select("split", "row_key", K.ids_text("input_ids").alias("input_ids"),
+                      K.ids_text("attention_mask").alias("attention_mask"), K.ids_text("labels").alias("labels"))
+
+
+ENCODE_LEN = 128
+
+
+@query("corpus_encode", f"""
+WITH {CORPUS_CTE},
+k AS (SELECT source, row_key, CASE WHEN input IS NOT NULL OR output IS NOT NULL THEN 'qa' ELSE 'text' END AS kind, input, output, text
+      FROM corpus),
+t AS (SELECT *, list_slice({cp_sql("CASE WHEN kind = 'qa' THEN coalesce(input, '') || coalesce(output, '') ELSE text END")},
+                           1, {ENCODE_LEN}) AS ids FROM k),
+f AS (SELECT *, ids || repeat([0], {ENCODE_LEN} - len(ids)) AS full_ids FROM t)
+SELECT source || ':' || row_key AS row_key, kind, {txt('full_ids')} AS input_ids,
+       {txt(f'repeat([1], len(ids)) || repeat([0], {ENCODE_LEN} - len(ids))')} AS attention_mask,
+       CASE WHEN kind = 'qa' THEN {txt(f"list_slice(repeat([-100], length(coalesce(input, ''))) || list_slice(full_ids, length(coalesce(input, '')) + 1, {ENCODE_LEN}), 1, {ENCODE_LEN})")}
+            ELSE {txt(f'ids || repeat([-100], {ENCODE_LEN} - len(ids))')} END AS labels
+FROM f""")
+def corpus_encode(spark, d):
+    """Path A': records of a split -> dispatch -> fixed ids -> joint labels (QA) or labels everywhere (text)."""
+    rows = T.corpus(spark, d).withColumn("split", F.lit("train")).withColumn("row_key", F.concat_ws(":", "source", "row_key"))
+    out = flows.split_examples(rows, 0, ENCODE_LEN)
+    return out.select("row_key", "kind", K.ids_text("input_ids").alias("input_ids"),
+                      K.ids_text("attention_mask").alias("attention_mask"), K.ids_text("labels").alias("labels"))

@@ -262,5 +262,5 @@ def dataset_build(spark, d):
 
     cells = qa_cells(spark, d)
     pool = pairs(spark, d).select("row_key", "input", "output")
-    out = make_dataset(cells, cells, pool, train_ratio=0.8, seed=42, mix_ratio=0.3, header_row=HEADER_ROW)
+    out, _rejects = make_dataset(cells, cells, pool, train_ratio=0.8, seed=42, mix_ratio=0.3, header_row=HEADER_ROW)
     return out.select("split", "origin", "source", "row_key", "input", "output", "text")

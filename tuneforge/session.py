@@ -52,12 +52,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage of a small derived table: reliable checkpoint into the shared folder.
+    """Cut lineage: write a derived table as Parquet into the shared folder and read it back.
 
-    Used for per-group statistics (cut tables, sizes) so that a lost executor does not
-    re-run the counting pass, and so the table's size can be checked before broadcasting."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    Used for statistics and for rows that several jobs read. A lost executor re-reads the files instead of
+    re-running the plan, later passes scan only the columns they need, and the planner knows the table's
+    size before it broadcasts."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,10 +81,13 @@ def write_run(df: DataFrame, base: str, run_id: str, fmt: str = "parquet") -> st
     return path
 
 
-def dataset_path(root: str, makedate: str, seed: int, train_ratio: float) -> str:
-    """Folder of one built dataset; percentages are rounded, valid = 100 - train."""
-    train_pct = int(round(train_ratio * 100))
-    return f"{root.rstrip('/')}/makedate={makedate}/seed={seed}/train_pct={train_pct}"
+def dataset_path(root: str, makedate: str, seed: int, train_ratio: float, **params) -> str:
+    """Folder of one built dataset: every parameter at full precision (80 for 0.8, 80.4 for 0.804);
+    valid = 100 - train. Further build parameters follow as name=value folders."""
+    pct = format(Decimal(repr(float(train_ratio))) * 100, "f")
+    pct = pct.rstrip("0").rstrip(".") if "." in pct else pct
+    more = "".join(f"/{k}={v!r}" for k, v in params.items())
+    return f"{root.rstrip('/')}/makedate={makedate}/seed={seed}/train_pct={pct}{more}"
 
 
 def build_if_absent(spark: SparkSession, path: str, build: Callable[[], DataFrame], fmt: str = "parquet") -> DataFrame:

@@ -13,6 +13,7 @@ import io
 import posixpath
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 
@@ -37,8 +38,19 @@ def col_number(letters: str) -> int:
 
 
 def _text_of(el) -> str:
-    """Concatenated text of every <t> under an element (plain and rich-text runs)."""
-    return "".join(t.text or "" for t in el.iter(f"{_NS}t"))
+    """Text of a string item: its <t>, or those of its rich-text runs. Phonetic runs are reading aids, not text."""
+    parts = [t.text or "" for t in el.findall(f"{_NS}t")]
+    return "".join(parts + [t.text or "" for r in el.findall(f"{_NS}r") for t in r.findall(f"{_NS}t")])
+
+
+def _number_text(raw: str) -> str:
+    """A stored number as Python prints the typed value: 1.1000000000000001 is 1.1, 1E-3 is 0.001."""
+    try:
+        if re.fullmatch(r"[+-]?[0-9]+", raw):
+            return str(int(raw))
+        return repr(float(raw))
+    except ValueError:
+        return raw
 
 
 def _shared_strings(z: zipfile.ZipFile) -> list[str]:
@@ -73,26 +85,33 @@ def _cell_value(c, shared: list[str]) -> str | None:
     if t == "s":
         return shared[int(v.text)]
     if t == "b":
-        return "TRUE" if v.text.strip() == "1" else "FALSE"
-    return v.text
+        return "TRUE" if v.text.strip() == "1" else "FALSE"  # as sheets show them
+    return _number_text(v.text.strip()) if t == "n" else v.text
 
 
 def workbook_cells(name: str, content: bytes) -> Iterator[list[tuple]]:
-    """Yield lists of (file, sheet, sheet_pos, row, col, value) tuples, BATCH_ROWS at a time."""
+    """Yield lists of (file, sheet, sheet_pos, row, col, value) tuples, BATCH_ROWS at a time. A row or cell
+    without a reference follows the one before it."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         shared = _shared_strings(z)
         batch: list[tuple] = []
         for pos, (sheet, part) in enumerate(_sheet_parts(z)):
+            row = col = 0
             with z.open(part) as f:
-                for _ev, el in ET.iterparse(f, events=("end",)):
-                    if el.tag != f"{_NS}c":
-                        if el.tag == f"{_NS}row":
+                for ev, el in ET.iterparse(f, events=("start", "end")):
+                    if el.tag == f"{_NS}row":
+                        if ev == "start":
+                            row, col = int(el.get("r") or row + 1), 0
+                        else:
                             el.clear()
                         continue
-                    m = _REF.fullmatch(el.get("r", ""))
+                    if ev != "end" or el.tag != f"{_NS}c":
+                        continue
+                    m = _REF.fullmatch(el.get("r") or "")
+                    at, col = (int(m.group(2)), col_number(m.group(1))) if m else (row, col + 1)
                     val = _cell_value(el, shared)
-                    if m and val is not None:
-                        batch.append((name, sheet, pos, int(m.group(2)), col_number(m.group(1)), val))
+                    if val is not None:
+                        batch.append((name, sheet, pos, at, col, val))
                         if len(batch) >= BATCH_ROWS:
                             yield batch
                             batch = []
@@ -100,46 +119,79 @@ def workbook_cells(name: str, content: bytes) -> Iterator[list[tuple]]:
             yield batch
 
 
+_BROKEN = (zipfile.BadZipFile, KeyError, ET.ParseError, IndexError, ValueError, zlib.error, EOFError)
+
+
+def _broken(path: str, content: bytes) -> str | None:
+    """Why a workbook cannot be read whole, or None. Reads every part, keeping nothing."""
+    if path.lower().endswith(".xls"):
+        return "legacy .xls is not readable"
+    try:
+        for _ in workbook_cells(path, content):
+            pass
+    except _BROKEN as e:
+        return f"unreadable workbook: {type(e).__name__}"
+    return None
+
+
 def _parse_partition(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Cells of the files that can be read whole; a file that breaks midway gives none (see
+    ``workbook_rejects``). A file is checked before its first cell goes out, so its cells are never held."""
     cols = ["file", "sheet", "sheet_pos", "row", "col", "value"]
     for pdf in it:
         for path, content in zip(pdf["path"], pdf["content"]):
-            try:
-                for batch in workbook_cells(path, bytes(content)):
-                    yield pd.DataFrame(batch, columns=cols).astype({"sheet_pos": "int32", "row": "int32", "col": "int32"})
-            except (zipfile.BadZipFile, KeyError, ET.ParseError):
-                continue  # not a readable workbook: see workbook_rejects
+            content = bytes(content)
+            if _broken(path, content) is not None:
+                continue
+            for batch in workbook_cells(path, content):
+                yield pd.DataFrame(batch, columns=cols).astype({"sheet_pos": "int32", "row": "int32", "col": "int32"})
 
 
-def read_cells(spark: SparkSession, path: str, suffixes=(".xlsx", ".xlsm")) -> DataFrame:
-    """Every sheet of every workbook under ``path`` as a cell table."""
+def read_cells(spark: SparkSession, path: str, suffixes=(".xlsx", ".xlsm"), recursive: bool = False) -> DataFrame:
+    """Every sheet of every workbook in the folder ``path`` (and below it, if ``recursive``) as a cell table."""
     glob = "*.{" + ",".join(s.lstrip(".") for s in suffixes) + "}"
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", recursive).load(path))
     return files.select("path", "content").mapInPandas(_parse_partition, CELL_SCHEMA)
 
 
 def _check_partition(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in it:
-        out = []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            if path.lower().endswith(".xls"):
-                out.append((path, "legacy .xls is not readable"))
-                continue
-            try:
-                with zipfile.ZipFile(io.BytesIO(bytes(content))) as z:
-                    _sheet_parts(z)
-            except (zipfile.BadZipFile, KeyError, ET.ParseError) as e:
-                out.append((path, f"unreadable workbook: {type(e).__name__}"))
-        yield pd.DataFrame(out, columns=["file", "reason"])
+        found = [(path, _broken(path, bytes(content))) for path, content in zip(pdf["path"], pdf["content"])]
+        yield pd.DataFrame([x for x in found if x[1]], columns=["file", "reason"])
 
 
-def workbook_rejects(spark: SparkSession, path: str) -> DataFrame:
-    """Files with a workbook suffix that cannot be read (incl. legacy .xls)."""
+def workbook_rejects(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """Files with a workbook suffix that cannot be read whole (incl. legacy .xls)."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.{xlsx,xlsm,xls}")
-             .option("recursiveFileLookup", True).load(path))
+             .option("recursiveFileLookup", recursive).load(path))
     return files.select("path", "content").mapInPandas(_check_partition, REJECT_SCHEMA)
 
 
 def cells_from_csv(spark: SparkSession, path: str) -> DataFrame:
     """A cell table exported as CSV with a header (file, sheet, sheet_pos, row, col, value)."""
     return spark.read.schema(CELL_SCHEMA).option("header", True).csv(path)
+
+
+def cells_from_csv_sheets(spark: SparkSession, path: str, recursive: bool = False, encoding: str = "UTF-8") -> DataFrame:
+    """Plain CSV files as sheets: each file is a workbook of one sheet named '' whose rows and columns are the
+    file's. An empty field is a missing cell. A file is read by one task (quoted fields may hold line breaks)."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+             .option("recursiveFileLookup", recursive).load(path))
+
+    def parse(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import csv
+
+        cols = ["file", "sheet", "sheet_pos", "row", "col", "value"]
+        for pdf in it:
+            for name, content in zip(pdf["path"], pdf["content"]):
+                text = io.TextIOWrapper(io.BytesIO(bytes(content)), encoding="utf-8-sig" if encoding == "UTF-8" else encoding, newline="")
+                batch = []
+                for r, fields in enumerate(csv.reader(text), start=1):
+                    batch += [(name, "", 0, r, c, v) for c, v in enumerate(fields, start=1) if v != ""]
+                    if len(batch) >= BATCH_ROWS:
+                        yield pd.DataFrame(batch, columns=cols).astype({"sheet_pos": "int32", "row": "int32", "col": "int32"})
+                        batch = []
+                yield pd.DataFrame(batch, columns=cols).astype({"sheet_pos": "int32", "row": "int32", "col": "int32"})
+
+    return files.select("path", "content").mapInPandas(parse, CELL_SCHEMA)

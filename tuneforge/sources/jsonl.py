@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.json_valid import json_valid
 from ..functions.text import py_strip
 from ..operators.records import concat
+from ..session import materialize
 
+LINE_SALTS = 64
 RECORD_SCHEMA = "input STRING, output STRING, text STRING"
 DIALOGUE_SCHEMA = "utterances ARRAY<STRUCT<turn_num: INT, utterance: STRING>>"
 
@@ -48,7 +50,8 @@ def drop_blank_lines(df: DataFrame, raw: str = "line") -> DataFrame:
 def filter_valid_json(df: DataFrame, raw: str = "line") -> tuple[DataFrame, DataFrame]:
     """(valid lines, reject report). The report counts invalid lines per (file, line hash):
     a distributed text scan has no line numbers."""
-    tagged = df.withColumn("_tf_valid", json_valid(raw))
+    # written once: both outputs read the tags instead of running the Python check twice
+    tagged = materialize(df.withColumn("_tf_valid", json_valid(raw)))
     valid = tagged.where("_tf_valid").drop("_tf_valid")
     by = [c for c in ("file",) if c in df.columns]
     rejects = (tagged.where(~F.col("_tf_valid"))
@@ -58,23 +61,29 @@ def filter_valid_json(df: DataFrame, raw: str = "line") -> tuple[DataFrame, Data
 
 
 def line_keys(df: DataFrame, file: str = "file", line: str = "line", out: str = "row_key") -> DataFrame:
-    """Row key for JSON lines: ``sha256(line):ordinal`` with ordinals 1..m among the m equal
-    lines of a file. Equal lines are interchangeable, so any assignment of the ordinals gives the
-    same multiset downstream, under any partitioning.
-
-    Numbering is salted by the scan partition: counts per (file, hash, partition) give offsets
-    (a running sum over at most one row per scan partition), then rows are numbered inside
-    (file, hash, partition), which holds at most one scan split. A line repeated across the
-    whole input therefore never lands in one task."""
-    d = (df.withColumn("_tf_lh", F.sha2(F.col(line), 256))
-         .withColumn("_tf_pid", F.spark_partition_id()))
-    counts = d.groupBy(file, "_tf_lh", "_tf_pid").agg(F.count(F.lit(1)).alias("_tf_c"))
-    w = Window.partitionBy(file, "_tf_lh").orderBy("_tf_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_tf_off", F.coalesce(F.sum("_tf_c").over(w), F.lit(0))).drop("_tf_c")
-    rn = F.row_number().over(Window.partitionBy(file, "_tf_lh", "_tf_pid").orderBy(F.col(line)))
-    keyed = d.join(offsets, [file, "_tf_lh", "_tf_pid"]).withColumn("_tf_ord", F.col("_tf_off") + rn)
-    return (keyed.withColumn(out, F.concat_ws(":", F.col("_tf_lh"), F.col("_tf_ord").cast("string")))
-            .drop("_tf_lh", "_tf_pid", "_tf_off", "_tf_ord"))
+    """Row key for JSON lines: ``sha256(file, line):ordinal`` with ordinals 1..m among the m equal
+    lines of a file, so keys are unique over all files. Equal lines are interchangeable, so any
+    assignment of the ordinals gives the same multiset downstream, under any partitioning.
+
+    Lines met once (counted by hash alone) have ordinal 1. Only repeated lines are numbered: their
+    rows are written once with a random salt, so both passes over them see the same salts; counts per
+    (hash, salt) give offsets, and rows are numbered inside (hash, salt). A line repeated across the whole
+    input is spread over LINE_SALTS windows."""
+    d = df.withColumn("_tf_lh", F.sha2(F.concat_ws("\n", F.coalesce(F.col(file), F.lit("")), F.col(line)), 256))
+    repeated = d.groupBy("_tf_lh").agg(F.count(F.lit(1)).alias("_tf_c")).where("_tf_c > 1").select("_tf_lh")
+    repeated = materialize(repeated)
+    key = lambda n: F.concat_ws(":", F.col("_tf_lh"), n.cast("string"))
+    single = d.join(repeated, "_tf_lh", "left_anti").withColumn(out, key(F.lit(1)))
+    many = d.join(repeated, "_tf_lh", "left_semi")
+    many = materialize(many.withColumn("_tf_salt", F.floor(F.rand() * LINE_SALTS).cast("int")))
+    counts = many.groupBy("_tf_lh", "_tf_salt").agg(F.count(F.lit(1)).alias("_tf_c"))
+    w = Window.partitionBy("_tf_lh").orderBy("_tf_salt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_tf_lh", "_tf_salt", F.coalesce(F.sum("_tf_c").over(w), F.lit(0)).alias("_tf_off"))
+    rn = F.row_number().over(Window.partitionBy("_tf_lh", "_tf_salt").orderBy(F.col(line)))
+    many = (many.withColumn("_tf_rn", rn).join(offsets, ["_tf_lh", "_tf_salt"])
+            .withColumn(out, key(F.col("_tf_off") + F.col("_tf_rn"))))
+    cols = [*df.columns, out]
+    return single.select(*cols).unionByName(many.select(*cols))
 
 
 def extract_records(df: DataFrame, raw: str = "line") -> DataFrame:
