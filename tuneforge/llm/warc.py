@@ -259,7 +259,10 @@ def read_records(records: DataFrame) -> DataFrame:
                                                  schema=kind)
                 k = last + 1
 
-    spread = (records.withColumn("_run", F.floor(F.col("offset") / RUN_BYTES)).repartition("path", "_run")
+    # The list is small beside the bytes it stands for, so the number of tasks is given: adaptive execution would
+    # join partitions by the list's own size.
+    tasks = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = (records.withColumn("_run", F.floor(F.col("offset") / RUN_BYTES)).repartition(tasks, "path", "_run")
               .sortWithinPartitions("path", "offset").drop("_run"))
     return spread.mapInArrow(run, "page_id long, record_type string, refers_to long, url string, payload binary, "
                                   "payload_bytes long, payload_digest string")
