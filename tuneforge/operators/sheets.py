@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import QA_INPUT_KEYWORDS, QA_OUTPUT_KEYWORDS, TEXT_KEYWORDS, contains_any
-from ..plans.small import attach_stats, checked_stats
+from ..plans.small import attach_stats
+from ..session import materialize
 from .records import fill_missing
 
 SHEET = ["file", "sheet"]
@@ -68,8 +69,8 @@ def sheet_records(cells: DataFrame, mapping: DataFrame, header_row: int = 5, kin
     """J3 + P3 + P4: records of the usable sheets. QA -> (file, sheet, row, input, output);
     text -> (file, sheet, row, text). Missing cells of a kept row become ''."""
     roles = _role_cols(kind)
-    m, n = checked_stats(mapping.select(*SHEET, *roles))
-    c = attach_stats(cells.where((F.col("row") > header_row) & F.col("value").isNotNull()), m, SHEET, n)
+    m = materialize(mapping.select(*SHEET, *roles))
+    c = attach_stats(cells.where((F.col("row") > header_row) & F.col("value").isNotNull()), m, SHEET)
     keep = None
     for r in roles:
         e = F.col("col") == F.col(r)
@@ -87,6 +88,6 @@ def read_sheet_table(cells: DataFrame, columns: Sequence[str], sheet_index: int
     first = cells.where(F.col("sheet_pos") == sheet_index)
     hdr = first.where((F.col("row") == header_row) & F.col("value").isin(list(columns))).select(
         *SHEET, "col", F.col("value").alias("_tf_name"))
-    hdr, n = checked_stats(hdr)
-    data = attach_stats(first.where(F.col("row") > header_row), hdr, [*SHEET, "col"], n)
+    hdr = materialize(hdr)
+    data = attach_stats(first.where(F.col("row") > header_row), hdr, [*SHEET, "col"])
     return data.groupBy("file", "row").pivot("_tf_name", list(columns)).agg(F.min_by("value", "col"))

@@ -11,8 +11,8 @@ group size n. The cut is exact and runs without a global window:
 4. One narrow pass: a row is in the first k iff ``(h, key) <= (h_cut, key_cut)``.
 
 The cut table has one row per group. Up to MAX_LITERAL_GROUPS (32) groups it is fetched (a bounded
-``limit``) and inlined as literal expressions; beyond that it is materialised in the shared
-checkpoint folder, counted, and broadcast only under a size bound (else a shuffled join). The
+``limit``) and inlined as literal expressions; beyond that it is written into the shared
+checkpoint folder and joined without a hint (the planner broadcasts it by its bytes, or shuffles). The
 data rows themselves are never shuffled by the cut.
 """
 
@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import BUCKET_HEX, hash_bucket, shuffle_hash
-from ..plans.small import attach_stats, checked_stats, null_safe_join
+from ..plans.small import attach_stats, null_safe_join
+from ..session import materialize
 
 KRule = Callable[[Column], Column]
 
@@ -167,14 +168,14 @@ def first_k(df: DataFrame, key: str, k_rule: KRule, seed=42, salt: str = "", by:
             hcut = keycut = F.lit(None).cast("string")
         j = d.withColumn(out, inside(bcut, hcut, keycut))
     else:
-        cut, n_groups = checked_stats(cut)
+        cut = materialize(cut)
         if totals is not None:
             row = cut.agg(F.sum("_tf_n").alias("n"), F.sum("_tf_k").alias("k")).first()
             totals.update(n=int(row["n"] or 0), k=int(row["k"] or 0))
-        bnd = boundary(attach_stats(keys, cut, gb, n_groups))
-        cut, n_groups = checked_stats(null_safe_join(cut, bnd, gb, "left"))
+        bnd = boundary(attach_stats(keys, cut, gb))
+        cut = materialize(null_safe_join(cut, bnd, gb, "left"))
         unique_at_cut([r[0] for r in cut.where(F.col("_tf_straddle")).select("_tf_straddle").limit(1).collect()])
-        j = attach_stats(d, cut, gb, n_groups, how="left")
+        j = attach_stats(d, cut, gb, how="left")
         j = j.withColumn(out, inside(F.col("_tf_bcut"), F.col("_tf_hcut"), F.col("_tf_keycut")))
     if keep_hash:
         j = j.withColumnRenamed("_tf_h", keep_hash)

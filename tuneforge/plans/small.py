@@ -1,4 +1,6 @@
-"""Joining per-group statistics back onto rows, with a checked size before broadcasting."""
+"""Joining per-group statistics back onto rows. The statistics are written tables, so the planner
+knows their bytes and broadcasts them only below ``spark.sql.autoBroadcastJoinThreshold``; beyond it
+the join is shuffled and AQE splits skewed partitions."""
 
 from __future__ import annotations
 
@@ -7,19 +9,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
-
-# A stats table up to this many rows is broadcast; beyond it the join is a shuffled join
-# (AQE splits skewed partitions). Stats tables here hold one row per group (source, recipe,
-# split), so the bound is about the number of groups, never about the number of data rows.
-MAX_BROADCAST_ROWS = 200_000
-
-
-def checked_stats(stats: DataFrame) -> tuple[DataFrame, int]:
-    """Materialise a small stats table in the shared checkpoint folder and count it."""
-    stats = materialize(stats)
-    return stats, stats.count()
-
 
 def null_safe_join(rows: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner",
                    broadcast: bool = False) -> DataFrame:
@@ -35,8 +24,6 @@ def null_safe_join(rows: DataFrame, other: DataFrame, on: Sequence[str], how: st
     return rows.join(renamed, cond, how).drop(*[f"_tf_j_{c}" for c in on])
 
 
-def attach_stats(rows: DataFrame, stats: DataFrame, on: Sequence[str], n_stats: int,
-                 how: str = "inner") -> DataFrame:
-    """Join ``stats`` (already checked to hold ``n_stats`` rows) to ``rows`` on ``on``
-    (null-safe); broadcast only under the size bound."""
-    return null_safe_join(rows, stats, on, how, broadcast=n_stats <= MAX_BROADCAST_ROWS)
+def attach_stats(rows: DataFrame, stats: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join ``stats`` (a written table) to ``rows`` on ``on`` (null-safe), without a hint."""
+    return null_safe_join(rows, stats, on, how)
