@@ -3,7 +3,8 @@
 Vectors are projected on a few random directions; several Hilbert curves, each over its own projection and
 shifted by its own random offset, order all rows. Along a curve, rows are numbered without a global sort (a
 histogram of key cells gives offsets) and cut into blocks of ``BLOCK_ROWS``. A query visits, on each curve, the
-blocks that overlap the window of rows around its own place; the best of all windows are merged and ranked by
+whole blocks that overlap the window of rows around its own place, and keeps the ``k`` best of each block; the
+best of all windows are merged and ranked by
 the exact inner product of the original vectors, in double precision, summed in the order of the components.
 
 The window is a share of the rows, so recall hardly depends on the table's size. ``WINDOW`` and ``CURVES``
@@ -30,7 +31,7 @@ CURVES = 8
 DIMENSIONS = 2
 BITS = 14
 WINDOW = 0.22
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 16_384
 QUERY_ROWS = 4096
 CELL_BITS = 14
 SPREAD = 64
