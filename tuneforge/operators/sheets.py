@@ -2,16 +2,15 @@
 
 The input is a long cell table ``(file, sheet, row, col, value[, sheet_pos])`` (values are
 strings; an absent or null cell is "missing"). Every step is keyed by (file, sheet): header
-resolution is one aggregate per sheet, records are one aggregate per (sheet, row), and the only
-window is the first-blank stop rule, partitioned by sheet. A sheet is bounded by its format
-(at most 1,048,576 rows in xlsx), so that window never grows with the corpus.
+resolution is one aggregate per sheet, records are one aggregate per (sheet, row), and the
+first-blank stop rule is an anti-join on (sheet, row). No window spans a sheet.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import QA_INPUT_KEYWORDS, QA_OUTPUT_KEYWORDS, TEXT_KEYWORDS, contains_any
@@ -58,11 +57,17 @@ def drop_unmapped_sheets(cells: DataFrame, mapping: DataFrame, kind: str = "qa")
 
 def until_first_blank(rows: DataFrame, header_row: int) -> DataFrame:
     """Keep rows header_row+1, +2, ... up to the first row that is missing; later rows are
-    lost even when filled. ``rows`` holds only rows with at least one key cell, so a row stays
-    iff it is the n-th present row and its number is header_row + n (gaps and islands)."""
-    w = Window.partitionBy(*SHEET).orderBy("row")
-    return (rows.withColumn("_tf_g", F.col("row") - F.row_number().over(w))
-            .where(F.col("_tf_g") == header_row).drop("_tf_g"))
+    lost even when filled. ``rows`` holds only rows with at least one key cell.
+
+    A sheet stops at its least row number above the header that is absent right after the header or a
+    present row: an anti-join on (sheet, row) and a minimum per sheet, so a long sheet is never one task."""
+    rows = materialize(rows)  # read three times
+    keys = rows.select(*SHEET, "row").where(F.col("row") > header_row)
+    heads = rows.select(*SHEET).distinct().withColumn("row", F.lit(header_row))
+    after = keys.unionByName(heads).withColumn("row", F.col("row") + 1)
+    stops = after.join(keys, [*SHEET, "row"], "left_anti").groupBy(*SHEET).agg(F.min("row").alias("_tf_stop"))
+    return (rows.join(stops, SHEET).where((F.col("row") > header_row) & (F.col("row") < F.col("_tf_stop")))
+            .select(*rows.columns))
 
 
 def sheet_records(cells: DataFrame, mapping: DataFrame, header_row: int = 5, kind: str = "qa") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import DataFrame
 
 
@@ -14,6 +15,6 @@ def spread_for_cpu(scan: DataFrame, key: str) -> DataFrame:
     try:
         slots = scan.sparkSession.sparkContext.defaultParallelism
         parts = scan.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): keep the plan as is
+    except (PySparkAttributeError, PySparkNotImplementedError):  # a remote session has no RDDs: keep the plan as is
         return scan
     return scan if parts >= slots else scan.repartition(slots, key)
