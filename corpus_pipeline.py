@@ -18,7 +18,7 @@ from tuneforge.llm.common import table, written
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows scored below 0.5 by a model fitted on labelled rows of ``docs`` that are not held out."""
     model = queries.toxicity_model(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, out="_toxicity").filter("_toxicity < 0.5").drop("_toxicity")
+    return toxicity.score(docs, model, out="_tf_toxicity").filter("_tf_toxicity < 0.5").drop("_tf_toxicity")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ def site(spark, n):
              f"<html><body><div class=x1><a>Home</a><a>About us</a></div><div class=x2><p>story {i} text</p><p>more {i}</p></div>"
              f"<div class=x3>All rights</div></body></html>") for i in range(n)]
     return spark.createDataFrame([(*r, "z") for r in rows] + [(1000, None, None, "z"), (1001, "odd", "<p>x</p>", "z")],
-                                 "page_id long, url string, html string, _nodes string").drop("_nodes").withColumnsRenamed({})
+                                 "page_id long, url string, html string, nodes string")
 
 
 def test_style_tree_removes_repeated_branches(spark):

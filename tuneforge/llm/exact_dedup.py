@@ -67,6 +67,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return F.concat_ws("|", F.coalesce(i.cast("string"), F.lit("")), d)
 
     classes = exact_classes(docs, id_col, text_col, salts)
-    dropped = classes.filter(~F.col("kept")).select(key(F.col(id_col), F.col("digest")).alias("_key"))
-    keyed = docs.withColumn("_key", key(F.col(id_col), sha256_hex(normalised(F.col(text_col)))))
-    return keyed.join(dropped, "_key", "left_anti").dropDuplicates(["_key"]).drop("_key")
+    dropped = classes.filter(~F.col("kept")).select(key(F.col(id_col), F.col("digest")).alias("_tf_key"))
+    keyed = docs.withColumn("_tf_key", key(F.col(id_col), sha256_hex(normalised(F.col(text_col)))))
+    return keyed.join(dropped, "_tf_key", "left_anti").dropDuplicates(["_tf_key"]).drop("_tf_key")

@@ -338,8 +338,8 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", out:
     trees = written(site_style_trees(pages, url_col, html_col), "style-trees")
     # A host's tree has a row per recurring template node. It joins without a hint: Spark broadcasts the trees
     # where their files are small, and otherwise shuffles both sides and splits a hot host.
-    joined = pages.withColumn("_host", host_of(F.col(url_col))).join(
-        trees.select(F.col("host").alias("_host"), F.col("nodes").alias("_nodes")), "_host", "left")
+    joined = pages.withColumn("_tf_host", host_of(F.col(url_col))).join(
+        trees.select(F.col("host").alias("_tf_host"), F.col("nodes").alias("_tf_nodes")), "_tf_host", "left")
 
     @F.arrow_udf("string")
     def text_of(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -357,4 +357,4 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", out:
                 out.append("\n\n".join(main_blocks(parse(page.as_py() or "", known), tables[host])))
             yield pa.array(out, pa.string())
 
-    return joined.withColumn(out, text_of(F.col(html_col), F.col("_host"), F.col("_nodes"))).drop("_host", "_nodes")
+    return joined.withColumn(out, text_of(F.col(html_col), F.col("_tf_host"), F.col("_tf_nodes"))).drop("_tf_host", "_tf_nodes")

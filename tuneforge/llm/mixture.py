@@ -128,9 +128,9 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def part(c: str):
         return F.coalesce(F.col(c).cast("string"), F.lit("\x00"))
 
-    keyed = docs.withColumn("_key", F.sha2(F.concat_ws("\x1f", part(id_col), part(source_col), part(text_col)), 256))
-    _, pieces = mix(keyed.select("_key", text_col, source_col), "_key", text_col, source_col, **kw)
-    plays = (pieces.groupBy("_key", "source_key", "start", "epoch").agg(F.sum("words").alias("_w"))
-             .groupBy("_key").agg(F.count(F.lit(1)).cast("int").alias("_n")))
-    return (keyed.dropDuplicates(["_key"]).join(plays, "_key")
-            .withColumn("_play", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_key", "_n", "_play"))
+    keyed = docs.withColumn("_tf_key", F.sha2(F.concat_ws("\x1f", part(id_col), part(source_col), part(text_col)), 256))
+    _, pieces = mix(keyed.select("_tf_key", text_col, source_col), "_tf_key", text_col, source_col, **kw)
+    plays = (pieces.groupBy("_tf_key", "source_key", "start", "epoch").agg(F.sum("words").alias("_w"))
+             .groupBy("_tf_key").agg(F.count(F.lit(1)).cast("int").alias("_tf_n")))
+    return (keyed.dropDuplicates(["_tf_key"]).join(plays, "_tf_key")
+            .withColumn("_tf_play", F.explode(F.sequence(F.lit(1), F.col("_tf_n")))).drop("_tf_key", "_tf_n", "_tf_play"))
