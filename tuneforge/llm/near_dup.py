@@ -11,8 +11,9 @@ connected components of the links.
 Work in a large bucket: texts with equal words are one node from the start. Then, in rounds, each bucket's
 texts outside its largest class are compared with one pivot of that class, so a bucket of n copies costs
 about n comparisons. What is still unlinked in a bucket is compared with all texts of other classes, so no
-verified link between candidates is lost. That last step is taken when few such pairs are left, at the latest
-after ``MAX_ROUNDS`` rounds.
+verified link between candidates is lost. That last step is taken when few such pairs are left or pivots link
+fewer than one text in 20 (the buckets then hold texts that only share a passage), at the latest after
+``MAX_ROUNDS`` rounds.
 
 Defined cases: texts without words are alike only if equal after white space is collapsed; a null text is
 empty; repeated rows are one node; rows with a null id are not compared and get a null class; an empty table
@@ -292,6 +293,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     edges = spark.createDataFrame([], "a long, b long")
     tried = edges
+    fruitful = True  # whether the last round's pivots linked a fair share of the texts they met
     for k in range(MAX_ROUNDS + 1):
         placed = written(buckets.join(labels, "doc"), "near-placed")
         sizes = placed.groupBy("key", "class").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(
@@ -303,7 +305,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         left = main.agg(F.sum(F.col("_all") * F.col("_rest"))).first()[0] or 0
         if not left:
             break
-        last = k == MAX_ROUNDS or left <= 2 * size
+        last = k == MAX_ROUNDS or left <= 2 * size or (not fruitful and left <= 100 * size)
         rest = placed.join(main, "key").filter(F.col("class") != F.col("main"))
         if last:  # every text outside the largest class with every text of another class
             others = placed.select("key", F.col("doc").alias("_d"), F.col("class").alias("_c"))
@@ -314,6 +316,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
         links = written(_verified(pairs, texts, idf, threshold), "near-links")
         edges, tried = edges.union(links), tried.union(pairs)
+        fruitful = links.count() * 20 >= pairs.count()
         found = components(edges)
         labels = written(labels.join(found, labels["doc"] == found["node"], "left")
                          .select("doc", F.coalesce("component", "class").alias("class")), "near-labels")
