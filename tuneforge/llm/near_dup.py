@@ -4,8 +4,8 @@ A text is a weighted set of shingles of five lower-cased words (all its words, i
 (1 + ln tf) x idf, where idf falls from 2 (in at most one of 2,048 texts) to 1 (in all); document frequencies
 are counted over all rows, in ``2^DF_BITS`` hashed counters, a table of fixed size. Improved consistent
 weighted sampling draws (shingle, level) samples that two texts share with probability equal to their
-weighted Jaccard similarity; ``BANDS`` bands of ``ROWS`` samples give the candidates, and each link is
-verified by the weighted Jaccard similarity of the whole texts, at least ``threshold``. Classes are the
+weighted Jaccard similarity; ``BANDS`` bands, each of ``ROWS`` of the ``SAMPLES`` samples drawn at random, give the
+candidates. Pairs whose total weights alone keep them below the threshold are left out, and each link is verified by the weighted Jaccard similarity of the whole texts, at least ``threshold``. Classes are the
 connected components of the links.
 
 Work in a large bucket: texts with equal words are one node from the start. Then, in rounds, each bucket's
@@ -36,7 +36,7 @@ from .wordcode import pack_arrays, unpack_arrays
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 16, 4
+SAMPLES, BANDS, ROWS = 64, 48, 6
 DF_BITS = 20
 DF_BLOCK = 4096
 RARE = 2048.0  # idf stops growing at one text of so many
@@ -154,13 +154,13 @@ class Sampler:
 
 
 def band_keys(samples: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """(texts, bands) keys; a key also names its band."""
-    keys = np.empty((len(samples), bands), np.uint64)
-    for b in range(bands):
-        key = np.full(len(samples), np.uint64(b + 1) * _MIX[3], np.uint64)
-        for j in range(b * rows, (b + 1) * rows):
-            key = _mix((key ^ samples[:, j]) * _MIX[0])
-        keys[:, b] = key
+    """(texts, bands) keys; a key also names its band. Bands share samples: more bands of more rows than samples
+    allow side by side tell unlike texts apart better at the same chance for like ones."""
+    rng = np.random.default_rng(13)
+    picks = np.stack([rng.choice(samples.shape[1], rows, replace=False) for _ in range(bands)])
+    keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64) * _MIX[3], (len(samples), 1))
+    for j in range(rows):
+        keys = _mix((keys ^ samples[:, picks[:, j]]) * _MIX[0])
     return keys.view(np.int64)
 
 
@@ -218,15 +218,16 @@ def _count_pass(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
 
 def _signatures(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
-    """(id, keys: array of band keys) of the texts that have words."""
+    """(id, total weight, keys: array of band keys) of the texts that have words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, sampler, table = _Hashes(), Sampler(bands * rows), idf.value
-        ids, own, logs = [], [], []
+        hashes, sampler, table = _Hashes(), Sampler(SAMPLES), idf.value
+        ids, own, logs, total = [], [], [], []
 
         def sampled():
             keys = band_keys(sampler.sample(np.concatenate(own), np.concatenate(logs), np.array([len(x) for x in own])), bands, rows)
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(list(keys), pa.list_(pa.int64()))], names=["_id", "keys"])
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total, pa.float64()),
+                                               pa.array(list(keys), pa.list_(pa.int64()))], names=["_id", "weight", "keys"])
 
         for batch in batches:
             for i, text in zip(batch.column("_id").to_pylist(), batch.column("_text"), strict=True):
@@ -235,14 +236,16 @@ def _signatures(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
                     continue
                 ids.append(i)
                 own.append(s)
-                logs.append(np.log(weights(s, tf, table)).astype("f4"))
+                w = weights(s, tf, table)
+                total.append(float(w.sum()))
+                logs.append(np.log(w).astype("f4"))
                 if sum(map(len, own)) >= CHUNK:
                     yield sampled()
-                    ids, own, logs = [], [], []
+                    ids, own, logs, total = [], [], [], []
         if ids:
             yield sampled()
 
-    return written(docs.mapInArrow(run, "_id long, keys array<long>"), "near-signatures")
+    return written(docs.mapInArrow(run, "_id long, weight double, keys array<long>"), "near-signatures")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
@@ -284,7 +287,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     nodes = known.filter("_id is not null").groupBy("digest").agg(F.min("_id").alias("node"))
     members = written(known.join(nodes, "digest", "left").select("_id", F.when(F.col("_id").isNotNull(), F.col("node")).alias("node")), "near-nodes")
     firsts = members.filter("_id = node").select("_id").distinct()
-    keyed = signatures.dropDuplicates(["_id"]).join(firsts, "_id").select(F.explode("keys").alias("key"), F.col("_id").alias("doc"))
+    keyed = signatures.dropDuplicates(["_id"]).join(firsts, "_id").select(F.explode("keys").alias("key"), F.col("_id").alias("doc"), "weight")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("key")
     buckets = written(keyed.join(shared, "key"), "near-buckets")
     labels = written(buckets.select("doc").distinct().withColumn("class", F.col("doc")), "near-labels")
@@ -297,22 +300,24 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     for k in range(MAX_ROUNDS + 1):
         placed = written(buckets.join(labels, "doc"), "near-placed")
         sizes = placed.groupBy("key", "class").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(
-            F.xxhash64(F.lit(k), "doc"), F.col("doc"))).alias("_p"))
+            F.xxhash64(F.lit(k), "doc"), F.col("doc"), F.col("weight"))).alias("_p"))
         # Buckets of one class are done; of the others, the largest class gives the pivot.
-        main = sizes.groupBy("key").agg(F.max(F.struct("_n", F.col("class").alias("main"), F.col("_p.doc").alias("pivot"))).alias("_m"),
+        main = sizes.groupBy("key").agg(F.max(F.struct("_n", F.col("class").alias("main"), F.col("_p.doc").alias("pivot"), F.col("_p.weight").alias("pivot_weight"))).alias("_m"),
                                         F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_classes"))
-        main = written(main.filter("_classes > 1").select("key", "_m.main", "_m.pivot", "_all", (F.col("_all") - F.col("_m._n")).alias("_rest")), "near-main")
+        main = written(main.filter("_classes > 1").select("key", "_m.main", "_m.pivot", "_m.pivot_weight", "_all", (F.col("_all") - F.col("_m._n")).alias("_rest")), "near-main")
         left = main.agg(F.sum(F.col("_all") * F.col("_rest"))).first()[0] or 0
         if not left:
             break
         last = k == MAX_ROUNDS or left <= 2 * size or (not fruitful and left <= 100 * size)
         rest = placed.join(main, "key").filter(F.col("class") != F.col("main"))
+        # Similarity is at most the ratio of the total weights (a hair of slack for rounding).
+        near = lambda a, b: F.least(a, b) >= F.greatest(a, b) * (threshold - 1e-6)
         if last:  # every text outside the largest class with every text of another class
-            others = placed.select("key", F.col("doc").alias("_d"), F.col("class").alias("_c"))
-            pairs = (rest.select("key", "doc", "class").join(others, "key").filter(F.col("class") != F.col("_c"))
+            others = placed.select(F.col("key").alias("_k"), F.col("doc").alias("_d"), F.col("class").alias("_c"), F.col("weight").alias("_w"))
+            pairs = (rest.join(others, (F.col("key") == F.col("_k")) & (F.col("class") != F.col("_c")) & near(F.col("weight"), F.col("_w")))
                      .select(F.least("doc", "_d").alias("a"), F.greatest("doc", "_d").alias("b")).distinct())
         else:
-            pairs = rest.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
+            pairs = rest.filter(near(F.col("weight"), F.col("pivot_weight"))).select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
         links = written(_verified(pairs, texts, idf, threshold), "near-links")
         edges, tried = edges.union(links), tried.union(pairs)
