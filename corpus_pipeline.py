@@ -40,7 +40,8 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and the digest of the decoded bytes, a row per
     row of ``docs``."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    # Written between, and in smaller blocks than by default: one Python worker a task, with less in memory.
+    encoded = written(bpe.encode(docs, ranks, public_tokenizers.PATTERN, block_chars=4_000_000), "pipeline-encoded")
     return bpe.decode(encoded, ranks).select(
         "doc_id", F.col("n_ids").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import wordcode
-from .wordcode import worker_cache
+from .wordcode import trimmed, worker_cache
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -66,4 +66,4 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFra
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*names, "decoded"])
 
     schema = ", ".join(f"`{n}` {t}" for n, t in encoded.dtypes)
-    return encoded.mapInArrow(run, f"{schema}, decoded binary")
+    return encoded.mapInArrow(trimmed(run), f"{schema}, decoded binary")

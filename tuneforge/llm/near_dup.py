@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 from .components import components
-from .wordcode import pack_arrays, unpack_arrays
+from .wordcode import pack_arrays, trimmed, unpack_arrays
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -53,7 +53,7 @@ class _Hashes(dict):
     def __missing__(self, word):
         import xxhash
 
-        if len(self) > 500_000:  # a cache only
+        if len(self) > 250_000:  # a cache only
             self.clear()
         bare = word.lower()
         if not bare.isalnum():
@@ -202,7 +202,7 @@ def _count_pass(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(
             (none, none, [b for b, _ in rows], [salt] * len(rows), [c for _, c in rows]), kinds, strict=True)], names=names)
 
-    counted = written(docs.mapInArrow(run, "_id long, digest binary, block int, salt int, counts binary"), "near-counts")
+    counted = written(docs.mapInArrow(trimmed(run), "_id long, digest binary, block int, salt int, counts binary"), "near-counts")
 
     def add(group: pa.Table) -> pa.Table:
         total = sum(unpack_arrays(c)[0].astype(np.int64) for c in group["counts"].to_pylist())
@@ -245,7 +245,7 @@ def _signatures(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
         if ids:
             yield sampled()
 
-    return written(docs.mapInArrow(run, "_id long, weight double, keys array<long>"), "near-signatures")
+    return written(docs.mapInArrow(trimmed(run), "_id long, weight double, keys array<long>"), "near-signatures")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
@@ -271,7 +271,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
 
     left, right = texts.toDF("a", "_ta"), texts.toDF("b", "_tb")
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "_ta", "_tb")
-    return rows.sortWithinPartitions("b").mapInArrow(run, "a long, b long")
+    return rows.sortWithinPartitions("b").mapInArrow(trimmed(run), "a long, b long")
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .wordcode import release_memory
+
 WORDS = re.compile(r"\w+")
 MAX_FIT = 8_000
 LEAST_DF = 3
@@ -46,7 +48,7 @@ class _Slots(dict):
         self.mask = (1 << bits) - 1
 
     def __missing__(self, word):
-        if len(self) > 300_000:  # a cache only: forget, never grow with the corpus
+        if len(self) > 150_000:  # a cache only: forget, never grow with the corpus
             self.clear()
         terms = {word + "."} | {word[:k] for k in (3, 4, 5) if len(word) > k} | ({"." + word[-4:]} if len(word) > 4 else set())
         slots = self[word] = [_slot(t, self.mask) for t in sorted(terms)]
@@ -130,6 +132,8 @@ def fit(texts: list[str | None], y: list[int], bits: int = 18, rank: int = 8, ep
             m.w[slot] -= rate * dw / np.sqrt(gw[slot])
             m.v[slot] -= 0.2 * rate * dv / np.sqrt(gv[slot])
             m.bias -= rate * float(g.sum()) / np.sqrt(gb)
+    del rows, slots
+    release_memory()
     return m
 
 
@@ -158,6 +162,8 @@ def score(docs: DataFrame, model: Machine, text_col: str = "text", out: str = "s
         for batch in batches:
             z = np.array([m.margin(terms_of(t.as_py(), slots)) for t in batch], np.float64)
             yield pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())
+        del slots
+        release_memory()
 
     return docs.withColumn(out, scored(F.col(text_col)))
 

@@ -14,6 +14,8 @@ bounded at any size."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import sys
 import uuid
@@ -46,6 +48,26 @@ def worker_cache(key, make):
     return store[key]
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: Python workers live on, and what one task held would otherwise stay
+    counted beside the next stage's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, releasing memory when a task's batches are done."""
+    def outer(batches):
+        yield from run(batches)
+        release_memory()
+
+    return outer
+
+
 def split_keeping_space(text: str) -> tuple[list[str], np.ndarray]:
     """Cut a text where byte-level pre-tokenisers always cut: before each run of non-spaces together with
     one leading space; of a longer white-space run, its last character stands alone."""
@@ -207,12 +229,14 @@ def encode_texts(docs: DataFrame, id_col: str, text_col: str, split: Split, load
                 held += len(text)
                 if held >= block_chars:
                     yield _block(f"{folder}/{uuid.uuid4().hex}", ids, lens, codes, list(numbers), buckets)
+                    ids = lens = codes = numbers = None
+                    release_memory()
                     held, ids, lens, codes, numbers = 0, [], [], [], _Numbers()
         if ids:
             yield _block(f"{folder}/{uuid.uuid4().hex}", ids, lens, codes, list(numbers), buckets)
 
     # Written before use: only blocks of finished tasks count, and a lost executor re-reads them.
-    lists = written(rows.mapInArrow(make_blocks, "block string, bucket long, words binary"), "word-lists")
+    lists = written(rows.mapInArrow(trimmed(make_blocks), "block string, bucket long, words binary"), "word-lists")
 
     def encode_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, known, at = load(), {}, None
@@ -232,7 +256,7 @@ def encode_texts(docs: DataFrame, id_col: str, text_col: str, split: Split, load
                                              names=["block", "bucket", "coded"])
 
     coded = (lists.repartition("bucket").sortWithinPartitions("bucket")
-             .mapInArrow(encode_lists, "block string, bucket long, coded binary"))
+             .mapInArrow(trimmed(encode_lists), "block string, bucket long, coded binary"))
     kind = pa.schema([("_id", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.binary())])
 
     def reassemble(answers: pa.Table) -> pa.Table:
