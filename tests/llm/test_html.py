@@ -51,3 +51,34 @@ def test_generated_pages(spark):
         want = "\n\n".join(b for b in blocks if b)
         assert " ".join(r.text.split()) == " ".join(want.split()) and r.n_chars == len(r.text)
         assert r.text.count("\n\n") == want.count("\n\n")
+
+
+MARKS = {"<nav>": "<div class=a1>", "</nav>": "</div>", '<div class="ad">': "<div class=a2>", "<article>": "<div class=a3>",
+         "</article>": "</div>", "<footer>": "<div class=a4>", "</footer>": "</div>"}
+
+
+def test_the_tree_finds_unmarked_articles(spark):
+    """The given pages with neutral names for menu, advert, article and foot: the tree finds the articles on hosts
+    that it knows, and without it they are lost among the rest."""
+    t = spark.read.parquet(SF_MID.replace("0.01", "0.1") + "/pages.parquet").filter(html_main.host_of("url") == "blog.tionsh.example.com")
+    bare = t
+    for old, new in MARKS.items():
+        bare = bare.withColumn("html", html_main.F.replace("html", html_main.F.lit(old), html_main.F.lit(new)))
+    want = {r.page_id: r.text for r in html_main.extract(t).collect()}
+    got = {r.page_id: r.text for r in html_main.extract(bare).collect()}
+    assert len(want) >= 300 and got == want
+    withheld = {r.page_id: text_of(r.html) for r in bare.collect()}
+    assert all(withheld[i] != want[i] and want[i] in withheld[i] for i in want)
+
+
+def test_marks_only_break_ties(spark):
+    """An advert marked as the article loses to the branch that the tree finds; a marked article around it widens it."""
+    def page(i, wrap):
+        story = "".join(f"<p>story {i} part {j} of a long text</p>" for j in range(1 + i % 9))
+        part = f"<div class=s>{story}</div>"
+        return f"<body><article><i>buy {i}</i></article>{part}</body>" if not wrap else f"<body><article><h1>t {i}</h1>{part}</article></body>"
+
+    for wrap in (False, True):
+        rows = [(i, f"http://h.example/{i}", page(i, wrap)) for i in range(30)]
+        got = {r.page_id: r.text for r in html_main.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+        assert got[1] == ("t 1\n\n" if wrap else "") + "story 1 part 0 of a long text\n\nstory 1 part 1 of a long text"

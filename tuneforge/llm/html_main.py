@@ -9,11 +9,17 @@ All pages of a host are merged into one tree of element nodes, each named by its
   log(pages), so text repeated on every page counts nothing and text of one page counts fully;
 * a branch's importance mixes both: (1 - GAMMA^styles) x own + GAMMA^styles x mean of its children.
 
+The tree decides first which part of a page is its article: the branch whose presentation entropy, times its
+share of the host's text, is largest. An article's sequence of headings and paragraphs differs from page to
+page, while a menu, an advert or a foot keeps its form even where its words are drawn anew. Marks (an article
+element, a main role) only break ties: they widen the branch to the marked article around it, narrow a branch
+that mostly consists of marked articles, and decide where no branch reaches ``LEAST_SCORE`` or the branch
+scores less than the marked article could.
+
 Branches of low importance are removed from each page, as are branches whose presentation itself says that
 they are no article text (navigation, adverts, forms, reader comments, ...). Nodes on fewer than
-``LEAST_PAGES`` pages of a host tell nothing and count as important. Where a page marks its article, the
-text is taken from there, and inside it only container branches can be of low importance, never running
-text: an article's repeated paragraph stays.
+``LEAST_PAGES`` pages of a host tell nothing and count as important. Inside the article only container branches
+can be of low importance, never running text: an article's repeated paragraph stays.
 
 Blocks: character references are decoded, white space inside a block becomes one space, blocks are joined
 by an empty line. Defined cases: null or empty html gives an empty text; a null or odd url belongs to the
@@ -38,7 +44,8 @@ from .common import written
 GAMMA = 0.9
 LEAST_PAGES = 8
 LOW = 0.3  # a branch below this is removed where the page marks no article
-LOW_INSIDE = 0.1  # a container branch inside the marked article
+LOW_INSIDE = 0.1  # a container branch inside the article
+LEAST_SCORE = 0.2  # of the branch that the tree takes for the article
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title noscript iframe template xmp noembed noframes svg math".split())
@@ -182,25 +189,33 @@ def _hash(*parts) -> int:
     return xxhash.xxh64_intdigest("\x00".join(map(str, parts))) - (1 << 63)
 
 
-def style_nodes(root: Node) -> dict[int, tuple[bool, set[int]]]:
-    """path -> (is a leaf, hashes of its styles or of its texts) of one page; no-article branches are skipped."""
-    out: dict[int, tuple[bool, set[int]]] = {}
-    todo = [(root, _hash("html"))]
+def style_nodes(root: Node) -> dict[int, tuple[bool, set[int], int]]:
+    """path -> (is a leaf, hashes of its styles or of its texts, characters below it) of one page; no-article
+    branches are skipped."""
+    out: dict[int, tuple[bool, set[int], int]] = {}
+    order, todo = [], [(root, _hash("html"))]
     while todo:
         node, path = todo.pop()
         kids = [k for k in node.kids if isinstance(k, Node) and not k.noise]
         text = clean("".join(k for k in node.kids if isinstance(k, str)))
         if text or not kids:
             leaf = _hash(path, "#text")
-            out.setdefault(leaf, (True, set()))[1].add(_hash(text))
+            out.setdefault(leaf, (True, set(), 0))[1].add(_hash(text))
         if kids:
-            out.setdefault(path, (False, set()))[1].add(_hash(*dict.fromkeys(k.name for k in kids)))
+            out.setdefault(path, (False, set(), 0))[1].add(_hash(*(k.name for k in kids)))
             todo += [(k, _hash(path, k.name)) for k in kids]
+        order.append((node, path, kids, len(text)))
+    size: dict[int, int] = {}
+    for node, path, kids, n in reversed(order):
+        size[id(node)] = n + sum(size[id(k)] for k in kids)
+        if kids:
+            leaf, values, chars = out[path]
+            out[path] = (leaf, values, chars + size[id(node)])
     return out
 
 
-def main_blocks(root: Node, importance: dict[int, tuple[float, int]]) -> list[str]:
-    """The text blocks that stay. importance: path -> (own importance, number of styles)."""
+def main_blocks(root: Node, importance: dict[int, tuple[float, int, int]]) -> list[str]:
+    """The text blocks that stay. importance: path -> (own importance, number of styles, characters)."""
     memo: dict[int, float] = {}
 
     def branch(node: Node, path: int) -> float:
@@ -214,8 +229,8 @@ def main_blocks(root: Node, importance: dict[int, tuple[float, int]]) -> list[st
         for x, p, kids in reversed(order):
             below = [memo[id(k)] for k, _ in kids]
             if any(isinstance(k, str) and not k.isspace() for k in x.kids) or not kids:
-                below.append(importance.get(_hash(p, "#text"), (1.0, 1))[0])
-            own, styles = importance.get(p, (1.0, 1))
+                below.append(importance.get(_hash(p, "#text"), (1.0, 1, 0))[0])
+            own, styles, _ = importance.get(p, (1.0, 1, 0))
             mean = sum(below) / len(below)
             memo[id(x)] = (1 - GAMMA ** styles) * own + GAMMA ** styles * mean if kids else mean
         return memo[id(node)]
@@ -235,6 +250,48 @@ def main_blocks(root: Node, importance: dict[int, tuple[float, int]]) -> list[st
                 return found
         return []
 
+    def article(marked: list[tuple[Node, int]]) -> list[tuple[Node, int]]:
+        """The branches that the tree takes for the article, or the marked ones where it cannot tell."""
+        total = importance.get(top, (0.0, 1, 0))[2]
+        if not total:
+            return marked
+        score, found, at, up, todo = LEAST_SCORE, [], None, {}, [(root, top)]
+        while todo:
+            x, p = todo.pop()
+            if p != top and p in importance:
+                own, _, chars = importance[p]
+                if p == at:
+                    found.append((x, p))
+                elif own * chars / total > score:
+                    score, found, at = own * chars / total, [(x, p)], p
+            kids = [(k, _hash(p, k.name)) for k in reversed(x.kids) if isinstance(k, Node) and not k.noise]
+            up.update((id(k), (x, p)) for k, _ in kids)
+            todo += kids
+        if not found:
+            return marked
+
+        def around(x: Node) -> Iterator[int]:
+            while x is not root:
+                yield id(x)
+                x = up[id(x)][0]
+
+        if marked:
+            ids, chosen = {id(x) for x, _ in marked}, {id(x) for x, _ in found}
+            if any(i in ids for x, _ in found for i in around(x)):
+                return marked
+            # Characters that the marked branches hold; a path that the tree does not know may hold all.
+            held = sum(importance[p][2] if p in importance else total for p in {p for _, p in marked})
+            if all(id(x) in up and any(i in chosen for i in around(x)) for x, _ in marked):
+                return marked if 2 * held >= importance[at][2] else found
+            return found if score > held / total else marked
+        out = {}
+        for x, p in found:  # a heading beside the branch belongs to it
+            while x is not root and up[id(x)][0] is not root and any(
+                    isinstance(k, Node) and k.tag in HEADINGS for k in up[id(x)][0].kids):
+                x, p = up[id(x)]
+            out[id(x)] = (x, p)
+        return list(out.values())
+
     blocks: list[str] = []
     parts: list[str] = []
 
@@ -283,10 +340,10 @@ def main_blocks(root: Node, importance: dict[int, tuple[float, int]]) -> list[st
         flush()
 
     top = _hash("html")
-    marked = roots(root, top)
-    for x, p in marked or [(root, top)]:
-        take(x, p, bool(marked), True)
-    if not blocks and not marked:
+    main = article(roots(root, top))
+    for x, p in main or [(root, top)]:
+        take(x, p, bool(main), True)
+    if not blocks and not main:
         take(root, top, False, False)
     return blocks
 
@@ -296,7 +353,7 @@ def host_of(url) -> F.Column:
 
 
 def site_style_trees(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per host: paths, own importance and number of styles of the nodes on at least
+    """One row per host: paths, own importance, number of styles and characters of the nodes on at least
     ``LEAST_PAGES`` pages. Counts are combined per (node, style or text) before nodes are, so neither a hot
     host nor a hot node meets in one task."""
 
@@ -305,8 +362,8 @@ def site_style_trees(pages: DataFrame, url_col: str = "url", html_col: str = "ht
         for batch in batches:
             seen: Counter = Counter()
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for path, (leaf, values) in style_nodes(parse(page or "", known)).items():
-                    seen[host, path, 2, 0] += 1
+                for path, (leaf, values, chars) in style_nodes(parse(page or "", known)).items():
+                    seen[host, path, 2, chars] += 1
                     for v in values:
                         seen[host, path, int(leaf), v] += 1
             cols = list(zip(*seen, strict=True)) or [[], [], [], []]
@@ -320,7 +377,7 @@ def site_style_trees(pages: DataFrame, url_col: str = "url", html_col: str = "ht
     n, log = F.col("n"), F.log(F.col("n").cast("double"))
     kind = F.col("kind")
     nodes = counted.groupBy("host", "path").agg(
-        F.max(F.when(kind == 2, n)).alias("pages"), F.max(F.when(kind < 2, kind)).alias("leaf"),
+        F.sum(F.when(kind == 2, n)).alias("pages"), F.sum(F.when(kind == 2, n * F.col("value"))).alias("chars"), F.max(F.when(kind < 2, kind)).alias("leaf"),
         F.sum(F.when(kind == 0, n)).alias("uses"), F.sum(F.when(kind == 0, n * log)).alias("style_sum"),
         F.sum(F.when(kind == 0, 1)).alias("styles"),
         F.sum(F.when(kind == 1, n)).alias("texts"), F.sum(F.when(kind == 1, n * log)).alias("text_sum"))
@@ -329,7 +386,8 @@ def site_style_trees(pages: DataFrame, url_col: str = "url", html_col: str = "ht
     content = 1 - F.col("text_sum") / F.col("texts") / spread
     own = F.when(F.col("leaf") == 1, content).otherwise(shape)
     nodes = nodes.filter(F.col("pages") >= LEAST_PAGES).select(
-        "host", F.struct("path", own.cast("float").alias("own"), F.coalesce("styles", F.lit(1)).cast("int").alias("styles")).alias("node"))
+        "host", F.struct("path", own.cast("float").alias("own"), F.coalesce("styles", F.lit(1)).cast("int").alias("styles"),
+                         "chars").alias("node"))
     return nodes.groupBy("host").agg(F.collect_list("node").alias("nodes"))
 
 
@@ -353,7 +411,7 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", out:
                         tables.clear()
                     t = tree.values if tree.is_valid else None
                     tables[host] = {} if t is None else dict(zip(t.field("path").to_pylist(), zip(
-                        t.field("own").to_pylist(), t.field("styles").to_pylist(), strict=True), strict=True))
+                        t.field("own").to_pylist(), t.field("styles").to_pylist(), t.field("chars").to_pylist(), strict=True), strict=True))
                 out.append("\n\n".join(main_blocks(parse(page.as_py() or "", known), tables[host])))
             yield pa.array(out, pa.string())
 
