@@ -82,3 +82,24 @@ def test_marks_only_break_ties(spark):
         rows = [(i, f"http://h.example/{i}", page(i, wrap)) for i in range(30)]
         got = {r.page_id: r.text for r in html_main.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
         assert got[1] == ("t 1\n\n" if wrap else "") + "story 1 part 0 of a long text\n\nstory 1 part 1 of a long text"
+
+
+def test_copies_of_a_page_keep_their_text(spark):
+    """Hosts that consist mostly of copies: of a marked article in containers, and beside unmarked unique pages."""
+    kind = "page_id long, url string, html string"
+    copy = "<article><h1>t</h1><div><p>one</p><ul><li>two</li></ul></div></article>"
+    rows = [(i, "http://a.example/", copy + f"<script>track({i})</script>") for i in range(8)]
+    pages = "<div class=m><a>Home</a></div><div class=x><p>{0} text</p><p>more {0}</p></div>"
+    rows += [(i, "http://b.example/", pages.format("same" if i < 140 else f"story {i}")) for i in range(100, 160)]
+    # distinct pages whose articles repeat everything but the headline, so importance alone would leave no text
+    rows += [(i, "http://c.example/", f"<article><h1>t {i}</h1><div><p>one</p></div></article>") for i in range(200, 220)]
+    got = {r.page_id: r.text for r in html_main.extract(spark.createDataFrame(rows, kind)).collect()}
+    assert all(got[i] == "t\n\none\n\ntwo" for i in range(8))
+    assert all(got[i] == f"story {i} text\n\nmore story {i}" for i in range(140, 160)) and got[100] == "same text\n\nmore same"
+    assert all(got[i] == f"t {i}\n\none" for i in range(200, 220))
+
+
+def test_wrapping_forms():
+    assert text_of("<form id=aspnetForm><div><h1>t</h1><p>one</p></div></form>") == "t\n\none"
+    assert text_of("<article><h1>t</h1><form><p>one</p></form></article>") == "t\n\none"
+    assert text_of("<h1>t</h1><p>some longer running text</p><form><p>mail</p></form>") == "t\n\nsome longer running text"

@@ -19,11 +19,13 @@ scores less than the marked article could.
 Branches of low importance are removed from each page, as are branches whose presentation itself says that
 they are no article text (navigation, adverts, forms, reader comments, ...). Nodes on fewer than
 ``LEAST_PAGES`` pages of a host tell nothing and count as important. Inside the article only container branches
-can be of low importance, never running text: an article's repeated paragraph stays.
+can be of low importance, never running text: an article's repeated paragraph stays. Where an article or a page
+would keep no running text at all (headings aside), its text is taken without importance and through forms. A
+form that holds at least half of a page's text wraps the page and counts as a plain container.
 
 Blocks: character references are decoded, white space inside a block becomes one space, blocks are joined
 by an empty line. Defined cases: null or empty html gives an empty text; a null or odd url belongs to the
-host ""; repeated rows count as pages of their own; an empty table gives an empty result; broken html is
+host ""; pages of a host with the same branches and texts count once in its tree; an empty table gives an empty result; broken html is
 read as far as its tags go (unclosed elements end with their parent, an unclosed comment or script runs to
 the end)."""
 
@@ -31,7 +33,6 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -116,6 +117,7 @@ def parse(source: str, known: dict | None = None) -> Node:
     known = {} if known is None else known
     root = Node("html", "html", False)
     stack, at, n = [root], 0, len(source)
+    forms: list[Node] = []
     while at < n:
         m = _tag.search(source, at)
         if m is None:
@@ -176,9 +178,29 @@ def parse(source: str, known: dict | None = None) -> Node:
             stack.append(node)
         elif tag not in VOID and tag in BLOCK:  # a slash on a non-void element means nothing in HTML
             stack.append(node)
+        if tag == "form":
+            forms.append(node)
+    if forms:
+        size = _sizes(root)
+        for form in forms:
+            if 2 * size.get(id(form), 0) >= size[id(root)] > 0:
+                form.noise = False
     return root
 
 
+def _sizes(root: Node) -> dict[int, int]:
+    """Characters below each branch that may hold article text, forms included."""
+    order, todo = [], [root]
+    while todo:
+        x = todo.pop()
+        order.append(x)
+        todo += [k for k in x.kids if isinstance(k, Node) and (not k.noise or k.tag == "form")]
+    size: dict[int, int] = {}
+    for x in reversed(order):
+        size[id(x)] = sum(len(k.strip()) if isinstance(k, str) else size.get(id(k), 0) for k in x.kids)
+    return size
+
+
 def clean(text: str) -> str:
     return _space.sub(" ", entities.unescape(text)).strip()
 
@@ -294,14 +316,21 @@ def main_blocks(root: Node, importance: dict[int, tuple[float, int, int]]) -> li
 
     blocks: list[str] = []
     parts: list[str] = []
+    heading = running = False  # the open block is a heading; a block of running text was taken
 
     def flush():
+        nonlocal heading, running
         text = _space.sub(" ", "".join(parts)).strip()
         parts.clear()
         if text:
             blocks.append(text)
+            running = running or not heading
+        heading = False
 
     def take(node: Node, path: int, inside: bool, by_importance: bool):
+        """Whether running text was taken. Without importance, forms are taken too."""
+        nonlocal heading, running
+        running = False
         todo: list = [(node, path)]
         while todo:
             x = todo.pop()
@@ -313,7 +342,7 @@ def main_blocks(root: Node, importance: dict[int, tuple[float, int, int]]) -> li
                 continue
             x, p = x
             if x is not node:
-                if x.noise:
+                if x.noise and (by_importance or x.tag != "form"):
                     if x.tag in BLOCK:
                         flush()
                     continue
@@ -330,6 +359,7 @@ def main_blocks(root: Node, importance: dict[int, tuple[float, int, int]]) -> li
                 parts.append(" ")
             if x.tag in BLOCK:
                 flush()
+                heading = x.tag in HEADINGS
                 todo.append(None)
             elif x.tag in ("td", "th"):
                 todo.append(" ")
@@ -338,13 +368,15 @@ def main_blocks(root: Node, importance: dict[int, tuple[float, int, int]]) -> li
                 kids = [k for k in kids if isinstance(k, Node) and k.tag in HEADINGS | {"hgroup"}]
             todo += [k if isinstance(k, str) else (k, _hash(p, k.name)) for k in reversed(kids)]
         flush()
+        return running
 
     top = _hash("html")
     main = article(roots(root, top))
     for x, p in main or [(root, top)]:
-        take(x, p, bool(main), True)
-    if not blocks and not main:
-        take(root, top, False, False)
+        before = len(blocks)
+        if not take(x, p, bool(main), True):
+            del blocks[before:]
+            take(x, p, bool(main), False)
     return blocks
 
 
@@ -354,26 +386,32 @@ def host_of(url) -> F.Column:
 
 def site_style_trees(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per host: paths, own importance, number of styles and characters of the nodes on at least
-    ``LEAST_PAGES`` pages. Counts are combined per (node, style or text) before nodes are, so neither a hot
-    host nor a hot node meets in one task."""
+    ``LEAST_PAGES`` pages. Only distinct pages of a host count: rows are made distinct by the digest of their
+    page's nodes, then counts are combined per (node, style or text) before nodes are, so neither a hot host
+    nor a hot node nor a page with many copies meets in one task."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
         for batch in batches:
-            seen: Counter = Counter()
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for path, (leaf, values, chars) in style_nodes(parse(page or "", known)).items():
-                    seen[host, path, 2, chars] += 1
-                    for v in values:
-                        seen[host, path, int(leaf), v] += 1
-            cols = list(zip(*seen, strict=True)) or [[], [], [], []]
-            kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(cols, kinds, strict=True)),
-                                              pa.array(list(seen.values()), pa.int64())], names=["host", "path", "kind", "value", "n"])
+            seen: set = set()
+            out: list = []
+            for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                nodes = style_nodes(parse(source or "", known))
+                page = _hash(*(x for path, (_, values, chars) in sorted(nodes.items()) for x in (path, chars, *sorted(values))))
+                if (host, page) in seen:
+                    continue
+                seen.add((host, page))
+                for path, (leaf, values, chars) in nodes.items():
+                    out.append((host, page, path, 2, chars))
+                    out += [(host, page, path, int(leaf), v) for v in values]
+            cols = list(zip(*out, strict=True)) or [[], [], [], [], []]
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                                             names=["host", "page", "path", "kind", "value"])
 
     rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    counted = (rows.mapInArrow(count, "host string, path long, kind int, value long, n long")
-               .groupBy("host", "path", "kind", "value").agg(F.sum("n").alias("n")))
+    counted = (rows.mapInArrow(count, "host string, page long, path long, kind int, value long").distinct()
+               .groupBy("host", "path", "kind", "value").agg(F.count(F.lit(1)).alias("n")))
     n, log = F.col("n"), F.log(F.col("n").cast("double"))
     kind = F.col("kind")
     nodes = counted.groupBy("host", "path").agg(
