@@ -55,3 +55,17 @@ def test_public_api_exports():
     for name in ["exact_split", "sample_exact", "holdout", "mix_in", "pair_turns", "pad_batches", "score",
                  "score_stream", "read_cells", "read_jsonl", "write_splits", "make_dataset", "sft_dataset", "tokenise"]:
         assert callable(getattr(api, name)), name
+
+
+def test_queries_encode_the_reference_lengths(spark):
+    """corpus_encode and multihop_build reach the reference's lengths: text up to there, and its labels, is kept."""
+    rows = {r.row_key: r for r in q_sft.corpus_encode(spark, SF_SMALL).collect()}
+    assert all(len(r[c].split(",")) == 1024 for r in rows.values() for c in ("input_ids", "attention_mask", "labels"))
+    docs = q_sft.T.corpus(spark, SF_SMALL).withColumn("row_key", F.concat_ws(":", "source", "row_key")).collect()
+    for r in docs:
+        text = r.text if r.input is None and r.output is None else (r.input or "") + (r.output or "")
+        assert rows[r.row_key].attention_mask.split(",").count("1") == min(len(text), 1024)
+    assert any(len(r.text or "") > 128 for r in docs)
+    hops = q_sft.multihop_build(spark, SF_SMALL).collect()
+    assert all(len(r[c].split(",")) == 2048 for r in hops for c in ("input_ids", "attention_mask", "labels"))
+    assert any(r.attention_mask.split(",").count("1") > 256 for r in hops)

@@ -11,12 +11,11 @@ from ..operators import batches, split
 from ..sources import tables as T
 from .q_dialogue import labels_base, pairs
 from .q_prompts import EXTRACTIVE_SQL, MULTIHOP_SQL, PRE, multihop, slot_sql
-from .q_tokens import cp_sql, txt
+from .q_tokens import LONG_LEN, MAX_LEN, cp_sql, txt
 from .registry import query
 from .sql_common import CORPUS_CTE, PAIRS_CTE, hash_sql
 
 SEED = 42
-MAX_LEN = 1024
 EOS = 2
 PUBLIC_CAP = 100
 OWN_CAP = 50
@@ -106,7 +105,7 @@ def sft_build(spark, d):
                     "n_supervised", "split")
 
 
-HOP_TRAIN, HOP_TOTAL, HOP_LEN = 60, 100, 256
+HOP_TRAIN, HOP_TOTAL, HOP_LEN = 60, 100, LONG_LEN
 
 
 @query("multihop_build", f"""
@@ -129,7 +128,7 @@ def multihop_build(spark, d):
                       K.ids_text("attention_mask").alias("attention_mask"), K.ids_text("labels").alias("labels"))
 
 
-ENCODE_LEN = 128
+ENCODE_LEN = MAX_LEN
 
 
 @query("corpus_encode", f"""
