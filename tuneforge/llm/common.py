@@ -32,6 +32,11 @@ def hash_bucket(cols: Sequence[Column], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int")
 
 
+def id_key(c: Column) -> Column:
+    """An id as a text that is never null, so that null ids join and group like any other."""
+    return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("null"))
+
+
 def with_running_start(rows: DataFrame, group: Sequence[str], order: Sequence[str], value: str, out: str,
                        buckets: int = 1024) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all earlier rows of the row's group, where a group is
