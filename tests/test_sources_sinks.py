@@ -168,6 +168,91 @@ def test_csv_sheets(spark, tmp_dir):
     assert got == [(2, 'q, "1"\nmore', "a1"), (3, None, "a2")]
 
 
+def test_csv_sheets_split_and_whole(spark, tmp_dir):
+    """Files over many blocks and files with quoted line breaks give what Python's csv module gives."""
+    import csv
+    import random
+
+    rng = random.Random(2)
+    files = {"plain": [[rng.choice(["", "a", "b c", " lead", "trail ", 'say "x"', "ü,y", "null", "#c", "\\n"]) for _ in range(rng.randint(1, 6))] for _ in range(400)],
+             "long": [["h1", "h2"], ["x" * 200_000, "y"], ["z", "w" * 150_000]],
+             "breaks": [["a", "line\nbreak", "c"], ["", "\n\n", 'q"\n']] * 20, "one": [["only"]]}
+    for name, rows in files.items():
+        with open(os.path.join(tmp_dir, f"{name}.csv"), "w", encoding="utf-8", newline="") as f:
+            f.write("\ufeff" if name == "plain" else "")
+            csv.writer(f, lineterminator="\n").writerows(rows)
+    with open(os.path.join(tmp_dir, "bytes.csv"), "wb") as f:
+        f.write(b"a,\xff\xfe\n\nlast,1\n")
+    open(os.path.join(tmp_dir, "empty.csv"), "w").close()
+    want = {(n, r, c): v for n, rows in files.items() for r, row in enumerate(rows, 1) for c, v in enumerate(row, 1) if v}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        got = {(os.path.basename(r.file)[:-4], r.row, r.col): r.value for r in C.cells_from_csv_sheets(spark, tmp_dir).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    odd = {k: got.pop(k) for k in list(got) if k[0] == "bytes"}
+    assert got == want
+    assert odd[("bytes", 3, 1)] == "last" and odd[("bytes", 1, 1)] == "a" and ("bytes", 2, 1) not in odd
+
+
+def test_line_numbers_over_blocks(spark, tmp_dir):
+    """True line numbers of valid and invalid lines, blank ones counted, whatever the blocks and the way to look them up."""
+    from tuneforge.sources import lines as L
+
+    want = {}
+    for name, n in (("a", 900), ("b", 1), ("c", 77)):
+        rows = [("", " ", '{"text": "same"}', "{bad", '{"text": "long ' + "x" * 300 + '"}')[(i * 7 + i // 5) % 5] for i in range(n)]
+        _write(os.path.join(tmp_dir, f"{name}.jsonl"), rows)
+        want |= {(f"{name}.jsonl", i): r.strip() for i, r in enumerate(rows, 1) if r.strip()}
+    bound = L.BROADCAST_BLOCKS
+    for size, blocks in (("134217728", bound), ("700", bound), ("700", 0)):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        L.BROADCAST_BLOCKS = blocks
+        try:
+            rec, bad = jsonl.read_jsonl(spark, tmp_dir)
+            got = {(os.path.basename(r.file), r.line_no): r.line for r in rec.select("file", "line_no", "line").union(bad.select("file", "line_no", "line")).collect()}
+            assert got == want
+            assert {r.line for r in bad.collect()} == {"{bad"}
+            assert rec.select("row_key").distinct().count() == rec.count()
+        finally:
+            L.BROADCAST_BLOCKS = bound
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_split_rejects(spark, tmp_dir):
+    _write(os.path.join(tmp_dir, "train.jsonl"), ['{"input": "a"}', "", "{x", "y}"])
+    _write(os.path.join(tmp_dir, "valid.jsonl"), ['{"text": "t"}'])
+    kept, bad = jsonl.read_split_jsonl(spark, tmp_dir, with_rejects=True)
+    assert {r.split for r in kept.collect()} == {"train", "validation"}
+    assert [(r.split, r.line_no, r.line) for r in bad.orderBy("line_no").collect()] == [("train", 3, "{x"), ("train", 4, "y}")]
+
+
+def test_workbook_parts_apart(spark, tmp_dir):
+    """Sheets are parsed apart; a bad checksum, a missing string or a missing part rejects the file whole."""
+    _xlsx(os.path.join(tmp_dir, "good.xlsx"))
+    with open(os.path.join(tmp_dir, "good.xlsx"), "rb") as f:
+        data = f.read()
+    at = data.index(b"<t>q2</t>")
+    with open(os.path.join(tmp_dir, "flipped.xlsx"), "wb") as f:
+        f.write(data[:at] + b"<t>qX</t>" + data[at + 9:])
+    with zipfile.ZipFile(os.path.join(tmp_dir, "good.xlsx")) as z, zipfile.ZipFile(os.path.join(tmp_dir, "nostrings.xlsx"), "w") as out:
+        for n in z.namelist():
+            if "shared" not in n:
+                out.writestr(n, z.read(n), zipfile.ZIP_DEFLATED)
+    with zipfile.ZipFile(os.path.join(tmp_dir, "good.xlsx")) as z, zipfile.ZipFile(os.path.join(tmp_dir, "packed.xlsx"), "w") as out:
+        for n in z.namelist():
+            out.writestr(n, z.read(n), zipfile.ZIP_DEFLATED)
+    with open(os.path.join(tmp_dir, "empty.xlsx"), "wb") as f:
+        f.write(b"P")
+    cells, rejects = C.read_workbooks(spark, tmp_dir)
+    by = {}
+    for r in cells.collect():
+        by.setdefault(os.path.basename(r.file), set()).add((r.sheet, r.sheet_pos, r.row, r.col, r.value))
+    assert set(by) == {"good.xlsx", "packed.xlsx"} and by["good.xlsx"] == by["packed.xlsx"] and len(by["good.xlsx"]) == 14
+    assert {os.path.basename(r.file): r.reason for r in rejects.collect()} == {
+        "flipped.xlsx": "unreadable workbook: BadZipFile", "nostrings.xlsx": "unreadable workbook: IndexError", "empty.xlsx": "unreadable workbook: BadZipFile"}
+
+
 def test_read_workbook_first_blank_stop(spark, tmp_dir):
     _xlsx(os.path.join(tmp_dir, "book.xlsx"))
     with open(os.path.join(tmp_dir, "old.xls"), "wb") as f:

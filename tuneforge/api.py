@@ -12,7 +12,7 @@ from .functions.tokens import (append_eos, codepoint_ids, encode_fixed, encode_s
 from .operators.batches import pad_batches
 from .operators.dialogue import first_utterance, pair_turns, renumber_after_leading
 from .operators.mix import exclude_sampled, mix_in
-from .operators.recipes import apply_recipes, recipe_grid, recipe_list
+from .operators.recipes import apply_recipes, each_recipe, recipe_cut, recipe_grid, recipe_list, recipe_sizes, recipe_thresholds
 from .operators.records import (as_records, concat, dispatch_kind, drop_if_present, fill_missing, keep_only,
                                 merge_sources)
 from .operators.reports import count_report, observed_count, size_of, split_report
@@ -24,9 +24,10 @@ from .operators.split import (bounded_head, exact_split, holdout, positional_spl
 from .session import ensure_checkpoint_dir, local_session, materialize
 from .sinks.writers import (append_results, build_if_absent, dataset_path, latest_by, latest_snapshot, next_run_path,
                             run_path, write_jsonl, write_run, write_splits)
-from .sources.cells import cells_from_csv, cells_from_csv_sheets, read_cells, workbook_rejects
+from .sources.cells import cells_from_csv, cells_from_csv_sheets, read_cells, read_workbooks, workbook_cells, workbook_rejects
 from .sources.jsonl import (drop_blank_lines, extract_records, filter_valid_json, line_keys, read_dialogues, read_jsonl,
                             read_public_qa, read_split_jsonl)
+from .sources.lines import number_lines, scan_lines
 from .streaming.score_stream import score_stream
 
 __all__ = [n for n in dir() if not n.startswith("_")]

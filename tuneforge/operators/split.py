@@ -228,19 +228,30 @@ def take_capped(df: DataFrame, key: str, k, seed=42, salt: str = "cap", by: Sequ
     return sample_exact(df, key, k, seed, salt, by)
 
 
-def bounded_head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """The first n rows in an explicit order (a stream's head, materialised), for any n.
+HEAD_ROWS = 10_000  # a head or a rest of this many rows is sorted whole
+HEAD_BINS = 4096
 
-    Spark plans a small n as TakeOrderedAndProject (per-partition top-n, merged), a large one as a
-    range-partitioned sort whose first n rows pass through a limit. A head that need not follow a given order is cheaper as
-    ``take_capped``, which never gathers rows."""
-    return df.orderBy(*order).limit(int(n))
+
+def bounded_head(df: DataFrame, n: int, order: Sequence[str], rows: int = HEAD_ROWS) -> DataFrame:
+    """The first n rows in an explicit order (a stream's head, materialised), for any n; as a set of rows.
+
+    Up to ``rows`` rows Spark takes a top-n per partition and merges them. A larger head is found by
+    selection, and no task holds more than its partition's share: the n-th row's place in the order is narrowed by
+    histograms of the order columns (``nth_row``), then one narrow pass keeps the rows up to it. ``order`` must
+    tell rows apart at the cut: add a row key to it."""
+    n = int(n)
+    if n <= rows:
+        return df.orderBy(*order).limit(n)
+    from .select_nth import nth_row, up_to
+
+    last = nth_row(df, n, order, rows)
+    return df if last is None else df.where(up_to(df, order, last))
 
 
 def positional_split(df: DataFrame, key: str, n_train: int, n_total: int, order: Sequence[str], seed=42,
-                     salt: str = "positional", out: str = "split") -> DataFrame:
-    """T5: cap to n_total (head in ``order``), shuffle once, first n_train -> train, rest -> valid."""
-    head = bounded_head(df, n_total, order)
+                     salt: str = "positional", out: str = "split", rows: int = HEAD_ROWS) -> DataFrame:
+    """T5: cap to n_total (head in ``order``, ties by key), shuffle once, first n_train -> train, rest -> valid."""
+    head = bounded_head(df, n_total, [*order, key] if key not in order else order, rows)
     r = first_k(head, key, absolute(n_train), seed, salt, (), out="_tf_first")
     return r.withColumn(out, F.when(F.col("_tf_first"), F.lit("train")).otherwise(F.lit("valid"))).drop("_tf_first")
 

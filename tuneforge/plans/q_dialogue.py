@@ -181,7 +181,35 @@ SELECT CAST(recipe_id AS BIGINT) AS recipe_id, CAST(seed AS BIGINT) AS seed, tra
        CASE WHEN rn <= floor(n * train_ratio) THEN 'train' ELSE 'valid' END AS split
 FROM y""")
 def recipe_sweep(spark, d):
-    rows = recipes.apply_recipes(T.corpus(spark, d), RECIPES)
-    out = split.exact_split(rows, "row_key", "train_ratio", "seed", by=["recipe_id", "seed", "train_ratio", "source"])
+    """J4 x T2: all recipes cut in one pass, then listed row by row."""
+    rows = T.corpus(spark, d).select("source", "row_key")
+    out = recipes.each_recipe(recipes.recipe_cut(rows, "row_key", RECIPES), RECIPES)
     return out.select(F.col("recipe_id").cast("long").alias("recipe_id"), F.col("seed").cast("long").alias("seed"),
                       "train_ratio", "source", "row_key", "split")
+
+
+WIDE = recipes.recipe_list(seed=list(range(20)), train_ratio=[i / 10 for i in range(11)])
+
+
+@query("recipe_labels", f"""
+WITH {CORPUS_CTE},
+x AS (SELECT r.seed, c.source, c.row_key, md5(concat_ws(':', CAST(r.seed AS VARCHAR), 'split', c.row_key)) AS h
+      FROM corpus c CROSS JOIN (SELECT unnest(range(20)) AS seed) r),
+y AS (SELECT *, count(*) OVER w AS n, row_number() OVER (w ORDER BY h, row_key) AS rn FROM x WINDOW w AS (PARTITION BY seed, source))
+SELECT source, row_key, string_agg(list_aggregate(list_transform(range(11), lambda i: CASE WHEN rn <= floor(n * (CAST(i AS DOUBLE) / 10)) THEN '1' ELSE '0' END),
+                                   'string_agg', ''), '' ORDER BY seed) AS labels
+FROM y GROUP BY source, row_key""")
+def recipe_labels(spark, d):
+    """220 recipes (20 seeds, 11 ratios) as one string of labels per row."""
+    rows = T.corpus(spark, d).select("source", "row_key")
+    labels = F.array_join(F.transform("in_train", lambda x: F.when(x, F.lit("1")).otherwise(F.lit("0"))), "")
+    return recipes.recipe_cut(rows, "row_key", WIDE).select("source", "row_key", labels.alias("labels"))
+
+
+@query("recipe_sizes", f"""
+WITH {CORPUS_CTE}, n AS (SELECT source, count(*) AS n FROM corpus GROUP BY source),
+r AS (SELECT 11 * s + i + 1 AS recipe_id, CAST(i AS DOUBLE) / 10 AS ratio FROM (SELECT unnest(range(20)) AS s), (SELECT unnest(range(11)) AS i))
+SELECT source, recipe_id, CAST(floor(n * ratio) AS BIGINT) AS n_train, CAST(n - floor(n * ratio) AS BIGINT) AS n_valid FROM n, r""")
+def recipe_sizes(spark, d):
+    rows = T.corpus(spark, d).select("source", "row_key")
+    return recipes.recipe_sizes(recipes.recipe_thresholds(rows, "row_key", WIDE), WIDE)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import STRIP_PATTERN
+from ..session import scratch_path
 from ..sinks.writers import latest_by
 from ..sources import jsonl
 from ..sources import tables as T
@@ -68,6 +69,46 @@ def json_rejects(spark, d):
     return rejects.select("line_hash", "n_lines")
 
 
+LINE_FILES = 8
+
+NUMBERED_SQL = LINES_SQL.replace("SELECT event_id, regexp_replace", "SELECT *, regexp_replace").replace(
+    "SELECT event_id,\n         CASE", f"""SELECT event_id, event_id % {LINE_FILES} AS file_no,
+         row_number() OVER (PARTITION BY event_id % {LINE_FILES} ORDER BY event_id) AS line_no,
+         CASE""").replace("AS line FROM raw", "AS stripped FROM raw")
+
+
+def damaged_files(spark, d, root: str, name: str) -> None:
+    """The damaged lines dealt to LINE_FILES text files, each in event order, one file a folder ``name=<number>``."""
+    ev = damaged_lines(spark, d).select((F.col("event_id") % LINE_FILES).alias(name), "event_id", "line")
+    ev.repartition(name).sortWithinPartitions(name, "event_id").select(name, F.col("line").alias("value")).write.partitionBy(name).text(root)
+
+
+@query("json_line_numbers", f"""
+WITH {NUMBERED_SQL}
+SELECT CAST(file_no AS BIGINT) AS file_no, line_no, stripped AS line FROM lines WHERE NOT json_valid(stripped)""")
+def json_line_numbers(spark, d):
+    """Every invalid line with its number in its file (blank lines count)."""
+    root = scratch_path(spark, "damaged")
+    damaged_files(spark, d, root, "file_no")
+    _, rejects = jsonl.read_jsonl(spark, root)
+    return rejects.select(F.regexp_extract("file", r"file_no=(\d+)", 1).cast("long").alias("file_no"), "line_no", "line")
+
+
+@query("split_rejects", f"""
+WITH {NUMBERED_SQL}
+SELECT CASE WHEN file_no % 2 = 0 THEN 'train' ELSE 'validation' END AS split, json_valid(stripped) AS ok, count(*) AS n_lines,
+       CAST(sum(CASE WHEN json_valid(stripped) THEN 0 ELSE line_no END) AS BIGINT) AS line_sum
+FROM lines GROUP BY 1, 2""")
+def split_rejects(spark, d):
+    """Two splits read back with their rejects: records and invalid lines of each, and the sum of the latter's numbers."""
+    root = scratch_path(spark, "damaged-splits")
+    damaged_files(spark, d, root, "part")
+    kept, rejects = jsonl.read_split_jsonl(spark, root, {"train": "part=*[02468]", "validation": "part=*[13579]"}, with_rejects=True)
+    both = kept.select("split", F.lit(True).alias("ok"), F.lit(0).alias("line_no")).unionByName(
+        rejects.select("split", F.lit(False).alias("ok"), "line_no"))
+    return both.groupBy("split", "ok").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("line_no").cast("long").alias("line_sum"))
+
+
 @query("latest_snapshot", """
 WITH names AS (
   SELECT user_id, strftime(ts, '%Y%m%d') AS name FROM events

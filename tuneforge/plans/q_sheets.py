@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from ..functions import prompts as P
 from ..operators import records, sheets
+from ..session import materialize, scratch_path
 from ..sources import tables as T
+from ..sources.cells import workbook_cells
 from .q_prompts import PRE, slot_sql
 from .registry import query
 
@@ -264,3 +266,111 @@ def dataset_build(spark, d):
     pool = pairs(spark, d).select("row_key", "input", "output")
     out, _rejects = make_dataset(cells, cells, pool, train_ratio=0.8, seed=42, mix_ratio=0.3, header_row=HEADER_ROW)
     return out.select("split", "origin", "source", "row_key", "input", "output", "text")
+
+
+_SHEETS_NS = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+_RELS_NS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+_PACKAGE_NS = "http://schemas.openxmlformats.org/package/2006/relationships"
+
+
+def workbook_of(cells):
+    """One file's cells as the bytes of a workbook: odd columns as shared strings, even ones inline."""
+    import io
+    import zipfile
+    from xml.sax.saxutils import escape, quoteattr
+
+    strings, sheets = {}, []
+    for (pos, name), rows in cells.sort_values(["sheet_pos", "row", "col"]).groupby(["sheet_pos", "sheet"]):
+        out = []
+        for row, group in rows.groupby("row"):
+            out.append(f'<row r="{row}">')
+            for col, value in zip(group["col"], group["value"]):
+                at = f"{chr(64 + col)}{row}"
+                if col % 2:
+                    out.append(f'<c r="{at}" t="s"><v>{strings.setdefault(value, len(strings))}</v></c>')
+                else:
+                    out.append(f'<c r="{at}" t="inlineStr"><is><t>{escape(value)}</t></is></c>')
+            out.append("</row>")
+        sheets.append((name, "".join(out)))
+    file = io.BytesIO()
+    with zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as z:
+        names = "".join(f'<sheet name={quoteattr(n)} sheetId="{i}" r:id="r{i}"/>' for i, (n, _) in enumerate(sheets, 1))
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{_SHEETS_NS}" xmlns:r="{_RELS_NS}"><sheets>{names}</sheets></workbook>')
+        links = "".join(f'<Relationship Id="r{i}" Target="worksheets/s{i}.xml"/>' for i in range(1, len(sheets) + 1))
+        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{_PACKAGE_NS}">{links}</Relationships>')
+        z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{_SHEETS_NS}">' + "".join(f"<si><t>{escape(x)}</t></si>" for x in strings) + "</sst>")
+        for i, (_, xml) in enumerate(sheets, 1):
+            z.writestr(f"xl/worksheets/s{i}.xml", f'<worksheet xmlns="{_SHEETS_NS}"><sheetData>{xml}</sheetData></worksheet>')
+    return file.getvalue()
+
+
+def workbooks(spark, d):
+    """The workbooks of ``qa_cells`` as files (path, content): at most BOOK_SIZE parts each. Written."""
+    import pandas as pd
+
+    def pack(cells):
+        return pd.DataFrame({"path": [cells["file"].iloc[0]], "content": [workbook_of(cells)]})
+
+    names = F.dense_rank().over(Window.partitionBy("file").orderBy("sheet")) - 1  # a workbook's few sheets
+    cells = qa_cells(spark, d).withColumn("sheet_pos", names)
+    return materialize(cells.groupBy("file").applyInPandas(pack, "path STRING, content BINARY"))
+
+
+@query("read_workbook", f"""
+WITH {CELLS_SQL}
+SELECT file, sheet, CAST(dense_rank() OVER (PARTITION BY file ORDER BY sheet) - 1 AS INTEGER) AS sheet_pos, row, col, value
+FROM cells WHERE value IS NOT NULL""")
+def read_workbook(spark, d):
+    """All parts as workbooks, read back sheet by sheet."""
+    cells, _rejects = workbook_cells(workbooks(spark, d))
+    return cells
+
+
+@query("workbook_rejects", f"""
+WITH {CELLS_SQL},
+book AS (SELECT DISTINCT file, CAST(substr(file, 6) AS BIGINT) % 3 AS kind FROM cells)
+SELECT file, CASE kind WHEN 0 THEN 'rejected' ELSE 'read' END AS status,
+       CAST(CASE kind WHEN 0 THEN 0 ELSE (SELECT count(*) FROM cells c WHERE c.file = book.file AND value IS NOT NULL) END AS BIGINT) AS n_cells
+FROM book""")
+def workbook_rejects(spark, d):
+    """Of the same workbooks every third is damaged (its last third cut off, or one sheet's bytes changed): it is
+    rejected whole, the others are read whole."""
+    files = workbooks(spark, d)
+    number = F.substring("path", 6, 20).cast("long")
+    size = F.octet_length("content")
+    cut = F.substring("content", F.lit(1), (size * 2 / 3).cast("int"))
+    changed = F.concat(F.substring("content", F.lit(1), size - F.floor(size / 2).cast("int")), F.unhex(F.lit("00FF00FF")),
+                       F.substring("content", size - F.floor(size / 2).cast("int") + 5, size))
+    damaged = F.when(number % 6 == 0, cut).when(number % 3 == 0, changed).otherwise(F.col("content"))
+    cells, rejects = workbook_cells(files.withColumn("content", damaged))
+    counts = cells.groupBy("file").agg(F.count(F.lit(1)).alias("n_cells")).withColumn("status", F.lit("read"))
+    return counts.unionByName(rejects.select("file", F.lit(0).cast("long").alias("n_cells"), F.lit("rejected").alias("status")))
+
+
+CSV_FILES = 8
+
+
+@query("csv_sheets", f"""
+WITH numbered AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY p_partkey % {CSV_FILES} ORDER BY p_partkey) AS INTEGER) AS row FROM part)
+SELECT CAST(p_partkey % {CSV_FILES} AS BIGINT) AS file_no, row, c.col AS col, c.value AS value
+FROM numbered, LATERAL (SELECT unnest([{{'col': 1, 'value': CAST(p_partkey AS VARCHAR)}},
+  {{'col': 2, 'value': CASE WHEN p_size % 5 = 0 THEN p_name || ', "' || p_brand || '"' ELSE p_name END}},
+  {{'col': 3, 'value': CASE WHEN p_partkey % {CSV_FILES} = 1 THEN p_type || chr(10) || 'more' ELSE p_type END}},
+  {{'col': 4, 'value': CASE WHEN p_size > 25 THEN p_brand END}}])) AS t(c)
+WHERE c.value IS NOT NULL""")
+def csv_sheets(spark, d):
+    """Parts as CSV files, with quoted commas and quotes, missing cells, and in one file quoted line breaks."""
+    from ..sources.cells import cells_from_csv_sheets
+
+    root = scratch_path(spark, "csv-sheets")
+    part, no = T.read_table(spark, d, "part"), F.col("p_partkey") % CSV_FILES
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    name = F.when(F.col("p_size") % 5 == 0, quoted(F.concat("p_name", F.lit(', "'), "p_brand", F.lit('"')))).otherwise(F.col("p_name"))
+    kind = F.when(no == 1, quoted(F.concat("p_type", F.lit("\nmore")))).otherwise(F.col("p_type"))
+    line = F.concat(F.col("p_partkey").cast("string"), F.lit(","), name, F.lit(","), kind, F.lit(","), F.when(F.col("p_size") > 25, F.col("p_brand")).otherwise(F.lit("")))
+    lines = part.select(no.alias("file_no"), "p_partkey", line.alias("value")).repartition("file_no").sortWithinPartitions("file_no", "p_partkey")
+    # Spark's text writer, so that the fields stay as they are quoted here; .csv names are what the reader looks for.
+    lines.select("file_no", "value").write.option("compression", "none").partitionBy("file_no").text(root)
+    cells = cells_from_csv_sheets(spark, root, recursive=True, suffix="txt")
+    return cells.select(F.regexp_extract("file", r"file_no=(\d+)", 1).cast("long").alias("file_no"), "row", "col", "value")

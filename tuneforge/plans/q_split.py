@@ -100,6 +100,29 @@ def bounded_head(spark, d):
     return split.bounded_head(T.read_table(spark, d, "documents").select("doc_id", "source"), 120, ["doc_id"])
 
 
+LINE_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber")
+
+
+@query("head_half", f"""
+SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY {", ".join(LINE_ORDER)} LIMIT (SELECT count(*) // 2 FROM lineitem)""")
+def head_half(spark, d):
+    """S7 at any size: the earlier half of a table, by selection."""
+    lines = T.read_table(spark, d, "lineitem").select(*LINE_ORDER)
+    return split.bounded_head(lines, lines.count() // 2, LINE_ORDER, rows=64).select("l_orderkey", "l_linenumber")
+
+
+@query("positional_half", f"""
+WITH n AS (SELECT count(*) AS n FROM documents),
+head AS (SELECT doc_id FROM documents ORDER BY source, doc_id LIMIT (SELECT n // 2 FROM n)),
+h AS (SELECT doc_id, row_number() OVER (ORDER BY {hash_sql('doc_id', SEED, 'positional')}, CAST(doc_id AS VARCHAR)) AS rn FROM head)
+SELECT doc_id, CASE WHEN rn <= n // 4 THEN 'train' ELSE 'valid' END AS split FROM h, n""")
+def positional_half(spark, d):
+    """T5 at any size: half of the documents in order of their source, a quarter of all to train."""
+    docs = T.read_table(spark, d, "documents").select("doc_id", "source")
+    n = docs.count()
+    return split.positional_split(docs, "doc_id", n // 4, n // 2, ["source"], SEED, rows=64).select("doc_id", "split")
+
+
 @query("positional_split", f"""
 WITH head AS (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 120),
 h AS (SELECT doc_id, row_number() OVER (ORDER BY {hash_sql('doc_id', SEED, 'positional')},

@@ -11,6 +11,7 @@ from ..functions.json_valid import json_valid
 from ..functions.text import py_strip
 from ..operators.records import concat
 from ..session import materialize
+from .lines import number_lines, scan_lines
 
 LINE_SALTS = 64
 RECORD_SCHEMA = "input STRING, output STRING, text STRING"
@@ -95,27 +96,49 @@ def extract_records(df: DataFrame, raw: str = "line") -> DataFrame:
 
 def read_jsonl(spark: SparkSession, paths: str | Sequence[str], source: str | None = None,
                with_keys: bool = True) -> tuple[DataFrame, DataFrame]:
-    """S3 end to end: lines -> strip/drop blank -> keys -> validity -> records; returns
-    (records, rejects). ``source`` defaults to the file name. Keys are assigned before the
-    validity check so the Python check runs once per line (equal lines are all valid or all
-    invalid, so their ordinals are the same either way)."""
-    lines = drop_blank_lines(read_lines(spark, paths))
-    if with_keys:
-        lines = line_keys(lines)
-    valid, rejects = filter_valid_json(lines)
-    rec = extract_records(valid)
-    src = F.lit(source) if source else F.element_at(F.split(F.col("file"), "/"), -1)
-    return rec.withColumn("source", src), rejects
-
-
-def read_split_jsonl(spark: SparkSession, root: str, names: Mapping[str, str] | None = None) -> DataFrame:
-    """Named files -> named splits (train.jsonl -> train, valid.jsonl -> validation)."""
+    """S3 end to end: lines -> strip -> validity -> records; returns (records, rejects).
+
+    ``source`` defaults to the file name. ``rejects`` has a row per invalid line: file, line_no (its true
+    number in the file, blank lines counted), line, line_hash, n_lines (1). ``with_keys`` adds line_no and
+    row_key (``file:line_no``, unique over all files) to the records. The files are scanned and checked
+    once: the checked lines are written, and numbers are looked up by block (``lines.number_lines``)."""
+    held = _checked_lines(spark, paths)
+    numbered = number_lines(held)
+    good = numbered.withColumn("row_key", F.concat_ws(":", "file", "line_no")) if with_keys else held.drop("block", "at")
+    return _records(good, source), _rejects(numbered)
+
+
+def _checked_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """All lines, stripped, with their block and validity. Written."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if not any(ch in p for p in paths for ch in "*?["):
+        paths = existing(spark, paths)
+    lines = scan_lines(spark, paths).withColumn("line", py_strip("line"))
+    return materialize(lines.withColumn("_tf_valid", json_valid("line")))
+
+
+def _records(lines: DataFrame, source: str | None) -> DataFrame:
+    rec = extract_records(lines.where((F.length("line") > 0) & F.col("_tf_valid")).drop("_tf_valid"))
+    return rec.withColumn("source", F.lit(source) if source else F.element_at(F.split(F.col("file"), "/"), -1))
+
+
+def _rejects(numbered: DataFrame) -> DataFrame:
+    bad = numbered.where((F.length("line") > 0) & ~F.col("_tf_valid"))
+    return bad.select("file", "line_no", "line", F.sha2("line", 256).alias("line_hash"), F.lit(1).alias("n_lines"))
+
+
+def read_split_jsonl(spark: SparkSession, root: str, names: Mapping[str, str] | None = None,
+                     with_rejects: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
+    """Named files -> named splits (train.jsonl -> train, valid.jsonl -> validation). ``with_rejects`` also
+    returns the invalid lines of all splits (split, file, line_no, line, line_hash, n_lines)."""
     names = names or {"train": "train.jsonl", "validation": "valid.jsonl"}
-    parts = []
+    parts, bad = [], []
     for split_name, fname in names.items():
-        rec, _ = read_jsonl(spark, f"{root.rstrip('/')}/{fname}", source=split_name, with_keys=False)
-        parts.append(rec.withColumn("split", F.lit(split_name)))
-    return concat(*parts)
+        held = _checked_lines(spark, f"{root.rstrip('/')}/{fname}")
+        parts.append(_records(held.drop("block", "at"), split_name).withColumn("split", F.lit(split_name)))
+        if with_rejects:
+            bad.append(_rejects(number_lines(held)).withColumn("split", F.lit(split_name)))
+    return (concat(*parts), concat(*bad)) if with_rejects else concat(*parts)
 
 
 def read_dialogues(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
