@@ -72,3 +72,27 @@ def test_op8_whole_texts(spark):
         start += len(ids)
     got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.QUERIES["op8_token_store"](spark, SF_SMALL).collect()}
     assert got == want
+
+
+def test_op8_words_like_library():
+    """Random words of letters with marks, capitals, stops and other scripts, as the library encodes them."""
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tuneforge.llm import token_store
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    rng = random.Random(4)
+    letters = "abcXYZ İıſßẞÉéǅŉΐ日本кИΣς́̇.,.,-'1٣ \n\t"
+    texts = ["日İ.", "İ.", "İ, x", "日 İİ.", "Σ. ΑΣ, ς."] + ["".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(200_000)]
+    load = token_store.word_encoder(path)
+    known: dict = {}
+    words = [token_store.lower_split(t)[0] for t in texts]
+    load(list(dict.fromkeys(w for ws in words for w in ws)), known)
+    for at in range(0, len(texts), 20_000):
+        want = library.encode_batch_fast(texts[at:at + 20_000], add_special_tokens=False)
+        for t, ws, e in zip(texts[at:], words[at:], want):
+            assert [int(x) for w in ws for x in known[w]] == e.ids, t

@@ -58,24 +58,30 @@ def _tokenizer(path: str):
     return worker_cache(("tokenizer", path), make)
 
 
+def word_encoder(tokenizer_path: str):
+    """Adds the ids of new words to a dictionary of known ones."""
+    t = _tokenizer(tokenizer_path)
+
+    def run(words: list[str], known: dict) -> None:
+        # Only where the lower-cased word is cut too: a letter may lower to one with a mark, which stays with the stop.
+        cut = [(m.group(1), m.group(2)) if (m := _stop.match(w)) and _stop.match(w.lower()) else (w,) for w in words]
+        parts = [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in known]
+        for p, e in zip(parts, t.encode_batch_fast(parts, add_special_tokens=False), strict=True):
+            known[p] = np.array(e.ids, np.uint32)
+        for w, c in zip(words, cut, strict=True):
+            if len(c) == 2:
+                known[w] = np.concatenate([known[c[0]], known[c[1]]])
+
+    return run
+
+
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", finish=None,
            block_chars: int = wordcode.BLOCK_CHARS) -> DataFrame:
     """(id, n_ids, ids) by a tokenizer file whose words end at white space and whose letters and punctuation are
     split before merging, each distinct word encoded once."""
 
     def load():
-        t = _tokenizer(tokenizer_path)
-
-        def run(words: list[str], known: dict) -> None:
-            cut = [(m.group(1), m.group(2)) if (m := _stop.match(w)) else (w,) for w in words]
-            parts = [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in known]
-            for p, e in zip(parts, t.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-                known[p] = np.array(e.ids, np.uint32)
-            for w, c in zip(words, cut, strict=True):
-                if len(c) == 2:
-                    known[w] = np.concatenate([known[c[0]], known[c[1]]])
-
-        return run
+        return word_encoder(tokenizer_path)
 
     split = lower_split if _splits_and_lowers(tokenizer_path) else wordcode.split_dropping_space
     return wordcode.encode_texts(docs, id_col, text_col, split, load, finish, block_chars)
