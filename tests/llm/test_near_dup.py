@@ -74,6 +74,45 @@ def test_classes_brute_force(spark):
     assert near_dup.near_classes(docs.limit(0)).count() == 0
 
 
+def test_texts_that_share_an_id(spark):
+    """An id may have a unique text and a near copy of another row: the first stays, the second goes, however the rows are dealt."""
+    rng = random.Random(8)
+    vocab = [f"v{i}" for i in range(4000)]
+    rows, unique, copies = [], set(), set()
+    for i in range(30):
+        base = rng.choices(vocab, k=120)
+        near = [*base[:60], "changed", *base[61:]]
+        own = " ".join(rng.choices(vocab, k=100))
+        rows += [(i, " ".join(base)), (100 + i, " ".join(near)), (100 + i, own)]
+        unique.add(own)
+        copies.add(" ".join(near))
+    for parts in (1, 3):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        kept = {r.text for r in near_dup.near_dedup(docs).collect()}
+        assert unique <= kept and not copies & kept and len(kept) == 60
+
+
+def test_a_passage_that_a_third_share(spark):
+    """Texts that share a long passage only are no copies; near copies among them are found."""
+    rng = random.Random(12)
+    vocab = [f"u{i}" for i in range(5000)]
+    passage = rng.choices(vocab, k=90)
+    rows = [(i, " ".join((passage if i % 3 == 0 else []) + rng.choices(vocab, k=90 + i % 20))) for i in range(240)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(0, 240, 24)]
+    got = {r.doc_id: r.class_id for r in near_dup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == classes_brute(rows) and sum(i != c for i, c in got.items()) == 10
+
+
+def test_bits_tell_samples_apart():
+    rng = np.random.default_rng(2)
+    a = rng.integers(0, 1 << 63, (2000, 64), dtype=np.uint64)
+    for alike, few, most in ((0.8, 0.997, 1.0), (0.5, 0.0, 0.08)):
+        b = np.where(rng.random(a.shape) < alike, a, rng.integers(0, 1 << 63, a.shape, dtype=np.uint64))
+        x = near_dup.sample_bits(a) ^ near_dup.sample_bits(b)
+        differ = np.array([int(np.bitwise_or.reduce(r).astype(np.uint64)).bit_count() for r in x])
+        assert few <= (differ <= near_dup.UNLIKE).mean() <= most
+
+
 def test_samples_follow_similarity():
     rng = np.random.default_rng(5)
     own = np.sort(rng.integers(1, 1 << 63, 300, dtype=np.uint64))

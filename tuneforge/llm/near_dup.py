@@ -5,7 +5,8 @@ A text is a weighted set of shingles of five lower-cased words (all its words, i
 are counted over all rows, in ``2^DF_BITS`` hashed counters, a table of fixed size. Improved consistent
 weighted sampling draws (shingle, level) samples that two texts share with probability equal to their
 weighted Jaccard similarity; ``BANDS`` bands, each of ``ROWS`` of the ``SAMPLES`` samples drawn at random, give the
-candidates. Pairs whose total weights alone keep them below the threshold are left out, and each link is verified by the weighted Jaccard similarity of the whole texts, at least ``threshold``. Classes are the
+candidates, of which those whose 64 samples say that they are far below the threshold (``UNLIKE``), or whose
+total weights alone keep them below it, are left out before texts meet. Each link is verified by the weighted Jaccard similarity of the whole texts, at least ``threshold``. Classes are the
 connected components of the links.
 
 Work in a large bucket: texts with equal words are one node from the start. Then, in rounds, each bucket's
@@ -16,8 +17,9 @@ fewer than one text in 20 (the buckets then hold texts that only share a passage
 ``MAX_ROUNDS`` rounds.
 
 Defined cases: texts without words are alike only if equal after white space is collapsed; a null text is
-empty; repeated rows are one node; rows with a null id are not compared and get a null class; an empty table
-gives an empty result."""
+empty; a very long text is compared whole; repeated rows are one node; texts that share an id are nodes of their
+own, and each stays or goes by itself; rows with a null id are not compared and get a null class; columns
+with other names, whatever they are, stay as they are; an empty table gives an empty result."""
 
 from __future__ import annotations
 
@@ -37,6 +39,9 @@ from .wordcode import pack_arrays, trimmed, unpack_arrays
 SHINGLE = 5
 THRESHOLD = 0.8
 SAMPLES, BANDS, ROWS = 64, 48, 6
+# Of two texts at similarity 0.8, 4 bits a sample differ in 12 of 64 samples (deviation 3.1), and in more than 22 for 7
+# pairs in 10,000; at 0.5 in 30, and in at most 22 for 3 pairs in 100.
+BITS, UNLIKE = 4, 22
 DF_BITS = 20
 DF_BLOCK = 4096
 RARE = 2048.0  # idf stops growing at one text of so many
@@ -177,14 +182,14 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _count_pass(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(id, digest of the words) of all rows, and the document frequencies of all shingles."""
+    """(id, hash of the text, digest of the words) of all rows, and the document frequencies of all shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         hashes, df = _Hashes(), np.zeros(1 << DF_BITS, np.int64)
-        kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
-        names = ["_id", "digest", "block", "salt", "counts"]
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
+        names = ["_id", "_h", "digest", "block", "salt", "counts"]
         for batch in batches:
             digests = []
             for text in batch.column("_text"):
@@ -193,16 +198,16 @@ def _count_pass(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 slots = (own >> np.uint64(64 - DF_BITS)).astype(np.int64)  # ascending, as ``own`` is
                 df[slots[np.append(True, slots[1:] != slots[:-1])] if len(slots) else slots] += 1
             none = [None] * len(digests)
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), *(pa.array(c, k) for c, k in zip(
-                (digests, none, none, none), kinds[1:], strict=True))], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_h"), *(pa.array(c, k) for c, k in zip(
+                (digests, none, none, none), kinds[2:], strict=True))], names=names)
         blocks = [(b, df[b * DF_BLOCK:(b + 1) * DF_BLOCK]) for b in range((1 << DF_BITS) // DF_BLOCK)]
         rows = [(b, pack_arrays(c)) for b, c in blocks if c.any()]
         salt = TaskContext.get().partitionId() % 64
         none = [None] * len(rows)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(
-            (none, none, [b for b, _ in rows], [salt] * len(rows), [c for _, c in rows]), kinds, strict=True)], names=names)
+            (none, none, none, [b for b, _ in rows], [salt] * len(rows), [c for _, c in rows]), kinds, strict=True)], names=names)
 
-    counted = written(docs.mapInArrow(trimmed(run), "_id long, digest binary, block int, salt int, counts binary"), "near-counts")
+    counted = written(docs.mapInArrow(trimmed(run), "_id long, _h long, digest binary, block int, salt int, counts binary"), "near-counts")
 
     def add(group: pa.Table) -> pa.Table:
         total = sum(unpack_arrays(c)[0].astype(np.int64) for c in group["counts"].to_pylist())
@@ -214,38 +219,55 @@ def _count_pass(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     df = np.zeros(1 << DF_BITS, np.int64)
     for r in summed.collect():  # 2^DF_BITS / DF_BLOCK rows, whatever the corpus
         df[r["block"] * DF_BLOCK:(r["block"] + 1) * DF_BLOCK] = unpack_arrays(r["counts"])[0]
-    return counted.filter("digest is not null").select("_id", "digest"), df
+    return counted.filter("digest is not null").select("_id", "_h", "digest"), df
+
+
+def sample_bits(samples: np.ndarray) -> np.ndarray:
+    """(texts, BITS): bit k of all 64 samples of a text in one integer. Equal samples agree in all of them, unequal ones
+    with a chance of 2^-BITS."""
+    planes = [np.packbits((samples >> np.uint64(k) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64) for k in range(BITS)]
+    return np.concatenate(planes, axis=1)
+
+
+def unlike(a, b):
+    """The number of samples in which two texts' bits differ."""
+    differ = None
+    for k in range(BITS):
+        x = F.col(f"{a}{k}").bitwiseXOR(F.col(f"{b}{k}"))
+        differ = x if differ is None else differ.bitwiseOR(x)
+    return F.bit_count(differ)
 
 
 def _signatures(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
-    """(id, total weight, keys: array of band keys) of the texts that have words."""
+    """(digest, total weight, keys: array of band keys, bits) of the texts that have words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, sampler, table = _Hashes(), Sampler(SAMPLES), idf.value
-        ids, own, logs, total = [], [], [], []
+        digests, own, logs, total = [], [], [], []
 
         def sampled():
-            keys = band_keys(sampler.sample(np.concatenate(own), np.concatenate(logs), np.array([len(x) for x in own])), bands, rows)
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total, pa.float64()),
-                                               pa.array(list(keys), pa.list_(pa.int64()))], names=["_id", "weight", "keys"])
+            samples = sampler.sample(np.concatenate(own), np.concatenate(logs), np.array([len(x) for x in own]))
+            return pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(total, pa.float64()),
+                                               pa.array(list(band_keys(samples, bands, rows)), pa.list_(pa.int64())),
+                                               pa.array(list(sample_bits(samples)), pa.list_(pa.int64()))], names=["digest", "weight", "keys", "bits"])
 
         for batch in batches:
             for i, text in zip(batch.column("_id").to_pylist(), batch.column("_text"), strict=True):
-                s, tf, _ = shingles(text.as_py(), hashes)
+                s, tf, digest = shingles(text.as_py(), hashes)
                 if i is None or not len(s):
                     continue
-                ids.append(i)
+                digests.append(digest)
                 own.append(s)
                 w = weights(s, tf, table)
                 total.append(float(w.sum()))
                 logs.append(np.log(w).astype("f4"))
                 if sum(map(len, own)) >= CHUNK:
                     yield sampled()
-                    ids, own, logs, total = [], [], [], []
-        if ids:
+                    digests, own, logs, total = [], [], [], []
+        if digests:
             yield sampled()
 
-    return written(docs.mapInArrow(trimmed(run), "_id long, weight double, keys array<long>"), "near-signatures")
+    return written(docs.mapInArrow(trimmed(run), "digest binary, weight double, keys array<long>, bits array<long>"), "near-signatures")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
@@ -274,24 +296,28 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
     return rows.sortWithinPartitions("b").mapInArrow(trimmed(run), "a long, b long")
 
 
-def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-                 bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per row of ``docs``: id and ``class_id`` (the smallest id of its class)."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, bands: int, rows: int) -> DataFrame:
+    """(_id, _h: hash of the text, first: the class's least (_id, _h)) per row of ``docs``."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).withColumn("_h", F.xxhash64("_text"))
     known, df = _count_pass(docs)
     n = known.count()
     idf = spark.sparkContext.broadcast(idf_table(df, max(n, 1)))
     signatures = _signatures(docs, idf, bands, rows)
-    # Texts with equal words are one node, named by its smallest id.
-    nodes = known.filter("_id is not null").groupBy("digest").agg(F.min("_id").alias("node"))
-    members = written(known.join(nodes, "digest", "left").select("_id", F.when(F.col("_id").isNotNull(), F.col("node")).alias("node")), "near-nodes")
-    firsts = members.filter("_id = node").select("_id").distinct()
-    keyed = signatures.dropDuplicates(["_id"]).join(firsts, "_id").select(F.explode("keys").alias("key"), F.col("_id").alias("doc"), "weight")
+    # Texts with equal words are one node, whatever their ids; its first row stands for it.
+    nodes = known.filter("_id is not null").groupBy("digest").agg(F.min(F.struct("_id", "_h")).alias("first"))
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
+    members = written(known.join(nodes.select("digest", "node"), "digest", "left").select(
+        "_id", "_h", F.when(F.col("_id").isNotNull(), F.col("node")).alias("node")), "near-members")
+    signed = written(signatures.dropDuplicates(["digest"]).join(nodes.select("digest", "node"), "digest").select(
+        F.col("node").alias("doc"), "weight", "keys", *[F.get("bits", F.lit(k)).alias(f"b{k}") for k in range(BITS)]), "near-signed")
+    keyed = signed.select(F.explode("keys").alias("key"), "doc", "weight")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("key")
     buckets = written(keyed.join(shared, "key"), "near-buckets")
-    labels = written(buckets.select("doc").distinct().withColumn("class", F.col("doc")), "near-labels")
-    texts = written(docs.join(labels.select(F.col("doc").alias("_id")), "_id").dropDuplicates(["_id"]), "near-texts")
+    bits = [f"b{k}" for k in range(BITS)]
+    labels = written(buckets.select("doc").distinct().join(signed.select("doc", *bits), "doc").withColumn("class", F.col("doc")), "near-labels")
+    firsts = nodes.join(labels.select(F.col("doc").alias("node")), "node").select(F.col("first._id").alias("_id"), F.col("first._h").alias("_h"), "node")
+    texts = written(docs.join(firsts, ["_id", "_h"]).dropDuplicates(["node"]).select("node", "_text"), "near-texts")
     size = buckets.count()
 
     edges = spark.createDataFrame([], "a long, b long")
@@ -300,11 +326,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     for k in range(MAX_ROUNDS + 1):
         placed = written(buckets.join(labels, "doc"), "near-placed")
         sizes = placed.groupBy("key", "class").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(
-            F.xxhash64(F.lit(k), "doc"), F.col("doc"), F.col("weight"))).alias("_p"))
+            F.xxhash64(F.lit(k), "doc"), F.col("doc"), F.col("weight"), *bits)).alias("_p"))
         # Buckets of one class are done; of the others, the largest class gives the pivot.
-        main = sizes.groupBy("key").agg(F.max(F.struct("_n", F.col("class").alias("main"), F.col("_p.doc").alias("pivot"), F.col("_p.weight").alias("pivot_weight"))).alias("_m"),
+        main = sizes.groupBy("key").agg(F.max(F.struct("_n", F.col("class").alias("main"), F.col("_p.doc").alias("pivot"), F.col("_p.weight").alias("pivot_weight"), *[F.col(f"_p.{x}").alias(f"p{x}") for x in bits])).alias("_m"),
                                         F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_classes"))
-        main = written(main.filter("_classes > 1").select("key", "_m.main", "_m.pivot", "_m.pivot_weight", "_all", (F.col("_all") - F.col("_m._n")).alias("_rest")), "near-main")
+        main = written(main.filter("_classes > 1").select("key", "_m.main", "_m.pivot", "_m.pivot_weight", *[f"_m.p{x}" for x in bits], "_all", (F.col("_all") - F.col("_m._n")).alias("_rest")), "near-main")
         left = main.agg(F.sum(F.col("_all") * F.col("_rest"))).first()[0] or 0
         if not left:
             break
@@ -313,26 +339,39 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         # Similarity is at most the ratio of the total weights (a hair of slack for rounding).
         near = lambda a, b: F.least(a, b) >= F.greatest(a, b) * (threshold - 1e-6)
         if last:  # every text outside the largest class with every text of another class
-            others = placed.select(F.col("key").alias("_k"), F.col("doc").alias("_d"), F.col("class").alias("_c"), F.col("weight").alias("_w"))
-            pairs = (rest.join(others, (F.col("key") == F.col("_k")) & (F.col("class") != F.col("_c")) & near(F.col("weight"), F.col("_w")))
+            others = placed.select(F.col("key").alias("_k"), F.col("doc").alias("_d"), F.col("class").alias("_c"), F.col("weight").alias("_w"),
+                                   *[F.col(x).alias(f"_{x}") for x in bits])
+            pairs = (rest.join(others, (F.col("key") == F.col("_k")) & (F.col("class") != F.col("_c")) & near(F.col("weight"), F.col("_w")) & (unlike("b", "_b") <= UNLIKE))
                      .select(F.least("doc", "_d").alias("a"), F.greatest("doc", "_d").alias("b")).distinct())
         else:
-            pairs = rest.filter(near(F.col("weight"), F.col("pivot_weight"))).select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
+            pairs = rest.filter(near(F.col("weight"), F.col("pivot_weight")) & (unlike("b", "pb") <= UNLIKE)).select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
         links = written(_verified(pairs, texts, idf, threshold), "near-links")
         edges, tried = edges.union(links), tried.union(pairs)
         fruitful = links.count() * 20 >= pairs.count()
         found = components(edges)
         labels = written(labels.join(found, labels["doc"] == found["node"], "left")
-                         .select("doc", F.coalesce("component", "class").alias("class")), "near-labels")
+                         .select("doc", *bits, F.coalesce("component", "class").alias("class")), "near-labels")
         if last:
             break
-    out = members.join(labels, members["node"] == labels["doc"], "left")
-    return out.select(F.col("_id").alias(id_col), F.coalesce("class", "node").alias("class_id"))
+    placed = nodes.join(labels, nodes["node"] == labels["doc"], "left").select("node", "first", F.coalesce("class", "node").alias("class"))
+    least = placed.groupBy("class").agg(F.min("first").alias("first"))
+    found = placed.select("node", "class").join(least, "class").select("node", "first")
+    return members.join(found, "node", "left").select("_id", "_h", "first")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs`` that stay: of each class, those with its smallest id."""
-    classes = near_classes(docs, id_col, text_col, **kw)
-    dropped = classes.filter(F.col(id_col) != F.col("class_id")).select(F.col(id_col)).distinct()
-    return docs.join(dropped, id_col, "left_anti")
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+                 bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """One row per row of ``docs``: id and ``class_id`` (the smallest id of its class)."""
+    out = _classes(docs, id_col, text_col, threshold, bands, rows)
+    return out.select(F.col("_id").alias(id_col), F.col("first._id").alias("class_id"))
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+               bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """The rows of ``docs`` that stay: of each class the row with the smallest id (of its texts, that with the
+    smallest hash), with its repetitions; rows with a null id."""
+    classes = _classes(docs, id_col, text_col, threshold, bands, rows)
+    dropped = classes.filter(F.struct("_id", "_h") != F.col("first")).select(F.col("_id").alias("_tf_id"), F.col("_h").alias("_tf_h")).distinct()
+    gone = (F.col(id_col).cast("long") == F.col("_tf_id")) & (F.xxhash64(F.col(text_col)) == F.col("_tf_h"))
+    return docs.join(dropped, gone, "left_anti")
