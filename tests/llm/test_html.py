@@ -103,3 +103,29 @@ def test_wrapping_forms():
     assert text_of("<form id=aspnetForm><div><h1>t</h1><p>one</p></div></form>") == "t\n\none"
     assert text_of("<article><h1>t</h1><form><p>one</p></form></article>") == "t\n\none"
     assert text_of("<h1>t</h1><p>some longer running text</p><form><p>mail</p></form>") == "t\n\nsome longer running text"
+
+
+def test_no_page_loses_all_its_text(spark):
+    """Wrappers with a telling name, whole hosts of them too, keep the article."""
+    wrappers = ["wrapper nav-open", "layout sidebar-left", "page cookie-accepted", "header-fixed site", "widget-area-on page", "notice", "share-price"]
+    for w in wrappers:
+        assert text_of(f'<body><div class="{w}"><article><p>the story</p></article></div>') == "the story", w
+        assert text_of(f'<body><div class="{w}"><div><p>an unmarked story of some length</p></div></div><nav>menu</nav>') == "an unmarked story of some length", w
+        assert text_of(f'<body><div id="{w}"><p>short</p></div><div class="promo">longer than that is</div>') != "", w
+    rows = [(i, f"http://{w.replace(' ', '-')}.example/{i}", f'<body><div class="{w}"><nav>m</nav><article><h1>t {i}</h1><p>story number {i} of many</p></article></div>')
+            for w in wrappers for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert all(r.text == f"t {r.page_id}\n\nstory number {r.page_id} of many" for r in html_main.extract(pages).collect())
+    assert text_of('<article><p>a<div class="ad">buy</div><p>b</article>') == "a\n\nb"
+
+
+def test_long_broken_markup_is_linear():
+    import time
+
+    n = 1_000_000
+    for piece in ("<a ", "<a href=\"", "<a '", "<", "<!", "</", "<b>", "<div>", "<b></i>", "<b><h1>x", "<p><b>", "<script>", "<!-- ", "<td><i>", "<a \"'>"):
+        source = piece * (n // len(piece)) if piece[-1] != ">" else piece * (n // 4 // len(piece))
+        begin = time.time()
+        html_main.parse(source)
+        assert time.time() - begin < 15, piece
+    assert text_of("<p>one <a href=\"x>two</a> three") != ""

@@ -20,19 +20,22 @@ Branches of low importance are removed from each page, as are branches whose pre
 they are no article text (navigation, adverts, forms, reader comments, ...). Nodes on fewer than
 ``LEAST_PAGES`` pages of a host tell nothing and count as important. Inside the article only container branches
 can be of low importance, never running text: an article's repeated paragraph stays. Where an article or a page
-would keep no running text at all (headings aside), its text is taken without importance and through forms. A
-form that holds at least half of a page's text wraps the page and counts as a plain container.
+would keep no running text at all (headings aside), its text is taken without importance, and through forms and
+branches that only their name speaks against. A form that holds at least half of a page's text, a so named
+branch that does where no article is marked, and either around a marked article wrap the page and count as plain
+containers.
 
 Blocks: character references are decoded, white space inside a block becomes one space, blocks are joined
 by an empty line. Defined cases: null or empty html gives an empty text; a null or odd url belongs to the
 host ""; pages of a host with the same branches and texts count once in its tree; an empty table gives an empty result; broken html is
-read as far as its tags go (unclosed elements end with their parent, an unclosed comment or script runs to
+read as far as its tags go, in one pass whatever its length (unclosed elements end with their parent, an unclosed comment or script runs to
 the end)."""
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,18 +68,42 @@ comment comments commentlist disqus reply replies respond discussion pagination
 KEEP_WORDS = set("article content main post entry story body title text".split())
 CONTAINERS = set("div section ul ol dl table aside figure details center".split())
 
-_tag = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>")
+_tag = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>")
+_bare_tag = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")  # where a quote is never closed
 _attr = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _space = re.compile(r"\s+")
 _word = re.compile(r"[a-z]+")
 _camel = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+class _Tags:
+    """Tags of a source from left to right. No part is read again and again: past the last ``>`` there is no tag,
+    and once a quote has no partner, tags end at the next ``>``."""
+
+    def __init__(self, source: str):
+        self.source, self.last, self.bare = source, source.rfind(">"), False
+
+    def next(self, at: int):
+        while True:
+            at = self.source.find("<", at)
+            if at < 0 or at > self.last:
+                comment = self.source.find("<!--", at) if at >= 0 else -1
+                return _tag.match(self.source, comment) if comment >= 0 else None
+            m = (_bare_tag if self.bare and not self.source.startswith("<!", at) else _tag).match(self.source, at)
+            if m is None and self.source[at + 1:at + 3].strip("/")[:1].isalpha():
+                self.bare = True
+                m = _bare_tag.match(self.source, at)
+            if m is not None:
+                return m
+            at += 1
+
+
 class Node:
-    __slots__ = ("tag", "name", "kids", "noise")
+    __slots__ = ("tag", "name", "kids", "noise", "named")
 
     def __init__(self, tag: str, name: str, noise: bool):
         self.tag, self.name, self.noise = tag, name, noise
+        self.named = noise and tag not in NOISE_TAGS  # by its class, id or role alone
         self.kids: list = []  # nodes, and texts as str
 
 
@@ -117,9 +144,15 @@ def parse(source: str, known: dict | None = None) -> Node:
     known = {} if known is None else known
     root = Node("html", "html", False)
     stack, at, n = [root], 0, len(source)
-    forms: list[Node] = []
+    wrapping: list[Node] = []
+    tags, open_ = _Tags(source), Counter()
+
+    def cut(k: int) -> None:
+        open_.subtract(x.tag for x in stack[k:])
+        del stack[k:]
+
     while at < n:
-        m = _tag.search(source, at)
+        m = tags.next(at)
         if m is None:
             stack[-1].kids.append(source[at:])
             break
@@ -138,9 +171,9 @@ def parse(source: str, known: dict | None = None) -> Node:
             continue
         tag = tag.lower()
         if m.group(1):  # an end tag: up to its element, formatting only inside its block
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1 if open_[tag] > 0 else 0, 0, -1):
                 if stack[k].tag == tag:
-                    del stack[k:]
+                    cut(k)
                     break
                 if tag not in BLOCK and tag not in SCOPE and stack[k].tag in BLOCK:
                     break
@@ -154,17 +187,18 @@ def parse(source: str, known: dict | None = None) -> Node:
         if tag in ("html", "body"):
             continue
         if tag in BLOCK:  # closes an open paragraph; li, dt, dd, tr close their like
-            for k in range(len(stack) - 1, 0, -1):
+            closes = {"p", tag} if tag in ("li", "tr") else {"p", "dt", "dd"} if tag in ("dt", "dd") else {"p"}
+            for k in range(len(stack) - 1 if any(open_[x] > 0 for x in closes) else 0, 0, -1):
                 own = stack[k].tag
-                if own == "p" or own == tag and tag in ("li", "tr") or own in ("dt", "dd") and tag in ("dt", "dd"):
-                    del stack[k:]
+                if own in closes:
+                    cut(k)
                     break
                 if own in SCOPE or own in ("ul", "ol", "dl", "tbody", "thead"):
                     break
         elif tag in ("td", "th"):
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1 if open_["td"] > 0 or open_["th"] > 0 else 0, 0, -1):
                 if stack[k].tag in ("td", "th"):
-                    del stack[k:]
+                    cut(k)
                     break
                 if stack[k].tag in ("tr", "table"):
                     break
@@ -174,31 +208,35 @@ def parse(source: str, known: dict | None = None) -> Node:
             end = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(source, at)
             close = source.find(">", end.start()) if end else -1
             at = close + 1 if close >= 0 else n
-        elif tag not in VOID and not raw.endswith("/"):
-            stack.append(node)
-        elif tag not in VOID and tag in BLOCK:  # a slash on a non-void element means nothing in HTML
+        elif tag not in VOID and (tag in BLOCK or not raw.endswith("/")):  # a slash on a block element means nothing in HTML
             stack.append(node)
-        if tag == "form":
-            forms.append(node)
-    if forms:
-        size = _sizes(root)
-        for form in forms:
-            if 2 * size.get(id(form), 0) >= size[id(root)] > 0:
-                form.noise = False
+            open_[tag] += 1
+        if tag == "form" or node.named:
+            wrapping.append(node)
+    if wrapping:
+        size, marked = _sizes(root)
+        for node in wrapping:
+            half = 2 * size.get(id(node), 0) >= size[id(root)] > 0 and (node.tag == "form" or not marked)
+            if half or id(node) in marked:
+                node.noise = node.named = False
     return root
 
 
-def _sizes(root: Node) -> dict[int, int]:
-    """Characters below each branch that may hold article text, forms included."""
+def _sizes(root: Node) -> tuple[dict[int, int], set[int]]:
+    """Characters below each branch that may hold article text, forms and branches that only a name speaks against
+    included, and the branches with a marked article below them."""
     order, todo = [], [root]
     while todo:
         x = todo.pop()
         order.append(x)
-        todo += [k for k in x.kids if isinstance(k, Node) and (not k.noise or k.tag == "form")]
+        todo += [k for k in x.kids if isinstance(k, Node) and (not k.noise or k.named or k.tag == "form")]
     size: dict[int, int] = {}
+    marked: set[int] = set()
     for x in reversed(order):
         size[id(x)] = sum(len(k.strip()) if isinstance(k, str) else size.get(id(k), 0) for k in x.kids)
-    return size
+        if x.tag == "article" or any(id(k) in marked for k in x.kids if isinstance(k, Node)):
+            marked.add(id(x))
+    return size, marked
 
 
 def clean(text: str) -> str:
@@ -328,7 +366,7 @@ def main_blocks(root: Node, importance: dict[int, tuple[float, int, int]]) -> li
         heading = False
 
     def take(node: Node, path: int, inside: bool, by_importance: bool):
-        """Whether running text was taken. Without importance, forms are taken too."""
+        """Whether running text was taken. Without importance, forms and branches with an odd name are taken too."""
         nonlocal heading, running
         running = False
         todo: list = [(node, path)]
@@ -342,7 +380,7 @@ def main_blocks(root: Node, importance: dict[int, tuple[float, int, int]]) -> li
                 continue
             x, p = x
             if x is not node:
-                if x.noise and (by_importance or x.tag != "form"):
+                if x.noise and (by_importance or x.tag != "form" and not x.named):
                     if x.tag in BLOCK:
                         flush()
                     continue
