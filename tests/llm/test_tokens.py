@@ -81,7 +81,7 @@ def test_op8_words_like_library():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    from tuneforge.llm import token_store
+    from tuneforge.llm import token_store, wordcode
 
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
@@ -90,7 +90,12 @@ def test_op8_words_like_library():
     texts = ["日İ.", "İ.", "İ, x", "日 İİ.", "Σ. ΑΣ, ς."] + ["".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(200_000)]
     load = token_store.word_encoder(path)
     known: dict = {}
-    words = [token_store.lower_split(t)[0] for t in texts]
+    runs = wordcode.SpaceRuns(token_store.lower_fold)
+    for t in texts:
+        runs.add(t)
+    lens, (codes,), numbered = runs.done()
+    ends = np.cumsum(lens)
+    words = [[numbered[c >> 1] for c in codes[end - n:end].tolist()] for end, n in zip(ends.tolist(), lens, strict=True)]
     load(list(dict.fromkeys(w for ws in words for w in ws)), known)
     for at in range(0, len(texts), 20_000):
         want = library.encode_batch_fast(texts[at:at + 20_000], add_special_tokens=False)

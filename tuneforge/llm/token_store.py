@@ -83,17 +83,17 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     def load():
         return word_encoder(tokenizer_path)
 
-    split = lower_split if _splits_and_lowers(tokenizer_path) else wordcode.split_dropping_space
-    return wordcode.encode_texts(docs, id_col, text_col, split, load, finish, block_chars)
+    fold = lower_fold if _splits_and_lowers(tokenizer_path) else str
+    return wordcode.encode_texts(docs, id_col, text_col, None, load, finish, block_chars, fold)
 
 
 _stop = re.compile(r"([^\W\d_]+)([.,])\Z")
 _wide = re.compile("[^\x00-\u024f]")
 
 
-def lower_split(text: str) -> tuple[list[str], np.ndarray]:
-    """Words in lower case where that is the same in every library: no letter beyond Latin Extended-B."""
-    return wordcode.split_dropping_space(text if not text.isascii() and _wide.search(text) else text.lower())
+def lower_fold(text: str) -> str:
+    """Lower case where that is the same in every library: no letter beyond Latin Extended-B."""
+    return text if not text.isascii() and _wide.search(text) else text.lower()
 
 
 def _splits_and_lowers(path: str) -> bool:

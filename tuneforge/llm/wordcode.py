@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,15 +100,6 @@ _space = re.compile(f"[{SPACE}]")
 _chunk = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
-def split_dropping_space(text: str) -> tuple[list[str], np.ndarray]:
-    """The runs of non-spaces of a text."""
-    words = text.split() if not any(map(text.__contains__, _ODD)) else [w for w in _runs.split(text) if w]
-    return words, np.zeros(len(words), np.uint32)
-
-
-_runs = re.compile(f"[{SPACE}]+")
-
-
 class _Numbers(dict):
     """word -> its number in order of first appearance."""
 
@@ -116,6 +108,44 @@ class _Numbers(dict):
         return n
 
 
+class _Cuts:
+    """The words of a block's texts, cut and numbered text by text."""
+
+    def __init__(self, split: Split):
+        self.split, self.numbers, self.lens, self.codes = split, _Numbers(), [], []
+
+    def add(self, text: str) -> None:
+        words, lead = self.split(text)
+        self.lens.append(len(words))
+        self.codes.append(np.fromiter(map(self.numbers.__getitem__, words), np.uint32, len(words)) * 2 + lead)
+
+    def done(self) -> tuple[list[int], list[np.ndarray], list[str]]:
+        return self.lens, self.codes, list(self.numbers)
+
+
+_WIDE_SPACE = _ROUGH[_ROUGH.index("\x85"):]
+_wide_space = re.compile("[" + "".join(_WIDE_SPACE) + "]")
+
+
+class SpaceRuns:
+    """The runs of non-spaces of a block's folded texts, cut and numbered together by Arrow."""
+
+    def __init__(self, fold: Callable[[str], str]):
+        self.fold, self.texts = fold, []
+
+    def add(self, text: str) -> None:
+        text = self.fold(text)
+        if any(map(text.__contains__, _WIDE_SPACE)):
+            text = _wide_space.sub(" ", text)
+        self.texts.append(text.strip(" \t\n\r\x0b\x0c") or None)  # an end of white space would give an empty word
+
+    def done(self) -> tuple[list[int], list[np.ndarray], list[str]]:
+        words = pc.ascii_split_whitespace(pa.array(self.texts, pa.large_string()))
+        lens = pc.list_value_length(words).fill_null(0).to_pylist()
+        coded = words.flatten().dictionary_encode()
+        return lens, [coded.indices.to_numpy().astype(np.uint32) * 2], coded.dictionary.to_pylist()
+
+
 def _pack(data: bytes) -> bytes:
     import zstandard
 
@@ -206,10 +236,12 @@ def _words_of(blob: bytes) -> list[str]:
     return out
 
 
-def encode_texts(docs: DataFrame, id_col: str, text_col: str, split: Split, load: Callable[[], Encoder],
-                 finish: Callable[[np.ndarray], bytes] | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def encode_texts(docs: DataFrame, id_col: str, text_col: str, split: Split | None, load: Callable[[], Encoder],
+                 finish: Callable[[np.ndarray], bytes] | None = None, block_chars: int = BLOCK_CHARS,
+                 fold: Callable[[str], str] | None = None) -> DataFrame:
     """(id, n_ids, ids): each text's ids as little-endian unsigned 32-bit integers, or as ``finish`` packs
-    them. A null text is empty. ``load`` runs in the Python worker and returns the encoder of words."""
+    them. A null text is empty. ``load`` runs in the Python worker and returns the encoder of words. Words
+    are as ``split`` cuts a text, or, where ``fold`` is given, the runs of non-spaces of the folded text."""
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     chars = rows.agg(F.sum(F.length("_text"))).first()[0] or 0
     buckets = max(16, chars // BUCKET_CHARS)
@@ -218,22 +250,23 @@ def encode_texts(docs: DataFrame, id_col: str, text_col: str, split: Split, load
     make_folder(folder)
 
     def make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, ids, lens, codes, numbers = 0, [], [], [], _Numbers()
+        def fresh():
+            return 0, [], SpaceRuns(fold) if fold else _Cuts(split)
+
+        held, ids, cut = fresh()
         for batch in batches:
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py()
-                words, lead = split(text)
+                cut.add(text)
                 ids.append(i)
-                lens.append(len(words))
-                codes.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)) * 2 + lead)
                 held += len(text)
                 if held >= block_chars:
-                    yield _block(f"{folder}/{uuid.uuid4().hex}", ids, lens, codes, list(numbers), buckets)
-                    ids = lens = codes = numbers = None
+                    yield _block(f"{folder}/{uuid.uuid4().hex}", ids, *cut.done(), buckets)
+                    ids = cut = None
                     release_memory()
-                    held, ids, lens, codes, numbers = 0, [], [], [], _Numbers()
+                    held, ids, cut = fresh()
         if ids:
-            yield _block(f"{folder}/{uuid.uuid4().hex}", ids, lens, codes, list(numbers), buckets)
+            yield _block(f"{folder}/{uuid.uuid4().hex}", ids, *cut.done(), buckets)
 
     # Written before use: only blocks of finished tasks count, and a lost executor re-reads them.
     lists = written(rows.mapInArrow(trimmed(make_blocks), "block string, bucket long, words binary"), "word-lists")
