@@ -190,7 +190,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str |
         yield pa.RecordBatch.from_pylist(out, schema=pa.schema(
             [("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
-    rows = (frames.withColumn("part", part_of(F.col("_id"))).repartition(parts, "part")
+    rows = (frames.withColumn("part", part_of(F.col("_id"))).repartitionById(parts, "part")
             .sortWithinPartitions("part", F.col("_id").asc_nulls_first(), "ids"))
     manifest = written(rows.select("part", "_id", "n_ids", "ids")
                        .mapInArrow(write, "part int, path string, n_docs long, n_ids long"), "token-manifest")
