@@ -22,6 +22,9 @@ from .operators.sheets import drop_unmapped_sheets, read_sheet_table, resolve_co
 from .operators.split import (bounded_head, exact_split, holdout, positional_split, require_enough, sample_exact,
                               seeded_shuffle, take_capped)
 from .session import ensure_checkpoint_dir, local_session, materialize
+from .sinks.batch_log import append_once, committed_batches, read_log
+from .sinks.dialogues import write_dialogues
+from .sinks.ordered import read_ordered, write_ordered
 from .sinks.writers import (append_results, build_if_absent, dataset_path, latest_by, latest_snapshot, next_run_path,
                             run_path, write_jsonl, write_run, write_splits)
 from .sources.cells import cells_from_csv, cells_from_csv_sheets, read_cells, read_workbooks, workbook_cells, workbook_rejects

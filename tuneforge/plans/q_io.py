@@ -9,13 +9,18 @@ from pyspark.sql import functions as F
 from ..functions.keys import shuffle_hash
 from ..operators import records, reports, split
 from ..session import scratch_path
+from ..operators.dialogue import pair_turns
 from ..sinks import writers as W
+from ..sinks.batch_log import append_once, read_log
+from ..sinks.dialogues import write_dialogues
+from ..sinks.ordered import read_ordered, write_ordered
 from ..sources import jsonl
 from ..sources import tables as T
+from ..streaming.score_stream import score_stream
 from .q_dialogue import pairs
-from .q_score import SCORED_SQL, score_batch
+from .q_score import CLOCK, SCORED_SQL, echo_model, prompt_table, score_batch
 from .registry import query
-from .sql_common import CORPUS_CTE, CORPUS_SELECT, PAIRS_CTE
+from .sql_common import CORPUS_CTE, CORPUS_SELECT, PAIRS_CTE, hash_sql
 from .q_split import SPLIT_SQL
 
 SEED = 42
@@ -66,30 +71,55 @@ def read_splits(spark, d):
     return back.select("split", "input", "output", "text")
 
 
-BOOK_DIALOGUES = 50
-
-
 @query("read_dialogues", f"WITH {PAIRS_CTE} SELECT turn_num, input, output FROM pairs")
 def read_dialogues(spark, d):
-    """Dialogues written as topic files (a JSON array of at most BOOK_DIALOGUES dialogues
-    each), read back with the multi-line reader, then paired. The file format holds each dialogue
-    as one JSON object, so writing it gathers a dialogue's utterances into one row; the reader
-    parses each topic file in one task."""
+    """Dialogues written as topic files (JSON arrays of bounded runs of utterances), read back with the
+    multi-line reader, then paired over the runs' edges."""
     root = scratch_path(spark, "dialogues")
-    u = T.utterances(spark, d)
-    dlg = (u.groupBy("dlg")
-           .agg(F.sort_array(F.collect_list(F.struct("pos", "turn_num", "utterance"))).alias("u"))
-           .select("dlg", F.struct(F.transform("u", lambda x: F.struct(x["turn_num"].alias("turn_num"),
-                                                                      x["utterance"].alias("utterance")))
-                                   .alias("utterances")).alias("d")))
-    files = (dlg.withColumn("topic", F.floor(F.col("dlg") / BOOK_DIALOGUES))
-             .groupBy("topic").agg(F.to_json(F.sort_array(F.collect_list(F.struct("dlg", "d")))
-                                              .getField("d")).alias("value")))
-    files.write.partitionBy("topic").text(root)
-    utts = jsonl.read_dialogues(spark, f"{root}/topic=*/*.txt")
-    from ..operators.dialogue import pair_turns
-
-    return pair_turns(utts).select("turn_num", "input", "output")
+    write_dialogues(T.utterances(spark, d), root, run_turns=5)  # odd and short: pairs lie across runs
+    return pair_turns(jsonl.read_dialogues(spark, f"{root}/topic=*/*.txt")).select("turn_num", "input", "output")
+
+
+@query("ordered_splits", SPLIT_SQL + f""",
+o AS (SELECT *, {hash_sql("source || ':' || row_key", SEED, 'order')} AS order_key FROM s)
+SELECT split, source, row_key, row_number() OVER (PARTITION BY split ORDER BY order_key) AS row_no FROM o""")
+def ordered_splits(spark, d):
+    """K-1/K-2: each split as one ordered output of many parts, read back with every row's place in its split."""
+    root = scratch_path(spark, "ordered")
+    s = split.exact_split(T.corpus(spark, d), "row_key", 0.8, SEED, by=["source"])
+    s = s.withColumn("order_key", shuffle_hash(F.concat_ws(":", "source", "row_key"), SEED, "order"))
+    write_ordered(s, root, ["source", "row_key", "input", "output", "text"], "split", "order_key")
+    return read_ordered(spark, root, "source string, row_key string").select("split", "source", "row_key", "row_no")
+
+
+@query("append_once", f"""
+WITH once AS ({SCORED_SQL})
+SELECT CAST(p_partkey % 2 AS BIGINT) AS batch, timestamp, input_text, generated_text FROM once""")
+def append_once_q(spark, d):
+    """K-3: scored rows appended in two batches, each handed over twice, as after a stop; each counts once."""
+    log = scratch_path(spark, "batch-log")
+    rows = score_batch(spark, d).select("p_partkey", "timestamp", "input_text", "generated_text")
+    for batch in (0, 1, 1, 0):
+        append_once(rows.where(F.col("p_partkey") % 2 == batch).drop("p_partkey"), log, batch)
+    return read_log(spark, log, "timestamp string, input_text string, generated_text string")
+
+
+@query("stream_restart", SCORED_SQL)
+def stream_restart(spark, d):
+    """The stream stops after its sink took the last batch but before the checkpoint noted it, and is started
+    anew with more prompts there. The sink's own log knows the batch by its id, so its rows are neither lost nor doubled."""
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("prompts", "results", "stream-ckpt"))
+    prompts = prompt_table(spark, d)
+    for part in (0, 1):
+        prompts.where(F.col("p_partkey") % 2 == part).write.mode("append").parquet(src)
+        q = score_stream(spark, src, "p_partkey BIGINT, prompt STRING", "prompt", sink, ckpt, fn=echo_model,
+                         clock=F.lit(CLOCK).cast("timestamp"), keep=["p_partkey"])
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+        if part == 0:
+            W.forget_last_commit(spark, ckpt)
+    return spark.read.parquet(sink)
 
 
 @query("append_results", f"""

@@ -4,9 +4,12 @@ guard and snapshot selection. Paths may be any Hadoop file system URI."""
 from __future__ import annotations
 
 import re
+import time
+import uuid
 from collections.abc import Callable, Sequence
 from decimal import Decimal
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,14 +93,60 @@ def dataset_path(root: str, makedate: str, seed: int, train_ratio: float, **para
     return f"{root.rstrip('/')}/makedate={makedate}/seed={seed}/train_pct={pct}{more}"
 
 
-def build_if_absent(spark: SparkSession, path: str, build: Callable[[], DataFrame], fmt: str = "parquet") -> DataFrame:
-    """K-5: reuse a dataset already built at ``path`` (it has ``_SUCCESS``); otherwise build and
-    write it. A folder without ``_SUCCESS`` (a crashed build) is rebuilt."""
-    if not path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
-        build().write.mode("overwrite").format(fmt).save(path)
+def build_if_absent(spark: SparkSession, path: str, build: Callable[[], DataFrame], fmt: str = "parquet",
+                    lease_seconds: float = 6 * 3600, poll_seconds: float = 1.0) -> DataFrame:
+    """K-5: reuse a dataset already built at ``path`` (it has ``_SUCCESS``); otherwise build it.
+
+    The build is written into a folder beside ``path`` and published by one rename, so no reader meets half of
+    it. A lease file lets one driver build while others on the same key wait for it; a lease older than
+    ``lease_seconds`` counts as left by a crash and is taken over. If a slow builder is overtaken that way, the first to
+    publish wins and the other's folder is dropped. A folder without ``_SUCCESS`` is moved aside. Needs a
+    store with an atomic rename and exclusive create."""
+    path = path.rstrip("/")
+    fs, lease = _fs(spark, f"{path}.lease")
+
+    def built() -> bool:
+        return path_exists(spark, f"{path}/_SUCCESS")
+
+    while not built():
+        fs.mkdirs(lease.getParent())
+        if fs.createNewFile(lease):
+            try:
+                if not built():
+                    _publish(spark, build, path, fmt, built)
+            finally:
+                fs.delete(lease, False)
+        else:
+            _drop_expired(spark, fs, lease, lease_seconds)
+            time.sleep(poll_seconds)
     return spark.read.format(fmt).load(path)
 
 
+def _publish(spark: SparkSession, build: Callable[[], DataFrame], path: str, fmt: str, built: Callable[[], bool]) -> None:
+    stage = f"{path}.stage-{uuid.uuid4().hex}"
+    fs, target = _fs(spark, path)
+    staged = _fs(spark, stage)[1]
+    build().write.format(fmt).save(stage)
+    if not built() and fs.exists(target):
+        fs.rename(target, _fs(spark, f"{path}.unfinished-{uuid.uuid4().hex}")[1])
+    # Onto a folder that came up meanwhile, a rename would move into it.
+    if fs.exists(target) or not fs.rename(staged, target):
+        fs.delete(staged, True)
+        if not built():
+            raise OSError(f"could not publish {stage} as {path}")
+
+
+def _drop_expired(spark: SparkSession, fs, lease, lease_seconds: float) -> None:
+    try:
+        age = time.time() - fs.getFileStatus(lease).getModificationTime() / 1000
+    except Py4JJavaError:  # given back meanwhile
+        return
+    if age > lease_seconds:
+        aside = _fs(spark, f"{lease.toString()}-{uuid.uuid4().hex}")[1]
+        if fs.rename(lease, aside):  # one of the waiting drivers succeeds
+            fs.delete(aside, False)
+
+
 def latest_snapshot(spark: SparkSession, root: str, column: str = "makedate") -> str:
     """K-6: the greatest eight-digit ``column=YYYYMMDD`` folder under ``root``; error if none."""
     pat = re.compile(SNAPSHOT_PATTERN)
@@ -112,3 +161,10 @@ def latest_by(df: DataFrame, name_col: str, by: Sequence[str] = ()) -> DataFrame
     """K-6 on a table of names: greatest valid snapshot name per group (aggregate, no sort)."""
     ok = F.col(name_col).rlike(SNAPSHOT_PATTERN)
     return df.groupBy(*by).agg(F.max(F.when(ok, F.col(name_col))).alias("latest"))
+
+
+def forget_last_commit(spark: SparkSession, checkpoint: str) -> None:
+    """Put a stopped stream's checkpoint back to before its last batch was noted as done, so that batch runs again."""
+    fs, folder = _fs(spark, f"{checkpoint.rstrip('/')}/commits")
+    noted = [st.getPath() for st in fs.listStatus(folder) if st.getPath().getName().isdigit()]
+    fs.delete(max(noted, key=lambda p: int(p.getName())), False)

@@ -15,7 +15,7 @@ from .lines import number_lines, scan_lines
 
 LINE_SALTS = 64
 RECORD_SCHEMA = "input STRING, output STRING, text STRING"
-DIALOGUE_SCHEMA = "utterances ARRAY<STRUCT<turn_num: INT, utterance: STRING>>"
+DIALOGUE_SCHEMA = "dlg STRING, first LONG, utterances ARRAY<STRUCT<turn_num: INT, utterance: STRING>>"
 
 
 def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
@@ -144,14 +144,17 @@ def read_split_jsonl(spark: SparkSession, root: str, names: Mapping[str, str] |
 def read_dialogues(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """JSON files holding an array of dialogues -> utterances (file, dlg, pos, turn_num,
     utterance). A multi-line JSON file is parsed by one task, so the dialogue index is numbered
-    within the file (bounded by the file)."""
+    within the file (bounded by the file). An item that names its ``dlg`` and ``first`` position is a run of a
+    longer dialogue (``sinks.dialogues``); other items are whole dialogues, named by file and index."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     d = (spark.read.option("multiLine", True).schema(DIALOGUE_SCHEMA).json(paths)
-         .select(F.col("_metadata.file_path").alias("file"), "utterances",
+         .select(F.col("_metadata.file_path").alias("file"), "utterances", F.col("dlg").alias("_tf_dlg"),
+                 F.coalesce("first", F.lit(0)).cast("int").alias("_tf_first"),
                  F.monotonically_increasing_id().alias("_tf_mid")))
     d = d.withColumn("dlg_idx", F.row_number().over(Window.partitionBy("file").orderBy("_tf_mid")) - 1)
-    u = d.select("file", "dlg_idx", F.posexplode("utterances").alias("pos", "u"))
-    return u.select(F.concat_ws(":", "file", "dlg_idx").alias("dlg"), "file", "dlg_idx", "pos",
+    u = d.select("file", "dlg_idx", "_tf_dlg", "_tf_first", F.posexplode("utterances").alias("at", "u"))
+    return u.select(F.coalesce("_tf_dlg", F.concat_ws(":", "file", "dlg_idx")).alias("dlg"), "file", "dlg_idx",
+                    (F.col("_tf_first") + F.col("at")).alias("pos"),
                     F.col("u.turn_num").alias("turn_num"), F.col("u.utterance").alias("utterance"))
 
 
