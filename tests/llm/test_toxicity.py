@@ -1,6 +1,8 @@
 import random
 import zlib
 
+import numpy as np
+
 from tuneforge.llm import queries, toxicity
 
 from ..conftest import SF_SMALL
@@ -27,6 +29,19 @@ def test_interaction_is_learned():
     assert right >= 0.97 * len(test)
 
 
+def test_margin_is_the_plain_sum_over_pairs():
+    train = corpus(600, 3)
+    m = toxicity.fit([t for t, _ in train], [y for _, y in train], epochs=5)
+    slots = toxicity._Slots(m.bits)
+    for text, _ in corpus(40, 4) + [("", 0), ("jerks martians", 1), ("unseen only", 0)]:
+        own = toxicity.terms_of(text, slots).tolist()
+        want = m.bias + sum(m.w[i] * m.x[i] for i in own)
+        for k, i in enumerate(own):
+            for j in own[k + 1:]:
+                want += sum(m.v[i, r] * m.v[j, r] for r in range(m.v.shape[1])) * m.x[i] * m.x[j]
+        assert abs(m.margin(np.array(own, np.int32)) - want) < 1e-9 * max(1, abs(want))
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([(1, None, "a"), (2, "", "b"), (3, "x " * 50000, "c"), (3, "x " * 50000, "c"), (None, "y", "d")],
                                  "doc_id long, text string, score_ string")
@@ -39,7 +54,11 @@ def test_edges(spark):
         assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
         assert len({r.score for r in got if not r.text}) == 1
     assert toxicity.score(docs.limit(0), m).count() == 0
-    assert len(toxicity.fit_rows(docs, labels, max_fit=1)) <= 2
+    assert len(toxicity.fit_rows(docs, labels, max_fit=1)) <= 1
+    hot = spark.range(5000).selectExpr("1L AS doc_id", "concat('t', id % 7) AS text")  # one id holds all rows
+    first = toxicity.fit_rows(hot.repartition(3), labels, max_fit=20)
+    assert len(first) == 20 and first == toxicity.fit_rows(hot.repartition(5), labels, max_fit=20)
+    assert len(toxicity.fit_rows(hot, labels, max_fit=10_000)) == 5000
 
 
 def test_held_out_and_accuracy(spark):

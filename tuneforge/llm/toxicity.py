@@ -139,13 +139,15 @@ def fit(texts: list[str | None], y: list[int], bits: int = 18, rank: int = 8, ep
 
 def fit_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "toxic", max_fit: int = MAX_FIT) -> list:
-    """The bounded sample of (text, label) rows a model is fitted on. Only its ids (at most ``max_fit``)
-    are broadcast, so texts are never shuffled."""
+    """The sample of at most ``max_fit`` (text, label) rows a model is fitted on, however often an id is
+    repeated: those first by a seeded hash of id and text. Only ids (at most ``max_fit``) are broadcast, so
+    texts are never shuffled; a task hands on its own first ``max_fit`` rows at most."""
     known = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_y"))
              .orderBy(F.xxhash64(F.lit("fit"), "_id"), "_id").limit(max_fit))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    rows = texts.join(F.broadcast(known), "_id").select("_id", "_text", "_y").collect()
+    rows = (texts.join(F.broadcast(known), "_id").select("_id", "_text", "_y")
+            .orderBy(F.xxhash64(F.lit("row"), "_id", "_text"), "_id", "_text").limit(max_fit).collect())
     rows = sorted(rows, key=lambda r: (r["_id"], r["_text"] or ""))
     return [(r["_text"], r["_y"]) for r in rows]
 
