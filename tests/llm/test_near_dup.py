@@ -4,6 +4,7 @@ import re
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tuneforge.llm import near_dup
 from tuneforge.llm.components import components
@@ -103,6 +104,35 @@ def test_a_passage_that_a_third_share(spark):
     assert got == classes_brute(rows) and sum(i != c for i, c in got.items()) == 10
 
 
+def test_prefix_filter_loses_no_pair(spark):
+    """Every pair at the threshold meets, whatever the mutual similarity; texts that share seven tenths only do not."""
+    rng = random.Random(21)
+    vocab = [f"p{i}" for i in range(6000)]
+    base, passage, texts = rng.choices(vocab, k=150), rng.choices(vocab, k=120), []
+    for i in range(40):  # edits of one text, from equal to far apart
+        words = list(base)
+        for _ in range(rng.randrange(9)):
+            words[rng.randrange(len(words))] = rng.choice(vocab)
+        texts.append(" ".join(words[:150 - rng.randrange(20)]))
+    texts += [" ".join(passage + rng.choices(vocab, k=40)) for _ in range(60)]
+    texts += ["one two", "one two", "one two three four five six"]
+    table = near_dup.idf_table(np.random.default_rng(4).integers(1, 60, 1 << near_dup.DF_BITS), 103)
+    sets = []
+    for t in texts:
+        own, tf, _ = near_dup.shingles(t, near_dup._Hashes())
+        sets.append((own, near_dup.weights(own, tf, table)))
+    held = spark.createDataFrame([(i, i, float(w.sum()), 0, 0, 0, 0) for i, (_, w) in enumerate(sets)],
+                                 "doc long, class long, weight double, b0 long, b1 long, b2 long, b3 long")
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, _text string")
+    met = {(r.a, r.b) for r in near_dup._prefix_pairs(held, rows, spark.sparkContext.broadcast(table), 0.8).collect()}
+    alike = {(a, b) for b in range(len(texts)) for a in range(b) if near_dup.similarity(sets[a], sets[b]) >= 0.8}
+    assert len(alike) > 50 and alike <= met
+    assert not [p for p in met if 40 <= p[0] < 100]
+    # Texts of one class do not meet.
+    one = held.withColumn("class", F.lit(0).cast("long"))
+    assert near_dup._prefix_pairs(one, rows, spark.sparkContext.broadcast(table), 0.8).count() == 0
+
+
 def test_bits_tell_samples_apart():
     rng = np.random.default_rng(2)
     a = rng.integers(0, 1 << 63, (2000, 64), dtype=np.uint64)

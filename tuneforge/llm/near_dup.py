@@ -11,10 +11,11 @@ connected components of the links.
 
 Work in a large bucket: texts with equal words are one node from the start. Then, in rounds, each bucket's
 texts outside its largest class are compared with one pivot of that class, so a bucket of n copies costs
-about n comparisons. What is still unlinked in a bucket is compared with all texts of other classes, so no
-verified link between candidates is lost. That last step is taken when few such pairs are left or pivots link
-fewer than one text in 20 (the buckets then hold texts that only share a passage), at the latest after
-``MAX_ROUNDS`` rounds.
+about n comparisons. The texts of buckets that still hold several classes meet by an exact prefix filter, not in
+all pairs: a text's shingles are put in order, the rarest among these texts first, and only pairs meet whose first
+common shingle comes so early in both that what follows can still reach the threshold (``_prefix_pairs``). Texts that
+only share a passage differ in their rarest shingles and do not meet; no link is lost by it. That last step is taken
+when few pairs are left, pivots link fewer than one text in 20, or after ``MAX_ROUNDS`` rounds.
 
 Defined cases: texts without words are alike only if equal after white space is collapsed; a null text is
 empty; a very long text is compared whole; repeated rows are one node; texts that share an id are nodes of their
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -296,6 +297,47 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
     return rows.sortWithinPartitions("b").mapInArrow(trimmed(run), "a long, b long")
 
 
+def _prefix_pairs(open_docs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """(a, b): the pairs of ``open_docs`` (doc, class, weight, bits) of different classes that may be ``threshold`` alike.
+
+    Texts x, y of total weights X <= Y at similarity t or more have a common weight of at least t / (1 + t) (X + Y), so of
+    2 t / (1 + t) X and of t Y. With the shingles of each in one order, all that is common lies from the first common
+    shingle on: a row of x is of use only if the weight from it on is at least 2 t / (1 + t) X, one of y only if it is at
+    least t Y. Shingles of a single text are left out before, as they are first in the order and meet nothing. Texts of
+    the largest class of a shingle are not compared with each other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, table = _Hashes(), idf.value
+        for batch in batches:
+            for doc, text in zip(batch.column("node"), batch.column("_text"), strict=True):
+                own, tf, _ = shingles(text.as_py(), hashes)
+                yield pa.RecordBatch.from_arrays([pa.array([doc.as_py()] * len(own), pa.int64()), pa.array(own.view(np.int64)),
+                                                  pa.array(weights(own, tf, table))], names=["doc", "s", "w"])
+
+    bits = [f"b{k}" for k in range(BITS)]
+    open_texts = texts.join(open_docs.select(F.col("doc").alias("node")), "node").select("node", "_text")
+    each = written(open_texts.mapInArrow(trimmed(run), "doc long, s long, w double"), "near-shingles")
+    common = each.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    onward = Window.partitionBy("doc").orderBy(F.col("df").desc(), F.col("s").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = each.join(common, "s").withColumn("onward", F.sum("w").over(onward)).join(open_docs, "doc")
+    slack = 1 - 1e-6  # for rounding of the sums
+    rows = written(rows.filter(F.col("onward") >= F.col("weight") * (threshold * slack)).select(
+        "s", "doc", "class", "weight", "onward", *bits,
+        (F.col("onward") >= F.col("weight") * (2 * threshold / (1 + threshold) * slack)).alias("early")), "near-prefixes")
+    sizes = rows.groupBy("s", "class").agg(F.count(F.lit(1)).alias("n"), F.max("early").alias("early"))
+    main = (sizes.groupBy("s").agg(F.max(F.struct("n", "class")).alias("m"), F.count(F.lit(1)).alias("classes"), F.max("early").alias("any"))
+            .filter("classes > 1 and any").select("s", F.col("m.class").alias("main")))
+    rows = written(rows.join(main, "s").withColumn("rest", F.col("class") != F.col("main")).drop("main"), "near-open")
+    other = rows.select("s", *[F.col(c).alias(f"_{c}") for c in rows.columns if c != "s"])
+    fits = ((F.col("class") != F.col("_class")) & (F.struct("weight", "doc") < F.struct("_weight", "_doc"))
+            & (F.least("onward", "_onward") >= (F.col("weight") + F.col("_weight")) * (threshold / (1 + threshold) * slack))
+            & (unlike("b", "_b") <= UNLIKE))
+    early = rows.filter("early")
+    met = [x.join(y.withColumnRenamed("s", "_s"), (F.col("s") == F.col("_s")) & fits).select(F.least("doc", "_doc").alias("a"), F.greatest("doc", "_doc").alias("b"))
+           for x, y in ((early.filter("rest"), other), (early.filter("not rest"), other.filter("_rest")))]
+    return met[0].union(met[1]).distinct()
+
+
 def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, bands: int, rows: int) -> DataFrame:
     """(_id, _h: hash of the text, first: the class's least (_id, _h)) per row of ``docs``."""
     spark = docs.sparkSession
@@ -334,15 +376,13 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, band
         left = main.agg(F.sum(F.col("_all") * F.col("_rest"))).first()[0] or 0
         if not left:
             break
-        last = k == MAX_ROUNDS or left <= 2 * size or (not fruitful and left <= 100 * size)
+        last = k == MAX_ROUNDS or left <= 2 * size or not fruitful
         rest = placed.join(main, "key").filter(F.col("class") != F.col("main"))
         # Similarity is at most the ratio of the total weights (a hair of slack for rounding).
         near = lambda a, b: F.least(a, b) >= F.greatest(a, b) * (threshold - 1e-6)
-        if last:  # every text outside the largest class with every text of another class
-            others = placed.select(F.col("key").alias("_k"), F.col("doc").alias("_d"), F.col("class").alias("_c"), F.col("weight").alias("_w"),
-                                   *[F.col(x).alias(f"_{x}") for x in bits])
-            pairs = (rest.join(others, (F.col("key") == F.col("_k")) & (F.col("class") != F.col("_c")) & near(F.col("weight"), F.col("_w")) & (unlike("b", "_b") <= UNLIKE))
-                     .select(F.least("doc", "_d").alias("a"), F.greatest("doc", "_d").alias("b")).distinct())
+        if last:
+            held = placed.join(main.select("key"), "key", "left_semi").select("doc", "class", "weight", *bits)
+            pairs = _prefix_pairs(written(held.dropDuplicates(["doc"]), "near-held"), texts, idf, threshold)
         else:
             pairs = rest.filter(near(F.col("weight"), F.col("pivot_weight")) & (unlike("b", "pb") <= UNLIKE)).select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
