@@ -1,22 +1,49 @@
 """User tokenizers (X1): a ``tokenizers`` JSON definition run in an Arrow UDF.
 
 The JSON is broadcast once; each Python worker builds the tokenizer once per setting and encodes
-whole Arrow batches with ``encode_batch_fast``; the ids go back as one ``pyarrow.ListArray``
-built from flat offsets and values (no per-row Python objects on the way out). Output is
-``array<int>``, the same type as the code-point backend, so all label and padding functions
-apply unchanged.
+an Arrow batch in slices of about ``SLICE_BYTES`` with ``encode_batch_fast``, since what the library
+holds while it encodes is a hundred times the text. A slice's ids go back as one ``pyarrow.ListArray``
+built from flat offsets and values. Output is ``array<int>``, the same type as the code-point
+backend, so all label and padding functions apply unchanged.
 """
 
 from __future__ import annotations
 
-import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
+SLICE_BYTES = 256 * 1024  # of text encoded at once; a longer text is encoded alone
+
+
+def _slices(batch: pa.Array) -> Iterator[pa.Array]:
+    """A batch's rows in order, cut before the row that would take a slice beyond ``SLICE_BYTES``."""
+    sizes = pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = 0
+    while at < len(sizes):
+        before = int(ends[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def encode_batches(tok, batches: Iterator[pa.Array], add_special_tokens: bool = False) -> Iterator[pa.Array]:
+    """The ids of every text of the batches, slice by slice."""
+    for batch in batches:
+        for part in _slices(batch):
+            texts = [t if t is not None else "" for t in part.to_pylist()]
+            ids = [np.array(e.ids, np.int32) for e in tok.encode_batch_fast(texts, add_special_tokens=add_special_tokens)]
+            offsets = np.zeros(len(ids) + 1, np.int32)
+            np.cumsum([len(i) for i in ids], out=offsets[1:])
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
+
+
 def _tokenizer(js: str, max_length: int | None = None):
     """Build (once per Python worker and setting) the tokenizer, truncating at ``max_length`` or
     not. The cache lives on the pyspark module, which workers import by reference (this package
@@ -46,14 +73,8 @@ def tokenizer_ids(spark: SparkSession, col, tokenizer_json: str, add_special_tok
     ``truncation=True`` call does."""
     bc = spark.sparkContext.broadcast(tokenizer_json)
 
-    def enc(v: pa.Array) -> pa.Array:
-        tok = _tokenizer(bc.value, max_length)
-        texts = [t if t is not None else "" for t in v.to_pylist()]
-        encs = tok.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
-        offsets = np.zeros(len(encs) + 1, dtype=np.int32)
-        np.cumsum(np.fromiter((len(e.ids) for e in encs), dtype=np.int64, count=len(encs)), out=offsets[1:])
-        values = np.fromiter(itertools.chain.from_iterable(e.ids for e in encs), dtype=np.int32, count=int(offsets[-1]))
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+    def enc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from encode_batches(_tokenizer(bc.value, max_length), batches, add_special_tokens)
 
     return F.arrow_udf(enc, "array<int>")(F.col(col) if isinstance(col, str) else col)
 
