@@ -1,7 +1,10 @@
 """Steps whose memory or longest task must not follow the table: sliced encoding, packed keys, dealt rows."""
 
 import pyarrow as pa
+from pyspark.sql import functions as F
+
 from tuneforge.functions import tokenizer as Z
+from tuneforge.sources import jsonl
 
 
 class _Bytes:
@@ -22,3 +25,17 @@ def test_texts_are_encoded_in_slices():
     got = [i for a in Z.encode_batches(tok, iter(batches)) for i in a.to_pylist()]
     assert got == [list((t or "").encode()) for t in [*texts, None, None]]
     assert all(sum(c) <= Z.SLICE_BYTES or sum(map(bool, c)) == 1 for c in tok.calls)
+
+
+def test_keys_are_counted_in_words(spark):
+    keys = [f"file:/a/{f}:{n}" for f in ("x", "y") for n in range(1, 1001)]
+    d = spark.createDataFrame([(k, k[8]) for k in keys], "row_key string, folder string").coalesce(1)
+    words = jsonl.key_words(d, by=["folder"])
+    assert words.count() == 2 * 16  # of 64 keys each, from 0
+    assert jsonl.count_keys(words).first()[0] == 2000
+    odd = [*keys[:70] * 2, "x:7", "x:07", "x:007", "x:", "x", "7", ":", ":7", "", None, None, "x:-7", "x:" + "9" * 30, "a:b:7"]
+    d = spark.createDataFrame([(k, i % 3) for i, k in enumerate(odd)], "row_key string, g int")
+    words = jsonl.key_words(d, by=["g"])
+    assert words.agg(F.sum("n")).first()[0] == len(odd)
+    assert jsonl.count_keys(words).first()[0] == d.agg(F.countDistinct("row_key")).first()[0]
+    assert jsonl.count_keys(jsonl.key_words(d.limit(0))).first()[0] == 0

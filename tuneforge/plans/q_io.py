@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import shuffle_hash
 from ..operators import records, reports, split
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..operators.dialogue import pair_turns
 from ..sinks import writers as W
 from ..sinks.batch_log import append_once, read_log
@@ -52,8 +52,9 @@ def jsonl_keys(spark, d):
     W.write_jsonl(lines, f"{root}/b", ["input", "output", "text"])
     rec, _rejects = jsonl.read_jsonl(spark, [f"{root}/a", f"{root}/b"], source="corpus")
     folder = F.element_at(F.split("file", "/"), -2)
-    return rec.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("row_key").alias("n_keys"),
-                   F.countDistinct(folder).cast("int").alias("n_files"))
+    words = materialize(jsonl.key_words(rec.withColumn("folder", folder), "row_key", by=["folder"]))
+    rows = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.countDistinct("folder").cast("int").alias("n_files"))
+    return rows.crossJoin(jsonl.count_keys(words)).select("n_rows", "n_keys", "n_files")
 
 
 @query("read_splits", SPLIT_SQL + f""",

@@ -87,6 +87,28 @@ def line_keys(df: DataFrame, file: str = "file", line: str = "line", out: str =
     return single.select(*cols).unionByName(many.select(*cols))
 
 
+def key_words(rec: DataFrame, key: str = "row_key", by: Sequence[str] = ()) -> DataFrame:
+    """Keys ``head:number`` packed to be counted exactly: (*by, head, word, bits, n). A word is 64 numbers of a
+    head, a set bit a number met, n the rows. Numbers follow each other in the lines of a file, so a task
+    holds a group for 64 keys, not for each. A key of another form is a head of its own (word null); a null key
+    has no bits."""
+    tail = F.substring_index(key, ":", -1)
+    numbered = F.contains(key, F.lit(":")) & tail.rlike("^(0|[1-9][0-9]{0,17})$")
+    d = rec.select(*by, F.col(key).alias("_tf_key"), F.when(numbered, tail).alias("_tf_tail"))
+    number = F.col("_tf_tail").cast("long")
+    head = F.expr("substring(_tf_key, 1, length(_tf_key) - coalesce(length(_tf_tail), 0))")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.coalesce(F.pmod(number, F.lit(64)), F.lit(0)).cast("int"))
+    d = d.select(*by, head.alias("head"), F.call_function("shiftright", number, F.lit(6)).alias("word"),
+                 F.when(F.col("_tf_key").isNull(), F.lit(0).cast("long")).otherwise(bit).alias("bits"))
+    return d.groupBy(*by, "head", "word").agg(F.bit_or("bits").alias("bits"), F.count(F.lit(1)).alias("n"))
+
+
+def count_keys(words: DataFrame, out: str = "n_keys") -> DataFrame:
+    """One row: the number of distinct keys in the rows of ``key_words``."""
+    met = words.groupBy("head", "word").agg(F.bit_or("bits").alias("bits"))
+    return met.agg(F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).alias(out))
+
+
 def extract_records(df: DataFrame, raw: str = "line") -> DataFrame:
     """S3: (input, output, text) from valid JSON lines with a fixed schema; non-string values
     keep their JSON text."""
