@@ -4,6 +4,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tuneforge.functions import tokenizer as Z
+from tuneforge.functions import tokens as K
+from tuneforge.plans.layout import spread_rows
 from tuneforge.sources import jsonl
 
 
@@ -39,3 +41,26 @@ def test_keys_are_counted_in_words(spark):
     assert words.agg(F.sum("n")).first()[0] == len(odd)
     assert jsonl.count_keys(words).first()[0] == d.agg(F.countDistinct("row_key")).first()[0]
     assert jsonl.count_keys(jsonl.key_words(d.limit(0))).first()[0] == 0
+
+
+def test_compact_rows_are_dealt_by_number(spark, tmp_path):
+    path = str(tmp_path / "part.parquet")  # one row group: a scan gives all rows to one task
+    spark.range(4000).select("id", F.lit("name").alias("name")).coalesce(1).write.parquet(path)
+    dealt = spread_rows(spark.read.parquet(path), "id", "name", rows_per_task=500)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 1000
+    assert sorted(r.id for r in dealt.collect()) == list(range(4000))
+
+
+def test_ids_text_and_labels_equal_the_plain_forms(spark):
+    arrays = [[], None, [0], [5, 5], [0, 0, 0], [1, 2, 0, 0], [0, 1, 0, 0], [1, 2, 3], [None, 5, 5], [None], [5, None],
+              [5, 5, None, None], [1, None, 2, 0, 0], [-100, -100, 7, 0, 0], [1, 0, 2, 1]]
+    d = spark.createDataFrame([(a,) for a in arrays], "a array<int>")
+    for r in d.select(K.ids_text("a").alias("got"), F.array_join("a", ",").alias("want")).collect():
+        assert r.got == r.want
+    pairs = [([1, 2, 3], m) for m in ([1, 1, 0], [1, 0, 1], [1, 1, 1], [0, 0, 0], [2, 1, 0], [1, None, 0])]
+    pairs += [([], []), (None, [1]), ([1], None), ([1, None, 3], [1, 1, 0])]
+    d = spark.createDataFrame(pairs, "a array<int>, m array<int>")
+    want = F.transform("a", lambda x, i: F.when(F.element_at("m", i + 1) == 1, x).otherwise(F.lit(-100)))
+    for r in d.select(K.label_all("a", "m").alias("got"), want.alias("want")).collect():
+        assert r.got == r.want

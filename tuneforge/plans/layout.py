@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import DataFrame
 
@@ -18,3 +20,11 @@ def spread_for_cpu(scan: DataFrame, key: str) -> DataFrame:
     except (PySparkAttributeError, PySparkNotImplementedError):  # a remote session has no RDDs: keep the plan as is
         return scan
     return scan if parts >= slots else scan.repartition(slots, key)
+
+
+def spread_rows(scan: DataFrame, *keys: str, rows_per_task: int = 50_000) -> DataFrame:
+    """Before per-row work that makes far more than it reads: a scan is cut by bytes, so a few of its tasks
+    may hold all rows of a compact table. Hash-spreads narrow rows by ``keys``, so that tasks follow
+    the rows; Parquet footers tell their number."""
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(max(slots, math.ceil(scan.count() / rows_per_task)), *keys)

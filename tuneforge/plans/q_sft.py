@@ -145,7 +145,7 @@ SELECT source || ':' || row_key AS row_key, kind, {txt('full_ids')} AS input_ids
 FROM f""")
 def corpus_encode(spark, d):
     """Path A': records of a split -> dispatch -> fixed ids -> joint labels (QA) or labels everywhere (text)."""
-    rows = T.corpus(spark, d).withColumn("split", F.lit("train")).withColumn("row_key", F.concat_ws(":", "source", "row_key"))
+    rows = T.corpus(spark, d, spread=True).withColumn("split", F.lit("train")).withColumn("row_key", F.concat_ws(":", "source", "row_key"))
     out = flows.split_examples(rows, 0, ENCODE_LEN)
     return out.select("row_key", "kind", K.ids_text("input_ids").alias("input_ids"),
                       K.ids_text("attention_mask").alias("attention_mask"), K.ids_text("labels").alias("labels"))

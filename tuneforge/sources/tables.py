@@ -27,9 +27,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | Non
     return df
 
 
-def qa_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """QA source: part name -> part type (plays a QA sheet export)."""
-    return as_records(read_table(spark, sf_dir, "part"), "part", "p_partkey", input="p_name", output="p_type")
+def qa_records(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """QA source: part name -> part type (plays a QA sheet export). ``spread`` deals the rows evenly, for
+    work whose output is much larger than they are (see ``plans.layout.spread_rows``)."""
+    rows = as_records(read_table(spark, sf_dir, "part"), "part", "p_partkey", input="p_name", output="p_type")
+    if spread:
+        from ..plans.layout import spread_rows
+
+        rows = spread_rows(rows, "row_key", "input")
+    return rows
 
 
 def text_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,9 +43,9 @@ def text_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_records(read_table(spark, sf_dir, "documents"), "documents", "doc_id", text="text")
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The merged corpus: QA and text records as one DataFrame."""
-    return merge_sources(qa_records(spark, sf_dir), text_records(spark, sf_dir))
+def corpus(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """The merged corpus: QA and text records as one DataFrame; ``spread`` as for ``qa_records``."""
+    return merge_sources(qa_records(spark, sf_dir, spread), text_records(spark, sf_dir))
 
 
 def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
