@@ -110,7 +110,7 @@ def build_if_absent(spark: SparkSession, path: str, build: Callable[[], DataFram
 
     while not built():
         fs.mkdirs(lease.getParent())
-        if fs.createNewFile(lease):
+        if _taken(spark, fs, lease):
             try:
                 if not built():
                     _publish(spark, build, path, fmt, built)
@@ -122,6 +122,14 @@ def build_if_absent(spark: SparkSession, path: str, build: Callable[[], DataFram
     return spark.read.format(fmt).load(path)
 
 
+def _taken(spark: SparkSession, fs, lease) -> bool:
+    """Create the lease; of several drivers one succeeds. Hadoop's local file system looks for the file first and
+    creates it then, so there two could."""
+    if fs.getUri().getScheme() == "file":
+        return bool(spark.sparkContext._jvm.java.io.File(lease.toUri().getPath()).createNewFile())
+    return bool(fs.createNewFile(lease))
+
+
 def _publish(spark: SparkSession, build: Callable[[], DataFrame], path: str, fmt: str, built: Callable[[], bool]) -> None:
     stage = f"{path}.stage-{uuid.uuid4().hex}"
     fs, target = _fs(spark, path)
