@@ -54,7 +54,8 @@ def jsonl_keys(spark, d):
     folder = F.element_at(F.split("file", "/"), -2)
     words = materialize(jsonl.key_words(rec.withColumn("folder", folder), "row_key", by=["folder"]))
     rows = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.countDistinct("folder").cast("int").alias("n_files"))
-    return rows.crossJoin(jsonl.count_keys(words)).select("n_rows", "n_keys", "n_files")
+    both = rows.unionByName(jsonl.count_keys(words), allowMissingColumns=True)  # a row each
+    return both.agg(F.sum("n_rows").alias("n_rows"), F.sum("n_keys").alias("n_keys"), F.max("n_files").alias("n_files"))
 
 
 @query("read_splits", SPLIT_SQL + f""",
